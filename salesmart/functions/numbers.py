@@ -5,24 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+BLANKS = " \t\n\x0b\x0c\r"
+
 
 def blank_to_zero(c: Column) -> Column:
     """Missing numbers, NULL or empty, become the text 0.0."""
     return F.when(c.isNull() | (c == ""), F.lit("0.0")).otherwise(c)
 
 
+def _without_suffix(plain: Column) -> Column:
+    """NULL where the cast would take a Java type suffix, such as 5d, for part of a number."""
+    last = F.right(F.rtrim(plain, F.lit(BLANKS)), F.lit(1))
+    has_suffix = last.isin("d", "D", "f", "F")
+    return F.when(~has_suffix | plain.rlike(r"(?i)inf\s*$"), plain)
+
+
 def parse_number_br(c: Column) -> Column:
-    """1.234,56 to a double: points group thousands, the comma is the decimal mark."""
-    plain = F.replace(
-        F.replace(F.trim(blank_to_zero(c)), F.lit("."), F.lit("")), F.lit(","), F.lit(".")
-    )
-    # The cast takes a Java type suffix such as 5d, which is no number here.
-    has_suffix = plain.rlike("[dDfF]$") & ~plain.rlike("(?i)inf$")
-    return F.when(~has_suffix, plain).try_cast("double")
+    """1.234,56 to a double: points group thousands, the comma is the decimal mark.
+
+    The cast itself ignores blanks around the number.
+    """
+    text = blank_to_zero(c)
+    plain = F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    return _without_suffix(plain).try_cast("double")
 
 
 def parse_number_us(c: Column) -> Column:
     """1,234.56 to a 32-bit float: commas group thousands."""
-    plain = F.replace(F.trim(c), F.lit(","), F.lit(""))
-    has_suffix = plain.rlike("[dDfF]$") & ~plain.rlike("(?i)inf$")
-    return F.when(~has_suffix, plain).try_cast("float")
+    return _without_suffix(F.replace(c, F.lit(","), F.lit(""))).try_cast("float")

@@ -20,9 +20,11 @@ def clean_string(c: Column, token: str = NOT_INFORMED) -> Column:
     Otherwise the first run found is replaced wherever that exact run occurs; runs of
     another length or kind stay as they are.
     """
+    # Most text has no run, so that is asked first and settles it in one search.
     first_run = F.regexp_extract(c, BLANK_RUN, 0)
     return (
         F.when(c.isNull() | (c == ""), F.lit(token))
+        .when(~c.rlike(BLANK_RUN), c)
         .when(c.rlike(r"\A" + BLANK_RUN), F.lit(token))
         .otherwise(F.replace(c, first_run, F.lit(" ")))
     )

@@ -20,5 +20,10 @@ def write_gold(df: DataFrame, path: str, files: int | None = None) -> None:
 
 
 def read_gold(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a gold table back with its types; CSV itself keeps none."""
-    return spark.read.schema(schema).option("header", True).option("sep", SEPARATOR).csv(path)
+    """Read a gold table back with its types; CSV itself keeps none.
+
+    The writer quotes empty text and leaves NULL blank. The reader takes both for NULL as
+    long as its mark for NULL is empty too, hence another mark.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("sep", SEPARATOR)
+    return reader.option("nullValue", "\u0000").csv(path)

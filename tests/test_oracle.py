@@ -7,11 +7,13 @@ from collections import Counter
 
 import pytest
 
-from verification.oracle import ORACLE_SQL
-from verification.queries import QUERIES
+import __spark_entry__
 
 duckdb = pytest.importorskip("duckdb")
 
+QUERIES = __spark_entry__.queries()
+ORACLE_SQL = __spark_entry__.oracle_sql()
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
