@@ -42,20 +42,29 @@ def sales_columns(vendas: DataFrame) -> DataFrame:
     return vendas.withColumnRenamed(SNAPSHOT, "data_foto")
 
 
-def join_customer(vendas: DataFrame, clientes: DataFrame) -> DataFrame:
-    return left_join(vendas, clientes.drop(SNAPSHOT), "customerkey")
+def join_customer(
+    vendas: DataFrame, customers: DataFrame, clientes: DataFrame | None = None
+) -> DataFrame:
+    """Sales with their customers. `clientes` is the table that joined customers stem from."""
+    return left_join(vendas, customers.drop(SNAPSHOT), "customerkey", right_keys=clientes)
 
 
-def join_address(clientes: DataFrame, endereco: DataFrame) -> DataFrame:
-    return left_join(clientes, endereco.drop(SNAPSHOT), "address_number")
+def join_address(
+    customers: DataFrame, endereco: DataFrame, clientes: DataFrame | None = None
+) -> DataFrame:
+    return left_join(customers, endereco.drop(SNAPSHOT), "address_number", left_keys=clientes)
 
 
-def join_division(clientes: DataFrame, divisao: DataFrame) -> DataFrame:
-    return left_join(clientes, divisao.drop(SNAPSHOT), "division")
+def join_division(
+    customers: DataFrame, divisao: DataFrame, clientes: DataFrame | None = None
+) -> DataFrame:
+    return left_join(customers, divisao.drop(SNAPSHOT), "division", left_keys=clientes)
 
 
-def join_region(clientes: DataFrame, regiao: DataFrame) -> DataFrame:
-    return left_join(clientes, regiao.drop(SNAPSHOT), "region_code")
+def join_region(
+    customers: DataFrame, regiao: DataFrame, clientes: DataFrame | None = None
+) -> DataFrame:
+    return left_join(customers, regiao.drop(SNAPSHOT), "region_code", left_keys=clientes)
 
 
 def customers_with_lookups(
@@ -63,7 +72,8 @@ def customers_with_lookups(
 ) -> DataFrame:
     """Every customer with address, division and region."""
     found = join_address(clientes, endereco)
-    return join_region(join_division(found, divisao), regiao)
+    found = join_division(found, divisao, clientes)
+    return join_region(found, regiao, clientes)
 
 
 def stage_join(
@@ -75,7 +85,7 @@ def stage_join(
 ) -> DataFrame:
     """The wide stage, 43 columns, values as they arrived."""
     customers = customers_with_lookups(clientes, endereco, divisao, regiao)
-    return join_customer(sales_columns(vendas), customers).select(*STAGE.names)
+    return join_customer(sales_columns(vendas), customers, clientes).select(*STAGE.names)
 
 
 def stage_join_narrow(
@@ -96,13 +106,15 @@ def stage_join_narrow(
         divisao.select("division"),
         regiao.select("region_code"),
     )
-    return join_customer(sales_columns(vendas), customers).select(*NARROW)
+    return join_customer(sales_columns(vendas), customers, clientes).select(*NARROW)
 
 
-def sold_customers(vendas: DataFrame, customers: DataFrame) -> DataFrame:
+def sold_customers(
+    vendas: DataFrame, customers: DataFrame, clientes: DataFrame | None = None
+) -> DataFrame:
     """One row per customer key found in the sales, with the customer's columns.
 
     What a DISTINCT over customer columns of the stage needs. Repeats of a key are removed
     within each task first, so however often a key was sold it is shuffled once per task.
     """
-    return join_customer(vendas.select("customerkey").distinct(), customers)
+    return join_customer(vendas.select("customerkey").distinct(), customers, clientes)

@@ -77,7 +77,14 @@ def heavy_keys(df: DataFrame, key: str, partitions: int) -> DataFrame:
     )
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, key: str, partitions: int) -> DataFrame:
+def salted_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    partitions: int,
+    left_keys: DataFrame | None = None,
+    right_keys: DataFrame | None = None,
+) -> DataFrame:
     """`left.join(right, key, "left")` with the rows of heavy keys spread over many tasks.
 
     Rows of a key that is heavy on the left are dealt out to its left salts, and the right
@@ -86,12 +93,16 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str, partitions: in
     another salt holds its match; such a key is known to be on the right, so its unmatched
     rows are dropped. Each side is still scanned for the join and shuffled once.
 
+    Keys are counted in `left_keys` and `right_keys`, by default the sides themselves. A side
+    that is a join should name the table its key comes from, so that the join is not worked
+    out just for counting. Every key of `right_keys` must be on the right.
+
     A salt is a hash of the whole row, not a random number, so a task run again after an
     executor is lost puts every row where it was before. Rows that are copies of each other
     share a salt; adaptive execution splits those partitions by map output.
     """
-    of_left = heavy_keys(left, key, partitions).toDF("_left_key", "_left_salts")
-    of_right = heavy_keys(right, key, partitions).toDF("_right_key", "_right_salts")
+    of_left = heavy_keys(left_keys or left, key, partitions).toDF("_left_key", "_left_salts")
+    of_right = heavy_keys(right_keys or right, key, partitions).toDF("_right_key", "_right_salts")
 
     def with_salts(df: DataFrame) -> DataFrame:
         # At most `partitions` rows each, so they may be broadcast whatever the data size.
@@ -130,14 +141,19 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str, partitions: in
 
 
 def left_join(
-    left: DataFrame, right: DataFrame, key: str, partitions: int | None = None
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_keys: DataFrame | None = None,
+    right_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer join on one column that both sides name alike.
 
     A right side within the session's broadcast limit is broadcast, and the left side does
-    not move. Beyond that both sides are shuffled, with heavy keys salted. The two ways give
-    the same rows.
+    not move. Beyond that both sides are shuffled, with heavy keys salted; keys are counted
+    in `left_keys` and `right_keys`. The two ways give the same rows.
     """
     if fits_broadcast(right):
         return left.join(F.broadcast(right), key, "left")
-    return salted_left_join(left, right, key, partitions or shuffle_partitions(left))
+    partitions = shuffle_partitions(left)
+    return salted_left_join(left, right, key, partitions, left_keys, right_keys)

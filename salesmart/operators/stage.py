@@ -90,7 +90,7 @@ def wide_stage(
     }
     filled |= {name: F.coalesce(F.col(name), no_customer) for name in CUSTOMER_KEYS}
     filled |= {"customerkey": key}
-    stage = with_calendar(join_customer(sales, customers).withColumns(filled))
+    stage = with_calendar(join_customer(sales, customers, clientes).withColumns(filled))
     sales_keys = {k: v for k, v in wide_keys(sep).items() if k not in CUSTOMER_KEYS}
     return stage.withColumns(sales_keys)
 
@@ -131,7 +131,7 @@ def narrow_stage(
     sales = sales.select(*[c for c in NARROW if _is_sales_column(c)]).withColumn(
         "invoice_date", parse_date_br(F.col("invoice_date"))
     )
-    joined = join_customer(sales, customers)
+    joined = join_customer(sales, customers, clientes)
     filled = {c: null_to_token(F.col(c), token) for c in NARROW_TEXT}
     filled |= {c: F.coalesce(F.col(c), key_of("customerkey", sep=sep)) for c in CUSTOMER_KEYS}
     sales_keys = {k: v for k, v in narrow_keys(sep).items() if k not in CUSTOMER_KEYS}

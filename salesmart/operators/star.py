@@ -66,7 +66,7 @@ def dim_clientes(
 ) -> DataFrame:
     """Each sold customer with its name."""
     customers = narrow_customers(clientes.select("customerkey", "customer"), sep, token)
-    return _no_customer(sold_customers(vendas, customers), ["customer"], token, sep).select(
+    return _no_customer(sold_customers(vendas, customers, clientes), ["customer"], token, sep).select(
         "DW_CLIENTES", "customerkey", "customer"
     ).distinct()
 
@@ -84,7 +84,7 @@ def dim_localidade(
         clientes.select("customerkey", "address_number", "customer"), endereco.select(*place)
     )
     customers = narrow_customers(located, sep, token)
-    return _no_customer(sold_customers(vendas, customers), place, token, sep).select(
+    return _no_customer(sold_customers(vendas, customers, clientes), place, token, sep).select(
         "DW_LOCALIDADE", *place
     ).distinct()
 
@@ -116,7 +116,7 @@ def dim_cliente_division(
     named = join_division(
         clientes.select("customerkey", "customer", "address_number", "division"), divisao
     )
-    sold = sold_customers(vendas, conformed_customers(named, sep))
+    sold = sold_customers(vendas, conformed_customers(named, sep), clientes)
     return _no_customer_wide(sold, sep).select(
         "DW_CLIENTES", "customerkey", "customer", "division_name"
     ).distinct()
@@ -140,10 +140,10 @@ def dim_clientes_wide(
     )
     customers = conformed_customers(customers, sep).select(*WIDE_CUSTOMER)
     if distinct:
-        return _no_customer_wide(sold_customers(vendas, customers), sep).select(
+        return _no_customer_wide(sold_customers(vendas, customers, clientes), sep).select(
             *WIDE_CUSTOMER
         ).distinct()
-    sold = join_customer(vendas.select("customerkey"), customers)
+    sold = join_customer(vendas.select("customerkey"), customers, clientes)
     return _no_customer_wide(sold, sep).select(*WIDE_CUSTOMER)
 
 
