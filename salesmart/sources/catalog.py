@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from salesmart.schemas import SNAPSHOT, data_columns
 from salesmart.sources.snapshots import ALL, LATEST, list_snapshots
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def register_table(
     spark: SparkSession,
@@ -39,9 +41,19 @@ def register_table(
 
 
 def load_table(df: DataFrame, table: str) -> None:
-    """Load the days found in the data into a registered table, replacing only those."""
-    ordered = df.select(*df.sparkSession.table(table).columns)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    """Load the days found in the data into a registered table, replacing only those.
+
+    An insert by table name knows no writer options, so the overwrite mode is set on the
+    session for the time of the insert; without it every other day would be dropped.
+    """
+    spark = df.sparkSession
+    ordered = df.select(*spark.table(table).columns)
+    kept = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        ordered.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, kept)
 
 
 def scan_table(spark: SparkSession, table: str, dt_foto: str = LATEST) -> DataFrame:

@@ -47,12 +47,10 @@ def scan_staged(
     Two days read together would multiply rows in every join, so the default is the
     latest day. The filter is on the partition column: other days are not listed or read.
     """
-    staged = spark.read.schema(staged_schema(schema)).orc(path)
-    if dt_foto == ALL:
-        return staged
     if dt_foto == LATEST:
         days = list_snapshots(spark, path)
         if not days:
             raise FileNotFoundError(f"no snapshot at {path}")
         dt_foto = days[-1]
-    return staged.where(F.col(SNAPSHOT) == dt_foto)
+    staged = spark.read.schema(staged_schema(schema)).orc(path)
+    return staged if dt_foto == ALL else staged.where(F.col(SNAPSHOT) == dt_foto)

@@ -1,0 +1,194 @@
+"""The jobs from raw files to gold, and the shape of the plans."""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+
+import pytest
+
+import __spark_entry__
+from salesmart.operators import conform
+from salesmart.plans import export, load, star
+from salesmart.schemas import DIVISAO, ENTITIES, REGIAO, VENDAS, data_columns
+from salesmart.session import HOTSPOT_LIMIT, HUGE_METHOD_LIMIT, prepare
+from salesmart.sources.gold import read_gold
+from verification.scratch import scratch_dir
+
+RUN = dt.date(2024, 1, 2)
+NI = "Não informado"
+
+RAW = {
+    "divisao": "Division;Division Name\r\n1;International\r\n2;Domestic\r\n",
+    "regiao": "Region Code;Region Name\r\n0;Canada\r\n1;Western\r\n2;Southern\r\n",
+    "endereco": "Address Number;City;Country;Customer Address 1;Customer Address 2;"
+    "Customer Address 3;Customer Address 4;State;Zip Code\r\n"
+    "A1;New  York;USA;a;;;;NY;1\r\nA2;;USA;b;;;;   ;2\r\n",
+    "clientes": "Address Number;Business Family;Business Unit;Customer;CustomerKey;Customer Type;"
+    "Division;Line of Business;Phone;Region Code;Regional Sales Mgr;Search Type\r\n"
+    "A1;F;U;Ann;10;G;1;L;1;0;S;C\r\nA2;F;U;  Bob;20;G;2;L;1;9;S;C\r\n",
+}
+
+SALE = {
+    "invoice_number": "100",
+    "line_number": "1",
+    "invoice_date": "31/12/2023",
+    "datekey": "01/01/2024",
+    "list_price": "1.000,50",
+    "sales_price": "2,5",
+    "sales_amount": "",
+    "item": "",
+}
+
+
+def sales_file(keys):
+    names = data_columns(VENDAS)
+    lines = [";".join("U/M" if n == "u_m" else n.title().replace("_", " ") for n in names)]
+    for key in keys:
+        sale = SALE | {"customerkey": key}
+        lines.append(";".join(sale.get(n, "0") for n in names))
+    return "\r\n".join(lines) + "\r\n"
+
+
+@pytest.fixture(scope="module")
+def mart(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("mart")
+    files = RAW | {"vendas": sales_file(["10", "20", "30", "10"])}
+    for entity, text in files.items():
+        (root / "raw" / entity).mkdir(parents=True)
+        (root / "raw" / entity / f"{entity}.csv").write_bytes(text.encode("utf-8"))
+    load.load_entities(spark, str(root / "raw"), str(root / "stage"), RUN - dt.timedelta(days=1))
+    load.load_entities(spark, str(root / "raw"), str(root / "stage"), RUN)
+    return root
+
+
+def test_export(spark, mart):
+    gold = str(mart / "gold")
+    export.export_entities(spark, str(mart / "stage"), gold, RUN)
+    regions = read_gold(spark, f"{gold}/regiao", REGIAO).orderBy("region_code").collect()
+    assert [tuple(r) for r in regions] == [
+        ("0", "Canada", dt.date(2024, 1, 1)),
+        ("1", "Western", dt.date(2024, 1, 1)),
+        ("2", "Southern", dt.date(2024, 1, 1)),
+    ]
+    assert read_gold(spark, f"{gold}/divisao", DIVISAO).count() == 2
+    sale = read_gold(spark, f"{gold}/vendas", VENDAS).first()
+    assert (sale.invoice_date, sale.list_price, sale.sales_amount, sale.item) == (
+        dt.date(2023, 12, 31),
+        1000.5,
+        0.0,
+        NI,
+    )
+
+
+def test_star_of_the_latest_day(spark, mart):
+    tables = star.scan_entities(spark, str(mart / "stage"))
+    made = star.narrow_star(tables) | star.wide_star(tables)
+    counts = {name: df.count() for name, df in made.items()}
+    assert counts == {
+        "dim_tempo": 1,
+        "dim_clientes": 3,
+        "dim_localidade": 3,
+        "ft_vendas": 3,
+        "dim_clientes_wide": 4,
+        "dim_cliente_division": 3,
+    }
+    wide = {r.customerkey: r for r in made["dim_clientes_wide"].collect()}
+    assert wide["10"].region_name == "Canada" and wide["20"].region_name == NI
+    assert wide["20"].customer == NI and wide["30"].division_name == NI
+    places = {r.address_number: r for r in made["dim_localidade"].collect()}
+    assert places["A1"].city == "NewNão InformadoYork" and places["A2"].city == ""
+    assert "Não Informado" in places
+
+    star.write_star(made, str(mart / "gold-star"))
+    back = read_gold(spark, str(mart / "gold-star" / "ft_vendas"), made["ft_vendas"].schema)
+    assert back.exceptAll(made["ft_vendas"]).isEmpty() and back.count() == 3
+
+
+def test_star_of_all_days_multiplies(spark, mart):
+    tables = star.scan_entities(spark, str(mart / "stage"), "all")
+    assert star.wide_star(tables)["dim_clientes_wide"].count() > 2 * 4
+
+
+def test_iso_dates_are_the_plain_cast(spark, mart):
+    sales = star.scan_entities(spark, str(mart / "stage"))["vendas"]
+    row = conform.conform_entity(sales, VENDAS, RUN, iso_dates=True).first()
+    assert row.invoice_date is None and row.dt_foto is None
+
+
+def test_rejects(spark):
+    names = data_columns(VENDAS)
+    good = {"invoice_date": "1/1/2024", "list_price": "", "sales_price": None}
+    bad = {"invoice_date": "", "list_price": "x", "sales_price": " "}
+    df = spark.createDataFrame(
+        [tuple(v.get(n) for n in names) for v in (good, bad, {})],
+        ", ".join(f"{n} string" for n in names),
+    )
+    dates = conform.date_reject_counts(df, VENDAS).first().asDict()
+    numbers = conform.number_reject_counts(df, VENDAS).first().asDict()
+    assert dates["invoice_date"] == 1 and dates["datekey"] == 0 and len(dates) == 4
+    assert numbers["list_price"] == 1 and numbers["sales_price"] == 1 and len(numbers) == 9
+
+
+def test_prepare_leaves_a_chosen_limit_alone(spark):
+    kept = spark.conf.get(HUGE_METHOD_LIMIT)
+    try:
+        spark.conf.unset(HUGE_METHOD_LIMIT)
+        assert prepare(spark).conf.get(HUGE_METHOD_LIMIT) == HOTSPOT_LIMIT
+        spark.conf.set(HUGE_METHOD_LIMIT, "12345")
+        assert prepare(spark).conf.get(HUGE_METHOD_LIMIT) == "12345"
+    finally:
+        spark.conf.set(HUGE_METHOD_LIMIT, kept)
+
+
+def test_scratch_is_in_the_named_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_dir(spark), scratch_dir(spark)
+    assert first.startswith(shared) and first != second
+
+
+def physical_plan(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+LAZY = [
+    name
+    for name in __spark_entry__.queries()
+    if not name.startswith(("scan_", "export_", "stage_load", "gold", "register", "schema"))
+]
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_no_cross_join_no_python_no_single_task(spark, name):
+    plan = physical_plan(__spark_entry__.queries()[name](spark, "/root/testdata/sf0.001"))
+    for bad in ("CartesianProduct", "NestedLoop", "EvalPython", "MapInPandas", "Window"):
+        assert bad not in plan
+    assert "SinglePartition" not in plan or name.endswith("_count")
+
+
+def test_star_tables_read_only_what_they_need(spark, mart):
+    tables = star.scan_entities(spark, str(mart / "stage"))
+    made = star.narrow_star(tables)
+
+    def sales_read(name):
+        schemas = re.findall(r"ReadSchema: struct<(.*?)>", physical_plan(made[name]))
+        return [s for s in schemas if "invoice" in s or "sales" in s or s == "customerkey:string"]
+
+    assert sales_read("dim_tempo") == ["invoice_date:string"]
+    assert set(sales_read("dim_clientes")) == {"customerkey:string"}
+    fact = physical_plan(made["ft_vendas"])
+    assert "Join" not in fact
+    assert len(re.findall(r"^\(\d+\) Exchange", fact, re.M)) == 1
+    assert "sha2" not in fact.split("Exchange")[0] or fact.index("sha2") > fact.index("Exchange")
+
+
+def test_sales_are_not_shuffled_for_small_lookups(spark, mart):
+    tables = star.scan_entities(spark, str(mart / "stage"))
+    from salesmart.operators.stage import wide_stage
+
+    plan = physical_plan(wide_stage(**tables))
+    assert plan.count("BroadcastHashJoin") > 0
+    assert not re.findall(r"^\(\d+\) Exchange", plan, re.M)
+    assert "PartitionFilters: [isnotnull(dt_foto" in plan
