@@ -97,9 +97,9 @@ def salted_left_join(
     that is a join should name the table its key comes from, so that the join is not worked
     out just for counting. Every key of `right_keys` must be on the right.
 
-    A salt is a hash of the whole row, not a random number, so a task run again after an
-    executor is lost puts every row where it was before. Rows that are copies of each other
-    share a salt; adaptive execution splits those partitions by map output.
+    A salt is a hash of the row and of the partition it is read in, not a random number or a
+    position, so a task run again after an executor is lost puts every row where it was
+    before. Rows that are copies of each other are spread too, by partition.
     """
     of_left = heavy_keys(left_keys or left, key, partitions).toDF("_left_key", "_left_salts")
     of_right = heavy_keys(right_keys or right, key, partitions).toDF("_right_key", "_right_salts")
@@ -116,7 +116,8 @@ def salted_left_join(
         ).drop("_left_key", "_right_key")
 
     def one_salt(df: DataFrame, salts: str):
-        return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(salts)).cast("int")
+        row = F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
+        return F.pmod(row, F.col(salts)).cast("int")
 
     def every_salt(salts: str):
         return F.explode(F.sequence(F.lit(0), F.col(salts) - 1))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.schemas import SNAPSHOT, data_columns
-from salesmart.sources.snapshots import ALL, LATEST, list_snapshots
+from salesmart.sources.snapshots import ALL, LATEST, NO_DAY, list_snapshots
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -63,8 +63,9 @@ def scan_table(spark: SparkSession, table: str, dt_foto: str = LATEST) -> DataFr
         return staged
     if dt_foto == LATEST:
         # Partition names come from the catalog, one row per day; no file is opened.
-        days = spark.sql(f"SHOW PARTITIONS {table}").agg(F.max("partition")).first()[0]
-        if days is None:
+        days = spark.sql(f"SHOW PARTITIONS {table}").where(~F.col("partition").endswith(NO_DAY))
+        last = days.agg(F.max("partition")).first()[0]
+        if last is None:
             raise FileNotFoundError(f"no snapshot in {table}")
-        dt_foto = days.split("=", 1)[1]
+        dt_foto = last.split("=", 1)[1]
     return staged.where(F.col(SNAPSHOT) == dt_foto)

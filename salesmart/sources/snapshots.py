@@ -14,6 +14,9 @@ from salesmart.schemas import SNAPSHOT, staged_schema
 LATEST = "latest"
 ALL = "all"
 
+# The partition Spark writes rows without a day to.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 
 def stamp_snapshot(df: DataFrame, run_date: dt.date) -> DataFrame:
     """Add dt_foto, the day before the run, as yyyyMMdd text."""
@@ -36,7 +39,8 @@ def list_snapshots(spark: SparkSession, path: str) -> list[str]:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{SNAPSHOT}=*")
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     found = fs.globStatus(jvm_path) or []
-    return sorted(status.getPath().getName().split("=", 1)[1] for status in found)
+    days = (status.getPath().getName().split("=", 1)[1] for status in found)
+    return sorted(day for day in days if day != NO_DAY)
 
 
 def scan_staged(
@@ -45,12 +49,14 @@ def scan_staged(
     """Staged rows, all text, of one snapshot day.
 
     Two days read together would multiply rows in every join, so the default is the
-    latest day. The filter is on the partition column: other days are not listed or read.
+    latest day. Only that day's directory is listed, so its size is what the planner sees.
     """
+    reader = spark.read.schema(staged_schema(schema)).option("basePath", path)
+    if dt_foto == ALL:
+        return reader.orc(path)
     if dt_foto == LATEST:
         days = list_snapshots(spark, path)
         if not days:
             raise FileNotFoundError(f"no snapshot at {path}")
         dt_foto = days[-1]
-    staged = spark.read.schema(staged_schema(schema)).orc(path)
-    return staged if dt_foto == ALL else staged.where(F.col(SNAPSHOT) == dt_foto)
+    return reader.orc(f"{path.rstrip('/')}/{SNAPSHOT}={dt_foto}")

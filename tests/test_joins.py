@@ -91,30 +91,26 @@ def test_left_join_broadcasts_by_size_only(spark, skewed, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
 
 
-def test_skewed_partitions_are_split(spark, skewed, no_broadcast):
-    """The part of the join that salts cannot split, equal rows, is left to AQE."""
-    names = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-    }
-    kept = {name: spark.conf.get(name) for name in names}
-    for name, value in names.items():
-        spark.conf.set(name, value)
+def test_a_third_of_equal_rows_is_spread(spark, no_broadcast):
+    """Rows that are copies of each other, under one key: no partition gets them all."""
+    left = spark.range(0, 60000, numPartitions=24).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 1000).cast("string")).alias("key")
+    )
+    right = spark.range(1000).select(F.col("id").cast("string").alias("key"), "id")
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        left = spark.range(0, 60000, numPartitions=8).select(
-            F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("key"),
-            F.lit("a copy").alias("sale"),
-        )
-        right = spark.range(50).select(F.col("id").cast("string").alias("key"), "id")
-        joined = salted_left_join(left, right, "key", 8)
-        assert joined.count() == 60000
-        joined.collect()
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin(skew=true)" in plan
+
+        def largest(df):
+            sizes = df.groupBy(F.spark_partition_id().alias("p")).count()
+            return sizes.agg(F.max("count")).first()[0]
+
+        assert largest(left.join(right, "key", "left")) > 20000
+        salted = salted_left_join(left, right, "key", 64)
+        assert largest(salted) < 16000
+        assert salted.count() == 60000
     finally:
-        for name, value in kept.items():
-            spark.conf.set(name, value)
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
 
 
 @pytest.fixture(scope="module")

@@ -191,4 +191,3 @@ def test_sales_are_not_shuffled_for_small_lookups(spark, mart):
     plan = physical_plan(wide_stage(**tables))
     assert plan.count("BroadcastHashJoin") > 0
     assert not re.findall(r"^\(\d+\) Exchange", plan, re.M)
-    assert "PartitionFilters: [isnotnull(dt_foto" in plan
