@@ -13,9 +13,12 @@ def blank_to_zero(c: Column) -> Column:
     return F.when(c.isNull() | (c == ""), F.lit("0.0")).otherwise(c)
 
 
-def _without_suffix(plain: Column) -> Column:
-    """NULL where the cast would take a Java type suffix, such as 5d, for part of a number."""
-    last = F.right(F.rtrim(plain, F.lit(BLANKS)), F.lit(1))
+def _checked(text: Column, plain: Column, dropped: str) -> Column:
+    """The plain number, or NULL where the cast would take a Java type suffix such as 5d.
+
+    The end is looked at in the text as it came, less what the plain form drops there.
+    """
+    last = F.right(F.rtrim(text, F.lit(BLANKS + dropped)), F.lit(1))
     has_suffix = last.isin("d", "D", "f", "F")
     return F.when(~has_suffix | plain.rlike(r"(?i)inf\s*$"), plain)
 
@@ -27,9 +30,10 @@ def parse_number_br(c: Column) -> Column:
     """
     text = blank_to_zero(c)
     plain = F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return _without_suffix(plain).try_cast("double")
+    return _checked(text, plain, ".").try_cast("double")
 
 
 def parse_number_us(c: Column) -> Column:
     """1,234.56 to a 32-bit float: commas group thousands."""
-    return _without_suffix(F.replace(c, F.lit(","), F.lit(""))).try_cast("float")
+    plain = F.replace(c, F.lit(","), F.lit(""))
+    return _checked(c, plain, ",").try_cast("float")

@@ -11,7 +11,6 @@ are shuffled once at most, and sales without a customer do not pile up under a N
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from salesmart.operators.skew import left_join
 from salesmart.schemas import SNAPSHOT, STAGE

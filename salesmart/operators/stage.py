@@ -20,7 +20,7 @@ from salesmart.functions import (
 )
 from salesmart.operators.conform import NARROW_TEXT, conform_column, conform_narrow_text
 from salesmart.operators.joins import NARROW, customers_with_lookups, join_customer, sales_columns
-from salesmart.operators.keys import key_of, wide_keys, narrow_keys, with_calendar
+from salesmart.operators.keys import key_of, narrow_keys, wide_keys, with_calendar
 from salesmart.schemas import STAGE, VENDAS
 
 CUSTOMER_KEYS = ["DW_CLIENTES", "DW_LOCALIDADE"]
@@ -95,10 +95,16 @@ def wide_stage(
     return stage.withColumns(sales_keys)
 
 
-def narrow_customers(customers: DataFrame, sep: str = "", token: str = NOT_INFORMED_TITLE) -> DataFrame:
-    """Customer columns of the narrow stage cleaned, with keys made of the raw values."""
-    keys = {name: narrow_keys(sep)[name] for name in CUSTOMER_KEYS
-            if name == "DW_CLIENTES" or "address_number" in customers.columns}
+def narrow_customers(
+    customers: DataFrame, sep: str = "", token: str = NOT_INFORMED_TITLE
+) -> DataFrame:
+    """Customer columns of the narrow stage cleaned, with keys made of the raw values.
+
+    Customers without an address column get the customer key alone.
+    """
+    has_address = "address_number" in customers.columns
+    names = CUSTOMER_KEYS if has_address else ["DW_CLIENTES"]
+    keys = {name: narrow_keys(sep)[name] for name in names}
     cleaned = {
         c: conform_narrow_text(F.col(c), token) for c in NARROW_TEXT if c in customers.columns
     }

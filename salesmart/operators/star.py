@@ -66,9 +66,8 @@ def dim_clientes(
 ) -> DataFrame:
     """Each sold customer with its name."""
     customers = narrow_customers(clientes.select("customerkey", "customer"), sep, token)
-    return _no_customer(sold_customers(vendas, customers, clientes), ["customer"], token, sep).select(
-        "DW_CLIENTES", "customerkey", "customer"
-    ).distinct()
+    sold = _no_customer(sold_customers(vendas, customers, clientes), ["customer"], token, sep)
+    return sold.select("DW_CLIENTES", "customerkey", "customer").distinct()
 
 
 def dim_localidade(
@@ -84,9 +83,8 @@ def dim_localidade(
         clientes.select("customerkey", "address_number", "customer"), endereco.select(*place)
     )
     customers = narrow_customers(located, sep, token)
-    return _no_customer(sold_customers(vendas, customers, clientes), place, token, sep).select(
-        "DW_LOCALIDADE", *place
-    ).distinct()
+    sold = _no_customer(sold_customers(vendas, customers, clientes), place, token, sep)
+    return sold.select("DW_LOCALIDADE", *place).distinct()
 
 
 def _no_customer(sold: DataFrame, names: list[str], token: str, sep: str) -> DataFrame:

@@ -15,7 +15,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Let Spark drop whole-stage code that the JVM would only interpret.
 
     Cleaning dozens of columns at once makes one generated method far beyond what HotSpot
-    compiles, and interpreting it is tens of times slower. With the limit at HotSpot's own,
+    compiles, and interpreting it takes about twice the time. With the limit at HotSpot's own,
     Spark generates such stages operator by operator, in methods that do get compiled. A
     limit the caller has set stays.
     """

@@ -27,7 +27,8 @@ def same_rows(a, b):
 
 @pytest.fixture
 def no_broadcast(spark):
-    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    limit = "autoBroadcastJoinThreshold"
+    names = [f"spark.sql.{limit}", f"spark.sql.adaptive.{limit}"]
     kept = {name: spark.conf.get(name, None) for name in names}
     for name in names:
         spark.conf.set(name, "-1")
@@ -66,6 +67,14 @@ def test_salted_join_gives_the_rows_of_the_plain_join(skewed, partitions):
     same_rows(salted_left_join(left, right, "key", partitions), left.join(right, "key", "left"))
 
 
+def test_salted_join_with_one_key_heavy_on_both_sides(spark, skewed):
+    left, right = skewed
+    hot = spark.range(90).select(F.lit("hot").alias("key"), (F.col("id") + 5000).alias("r"))
+    right = right.union(hot)
+    assert {r[0] for r in heavy_keys(right, "key", 16).collect()} == {"8", "hot"}
+    same_rows(salted_left_join(left, right, "key", 16), left.join(right, "key", "left"))
+
+
 def test_salted_join_with_an_empty_side(skewed):
     left, right = skewed
     none = right.where("false")
@@ -93,8 +102,9 @@ def test_left_join_broadcasts_by_size_only(spark, skewed, tmp_path):
 
 def test_a_third_of_equal_rows_is_spread(spark, no_broadcast):
     """Rows that are copies of each other, under one key: no partition gets them all."""
+    rest = (F.col("id") % 1000).cast("string")
     left = spark.range(0, 60000, numPartitions=24).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 1000).cast("string")).alias("key")
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(rest).alias("key")
     )
     right = spark.range(1000).select(F.col("id").cast("string").alias("key"), "id")
     kept = spark.conf.get("spark.sql.adaptive.enabled")

@@ -120,6 +120,8 @@ def test_parse_number_br(spark):
             ("5D ", None),
             ("5f", None),
             ("5F\t", None),
+            ("5d.", None),
+            ("5f .", None),
             ("1 2", None),
         ],
     )
@@ -138,6 +140,7 @@ def test_parse_number_us(spark):
             (None, None),
             ("n/d", None),
             ("5f", None),
+            ("5d,", None),
         ],
     )
 

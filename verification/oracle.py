@@ -55,7 +55,8 @@ def iso_date(c: str) -> str:
 
 
 def narrow_text(c: str) -> str:
-    return f"coalesce(regexp_replace({c}, '\\s{{2,}}', '{NOT_INFORMED_TITLE}', 'g'), '{NOT_INFORMED_TITLE}')"
+    token = f"'{NOT_INFORMED_TITLE}'"
+    return f"coalesce(regexp_replace({c}, '\\s{{2,}}', {token}, 'g'), {token})"
 
 
 def key(*parts: str) -> str:
@@ -179,10 +180,8 @@ def _gold_items(schema: T.StructType) -> str:
 
 def _rejects(kind: type[T.DataType], parse) -> str:
     names = [n for n in columns_of_type(VENDAS, kind) if n != SNAPSHOT]
-    return _from(
-        "vendas",
-        items({n: f"cast(count_if({n} is not null and {parse(n)} is null) as bigint)" for n in names}),
-    )
+    counts = {n: f"count_if({n} is not null and {parse(n)} is null)" for n in names}
+    return _from("vendas", items({n: f"cast({c} as bigint)" for n, c in counts.items()}))
 
 
 def _joined(columns: str, joins: str) -> str:

@@ -13,7 +13,7 @@ from salesmart.functions.keys import concat_key
 from salesmart.operators import conform, joins, keys, stage, star
 from salesmart.plans.export import export_entity
 from salesmart.plans.load import load_entity
-from salesmart.schemas import ENTITIES, STAGE, data_columns, staged_schema
+from salesmart.schemas import ENTITIES, data_columns
 from salesmart.sources import catalog, gold, raw, snapshots
 from verification.scratch import scratch_dir
 from verification.standins import PRICE_US, Standins
@@ -146,7 +146,10 @@ def _sales_column(name: str, **columns) -> Query:
 def parse_number_us(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Standins(spark, sf_dir).sales_rows()
     return rows.select(
-        "l_orderkey", "l_linenumber", "l_partkey", fn.parse_number_us(F.expr(PRICE_US)).alias("price")
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        fn.parse_number_us(F.expr(PRICE_US)).alias("price"),
     )
 
 

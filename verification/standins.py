@@ -133,7 +133,7 @@ CLIENTES = {
         "c_custkey % 31", ["null", "''", "'A  B'"], f"concat('A', {_text('c_custkey')})"
     ),
     "business_family": "concat('Family ', c_mktsegment)",
-    "business_unit": _either("c_custkey % 6", ["''", "null"], f"concat('U', {_text('c_nationkey')})"),
+    "business_unit": _either("c_custkey % 6", ["''", "null"], f"concat('U', {_NATION})"),
     "customer": _either(
         "c_custkey % 17",
         [
