@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe_ranks, simhash
-from salesmart.llm.common import table
+from salesmart.llm import bpe_ranks, lang_subword, secret_cnn, simhash, toxic_crf, url_digest, weak_rules
+from salesmart.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,18 +19,82 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+# The rules of op8: action, host, path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op2_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"]
+    return weak_rules.judged(docs).select(*columns)
+
+
+def op4_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxic_model(spark, docs, sf_dir)
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    return toxic_crf.tagged(docs.withColumn("held_out", held_out), model, without=["text"])
+
+
+def toxic_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxic_crf.Model | None:
+    """A tagger learned from the labels outside the held-out third."""
+    return toxic_crf.fit(docs, table(spark, sf_dir, "labels").where(crc_mod("doc_id", 3) != 1))
+
+
+def op5_secret_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_cnn.scanned(docs, secret_cnn.fit(docs), without=["text"])
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_url_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_digest.judged(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, without=["url"])
+
+
+def op9_lang_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = lang_subword.fit(docs.where(crc_mod("doc_id", 4) != 2))
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    return lang_subword.identified(docs.drop("lang").withColumn("held_out", held_out), model, without=["text"])
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_ranks.encode_documents(docs, tokenizer_path(), without=["text"])
 
 
 QUERIES: dict[str, Query] = {
+    "op2_weak_rules": op2_weak_rules,
+    "op4_toxic_crf": op4_toxic_crf,
+    "op5_secret_cnn": op5_secret_cnn,
     "op7_simhash": op7_simhash,
+    "op8_url_digest": op8_url_digest,
+    "op9_lang_subword": op9_lang_subword,
     "op10_bpe": op10_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+_HOST = "translate(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's')"
+_RULE_CASES = " ".join(
+    f"when (host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '{path}') then '{host}{path}'"
+    for _, host, path in sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+)
+_BLOCKED = ", ".join(f"'{host}{path}'" for action, host, path in URL_RULES if action == "block")
+
+ORACLE_SQL: dict[str, str] = {
+    "op8_url_digest": f"""
+        with parts as (select page_id, coalesce({_HOST}, '') as host, coalesce({_PATH}, '') as path from pages),
+             ruled as (select *, case {_RULE_CASES} end as rule from parts)
+        select *, case when rule in ({_BLOCKED}) then 'block' else 'allow' end as verdict from ruled
+    """,
+}
