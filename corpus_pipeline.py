@@ -5,19 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesmart.llm import bpe_ranks, simhash
+from salesmart.llm import bpe_ranks, line_templates, poisson_mix, simhash, toxic_crf
 from salesmart.llm.common import stored, table
-from salesmart.llm.queries import tokenizer_path
+from salesmart.llm.queries import tokenizer_path, toxic_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the tagger does not predict toxic."""
+    return toxic_crf.clean(docs, toxic_model(spark, docs, sf_dir))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines whose template an earlier document has."""
+    left = line_templates.deduplicated(docs, with_counts=False)
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near duplicates: the one with the smallest id."""
     return simhash.one_of_each(docs).select(docs.columns)
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated so that all sources get the same expected number of rows, shuffled."""
+    return poisson_mix.mixed(docs, with_draw=False)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with the digests of ids and decoded text."""
     columns = docs.select("doc_id", "lang", "source", "text")
@@ -25,7 +42,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
+    ("mix", mix),
     ("encode", encode),
 ]
 

@@ -103,3 +103,20 @@ def crc_mod(column, modulus: int):
 def text_column(df: DataFrame, name: str = "text") -> DataFrame:
     """df with `name` as a string column."""
     return df.withColumn(name, F.col(name).cast("string"))
+
+
+HEAVY_KEYS = 2000
+
+
+def skewed_join(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """rows with their key's row of `table` (one for each key), without moving heavy keys' rows.
+
+    `weight` is each key's number of rows. A key with 1 / HEAVY_KEYS of all rows or more is
+    heavy; there are HEAVY_KEYS such keys at most, so theirs alone are broadcast. Both inputs
+    are read twice and should be stored.
+    """
+    total = rows.count()
+    heavy = table.where(F.col(weight) * HEAVY_KEYS >= total)
+    light = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    by_shuffle = light.join(table.where(F.col(weight) * HEAVY_KEYS < total), key)
+    return rows.join(F.broadcast(heavy), key).unionByName(by_shuffle)

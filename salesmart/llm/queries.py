@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe_ranks, lang_subword, secret_cnn, simhash, toxic_crf, url_digest, weak_rules
+from salesmart.llm import bpe_ranks, lang_subword, line_templates, poisson_mix, secret_cnn, simhash, topk_saat, toxic_crf, url_digest, weak_rules
 from salesmart.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,12 +29,22 @@ URL_RULES = [
 ]
 
 
+def op1_topk_saat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk_saat.top_k(vectors.where("vec_id % 100 = 0"), vectors, k=10)
+
+
 def op2_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"]
     return weak_rules.judged(docs).select(*columns)
 
 
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.deduplicated(docs)
+
+
 def op4_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxic_model(spark, docs, sf_dir)
@@ -52,6 +62,10 @@ def op5_secret_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_cnn.scanned(docs, secret_cnn.fit(docs), without=["text"])
 
 
+def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return poisson_mix.mixed(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -74,9 +88,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_topk_saat": op1_topk_saat,
     "op2_weak_rules": op2_weak_rules,
+    "op3_line_templates": op3_line_templates,
     "op4_toxic_crf": op4_toxic_crf,
     "op5_secret_cnn": op5_secret_cnn,
+    "op6_poisson_mix": op6_poisson_mix,
     "op7_simhash": op7_simhash,
     "op8_url_digest": op8_url_digest,
     "op9_lang_subword": op9_lang_subword,
@@ -91,7 +108,72 @@ _RULE_CASES = " ".join(
 )
 _BLOCKED = ", ".join(f"'{host}{path}'" for action, host, path in URL_RULES if action == "block")
 
+_SPACE = r"[\x20\x09-\x0D]+"
+_FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+# Parts of a long line's other words: four slices of the words after the first three.
+_PARTS = [f"array_to_string(w[4 + (n - 3) * {i} // 4 : 3 + (n - 3) * {i + 1} // 4], ' ')" for i in range(4)]
+_OPENED = ", ".join(
+    "concat_ws(chr(10), n, array_to_string(w[1:3], ' '), {}, {})".format(i, ", ".join(p for j, p in enumerate(_PARTS) if j != i))
+    for i in range(4)
+)
+_LINES = f"""
+    lines as (
+        select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos
+        from documents where text is not null),
+    parsed as (
+        select doc_id, pos, line, w, len(w) as n from (
+            select *, list_filter(regexp_split_to_array(regexp_replace(line, '{_FIELD}', '<*>', 'g'), '{_SPACE}'), lambda x: x != '') as w
+            from lines)),
+    nodes as (
+        select doc_id, pos, unnest(case when n >= 20 then [{_OPENED}] when n >= 2 then [array_to_string(w, ' ')] else [] end) as t,
+            case when n >= 5 then 2 else 50 end as need
+        from parsed where doc_id is not null),
+    known as (
+        select t, min(doc_id) as first from nodes
+        group by t having count(distinct doc_id) >= max(need) and count(distinct doc_id) > 1),
+    dropped as (select distinct doc_id, pos from nodes join known using (t) where doc_id != first)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_topk_saat": """
+        with vectors as (
+                select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as q from embeddings
+                where vec_id is not null and embedding is not null
+                    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+             scored as (
+                select a.vec_id as query_id, b.vec_id,
+                    list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::bigint as score
+                from vectors a join vectors b on a.vec_id % 100 = 0 and a.vec_id != b.vec_id),
+             ranked as (
+                select *, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank from scored)
+        select query_id, rank, vec_id, score from ranked where rank <= 10
+    """,
+    "op3_line_templates": f"""
+        with {_LINES},
+             left_over as (
+                select doc_id, count(*) as n_lines, count(d.pos) as n_dropped,
+                    coalesce(string_agg(line, chr(10) order by pos) filter (where d.pos is null), '') as text
+                from parsed left join dropped d using (doc_id, pos) group by doc_id)
+        select doc_id, l.text, coalesce(n_lines, 0) as n_lines, coalesce(n_dropped, 0) as n_dropped
+        from documents left join left_over l using (doc_id)
+    """,
+    "op6_poisson_mix": """
+        with counts as (select source, count(*) as n from documents group by source),
+             rates as (
+                select source, least(1.0::double * (select sum(n) from counts)::double / (select count(*) from counts)::double / n, 100.0::double) as rate
+                from counts),
+             terms as (
+                select source, rate, k, exp(-rate) * pow(rate, k) / gamma(k + 1) as term
+                from rates, range(0, 170) as r(k)),
+             reached as (select source, rate, k, sum(term) over (partition by source order by k) as total from terms),
+             levels as (select source, rate, list(total order by k) as totals from reached group by source, rate),
+             drawn as (
+                select d.*, rate, (('0x' || substr(md5('42:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint + 0.5::double) / 4503599627370496 as u, totals
+                from documents d join levels l on d.source is not distinct from l.source),
+             counted as (select * exclude (u, totals), len(list_filter(totals, lambda x: x < u))::int as copies from drawn)
+        select *, md5('42-order:' || coalesce(doc_id::varchar, 'null') || ':' || copy) as mix_key
+        from (select *, unnest(range(0, copies))::int as copy from counted)
+    """,
     "op8_url_digest": f"""
         with parts as (select page_id, coalesce({_HOST}, '') as host, coalesce({_PATH}, '') as path from pages),
              ruled as (select *, case {_RULE_CASES} end as rule from parts)

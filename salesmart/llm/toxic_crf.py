@@ -18,6 +18,7 @@ a result.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -271,8 +272,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     return train([r.text for r in rows], [int(r.toxic) for r in rows])
 
 
-def tagged(docs: DataFrame, model: Model | None, *, text: str = "text", without: list[str] | None = None, clean_only: bool = False) -> DataFrame:
+def tagged(docs: DataFrame, model: Model | None, *, text: str = "text", without: list[str] | None = None) -> DataFrame:
     """docs with score, predicted, n_toxic_words and toxic_spans (start:end, comma-joined)."""
+    return add_columns(text_column(docs, text), text, _scorer(docs, model), FIELDS, without=without or [])
+
+
+def clean(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFrame:
+    """The rows of docs that are not predicted toxic."""
+    score = _scorer(docs, model)
+
+    def make(values: list) -> dict[str, list]:
+        return {"_toxic": score(values)["predicted"]}
+
+    field = T.StructField("_toxic", T.IntegerType())
+    kept = add_columns(text_column(docs, text), text, make, [field], keep_if=lambda made: [x == 0 for x in made["_toxic"]])
+    return kept.select(docs.columns)
+
+
+def _scorer(docs: DataFrame, model: Model | None) -> Callable[[list], dict[str, list]]:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     own: list[Tagger] = []
 
@@ -298,5 +315,4 @@ def tagged(docs: DataFrame, model: Model | None, *, text: str = "text", without:
             "toxic_spans": [",".join(f"{a}:{b}" for a, b in found) for found in marked],
         }
 
-    keep_if = (lambda made: [x == 0 for x in made["predicted"]]) if clean_only else None
-    return add_columns(text_column(docs, text), text, make, FIELDS, without=without or [], keep_if=keep_if)
+    return make
