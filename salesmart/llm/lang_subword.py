@@ -33,7 +33,7 @@ TRAIN_CHARS = 600
 BUCKETS = 1 << 15
 DIM = 16
 SUBWORDS = (2, 3, 4)
-EPOCHS = 4
+VISITS = 16_000  # documents looked at in training, some of them again and again
 RATE = 2.0
 HELD_BACK = 5  # one in so many training documents calibrates
 REJECT_ACCURACY = 0.99
@@ -117,7 +117,7 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model | None:
     weights, bias = rng.normal(0, 0.1, (DIM, len(names))), np.zeros(len(names))
     back = np.arange(len(texts)) % HELD_BACK == HELD_BACK - 1
     learn = np.flatnonzero(~back) if back.any() else np.arange(len(texts))
-    for _ in range(EPOCHS):
+    for _ in range(-(-VISITS // len(learn))):
         rng.shuffle(learn)
         for start in range(0, len(learn), 32):
             rows = learn[start : start + 32]
