@@ -6,8 +6,9 @@ its lowest LEVEL_BITS bits). A query takes segments by descending contribution,
 times the segment's bound, in rounds of falling levels, and adds them up in one accumulator for
 each row. What a row can still gain in a dimension is the contribution of that dimension's next
 segment, which gives each row an upper bound. The k-th best exact score so far is the threshold.
-Rows whose bound lies below it are proved out; the search stops when few rows are left or all
-segments are taken, and scores those rows exactly. Nothing else ends it, so the result is exact.
+Rows whose bound lies below it are proved out. The search ends when so few rows are left that
+scoring them exactly is less work than the segments not taken yet, or when all are taken; every
+row left is then scored exactly. Nothing else drops a row, so the result is exact.
 
 Queries meet each block once, in blocks of QUERY_ROWS of their own; each pair of blocks gives k
 rows for a query, ranked over all blocks at the end.
@@ -32,10 +33,8 @@ BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
 LEVEL_BITS = 4
 # Levels of the rounds, as shares of a query's largest contribution; the last one takes all.
-ROUNDS = (0.3, 0.1, 0.0, -0.08, -0.2, None)
-PROOF_FROM = 0.1  # before this level no bound is tight enough to be worth working out
-FEW_ROWS = 256  # so many rows are cheaper to score than another round
-SEED_ROWS = 64
+ROUNDS = (0.25, 0.0, -0.1, None)
+SEED_ROWS = 64  # rows that are scored exactly in each round for a better threshold
 
 INDEX = "block int, dim int, rows array<int>, impacts array<long>, vec_ids array<long>"
 FOUND = "query_id long, vec_id long, score long"
@@ -98,23 +97,28 @@ class Block:
         self.matrix = np.zeros((len(self.ids), len(self.rows)), np.int64)
         for d, (rows, values) in enumerate(zip(self.rows, impacts, strict=True)):
             self.matrix[rows, d] = values
-        self.levels = self.matrix >> LEVEL_BITS
+        self.largest = int(np.abs(self.matrix).max(initial=0))
         levels = [x >> LEVEL_BITS for x in impacts]
-        # bounds of the segment that each posting lies in, and for a negative component reversed
+        # bounds of the segment that each posting lies in; reversed for a negative component
         self.top = [((x + 1) << LEVEL_BITS) - 1 for x in levels]
         self.bottom = [(x << LEVEL_BITS)[::-1] for x in levels]
         self.backward = [r[::-1] for r in self.rows]
 
+    def scores(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Exact scores; whole numbers below 2 ** 53 are exact as doubles, which are faster."""
+        if self.largest * int(np.abs(q).max(initial=0)) * max(1, len(q)) < 1 << 53:
+            return (self.matrix[rows].astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
+        return self.matrix[rows] @ q
+
     def search(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact scores of the k best rows, ties to smaller ids."""
-        n, dims = self.matrix.shape
+        dims = self.matrix.shape[1]
         q = np.pad(q, (0, max(0, dims - len(q))))[:dims]
-        alive = np.flatnonzero(self.ids != query_id)
-        if len(alive) > FEW_ROWS and q.any():
-            alive = self._possible(q, k, alive)
-        scores = self.matrix[alive] @ q
-        best = np.lexsort((self.ids[alive], -scores))[:k]
-        return self.ids[alive][best], scores[best]
+        others = np.flatnonzero(self.ids != query_id)
+        possible = self._possible(q, k, others) if q.any() else others
+        scores = self.scores(possible, q)
+        best = np.lexsort((self.ids[possible], -scores))[:k]
+        return self.ids[possible][best], scores[best]
 
     def _possible(self, q: np.ndarray, k: int, alive: np.ndarray) -> np.ndarray:
         """Those of the rows `alive` that may be among their k best."""
@@ -124,31 +128,25 @@ class Block:
         first, last = max(g[0] for g in gains), min(g[-1] for g in gains)
         gained = np.zeros(len(self.ids), np.int64)
         taken = [0] * len(used)
-        up, rest = q[used] > 0, np.array([g[0] for g in gains], float)
-        edges = np.where(up, np.iinfo(np.int64).max, np.iinfo(np.int64).min)
         threshold = -np.inf
         for share in ROUNDS:
             level = last if share is None else first * share
+            rest = 0  # what a row can still gain at most
             for i, ((rows, _), gain) in enumerate(zip(lists, gains, strict=True)):
                 end = len(gain) - int(gain[::-1].searchsorted(level))
                 if end > taken[i]:
                     gained[rows[taken[i] : end]] += gain[taken[i] : end]
                     taken[i] = end
-                    rest[i] = gain[end] if end < len(gain) else 0
-                    edges[i] = self.levels[rows[end - 1], used[i]]
-            if share is not None and share > PROOF_FROM:
-                continue
-            levels = self.levels[alive] if len(used) == len(q) else self.levels[np.ix_(alive, used)]
-            seen = np.where(up, levels >= edges, levels <= edges)
-            missing = np.where(seen, 0.0, rest)  # whole numbers below 2 ** 53
-            bound = gained[alive] + missing.sum(1)
-            if len(alive) > SEED_ROWS:
+                if end < len(gain) and gain[end] > 0:
+                    rest += gain[end]
+            bound = gained[alive] + rest
+            if len(alive) > SEED_ROWS >= k:
                 lead = alive[np.argpartition(-bound, SEED_ROWS)[:SEED_ROWS]]
-                exact = self.matrix[lead] @ q
-                threshold = max(threshold, np.partition(exact, -k)[-k] if len(exact) >= k else -np.inf)
+                threshold = max(threshold, np.partition(self.scores(lead, q), -k)[-k])
             alive = alive[bound >= threshold]
-            if len(alive) <= FEW_ROWS:
-                break
+            left = sum(map(len, gains)) - sum(taken)
+            if len(alive) * len(used) <= left:
+                break  # scoring the rest exactly takes less than adding up further segments
         return alive
 
 
