@@ -36,39 +36,55 @@ FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 OPEN = "<*>"
 
 
+def templates(lines: Column) -> Column:
+    """For each line of an array the hashes of the templates it belongs to, none for one word.
+
+    The lowest bit tells the template of a short line. Each step is an array of its own, as a
+    value used twice inside one step would be worked out twice.
+    """
+    nodes = F.transform(F.transform(lines, words), _node)
+    return F.transform(nodes, _line_templates)
+
+
 def words(line: Column) -> Column:
-    """Words of a line, variable fields as OPEN. The trim spares an empty word at either end."""
+    """Words of a line, variable fields as OPEN; a line without any has one empty word."""
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, OPEN)).otherwise(line)
-    return F.filter(F.split(masked, SPACES), lambda word: word != "")
+    return F.split(F.btrim(masked, F.lit(" \t\n\x0b\x0c\r")), SPACES)
 
 
-def line_templates(tokens: Column) -> Column:
-    """Hashes of the templates that a line of these words belongs to; none for one word."""
+def _node(tokens: Column) -> Column:
+    """Number of words, leaf, and the hashes of the quarters of a long line or of a whole one."""
     n = F.size(tokens)
     rest = n - LEADING
-    leaf = F.xxhash64(n, F.slice(tokens, 1, LEADING))
     starts = [F.floor(rest * i / PARTS).cast("int") for i in range(PARTS + 1)]
-    parts = [F.xxhash64(F.slice(tokens, a + (LEADING + 1), b - a)) for a, b in zip(starts, starts[1:], strict=False)]
-    opened = [F.xxhash64(leaf, F.lit(i), *[p for j, p in enumerate(parts) if j != i]) for i in range(PARTS)]
-    whole = F.xxhash64(n, tokens)
+    quarters = [F.xxhash64(F.slice(tokens, a + (LEADING + 1), b - a)) for a, b in zip(starts, starts[1:], strict=False)]
+    leaf = F.xxhash64(n, F.slice(tokens, 1, LEADING))
+    parts = F.when(n >= LONG_LINE, F.array(*quarters)).otherwise(F.array(F.xxhash64(tokens)))
+    return F.struct(n.alias("n"), leaf.alias("leaf"), parts.alias("parts"))
+
+
+def _line_templates(node: Column) -> Column:
+    n, leaf, parts = node["n"], node["leaf"], node["parts"]
+    opened = [F.xxhash64(leaf, F.lit(i), *[parts[j] for j in range(PARTS) if j != i]) for i in range(PARTS)]
+    whole = F.xxhash64(leaf, parts[0]).bitwiseAND(-2)
     none = F.array().cast("array<bigint>")
-    return F.when(n >= LONG_LINE, F.array(*opened)).when(n >= 2, F.array(whole)).otherwise(none)
+    return (
+        F.when(n >= LONG_LINE, F.array(*[h.bitwiseAND(-2) for h in opened]))
+        .when(n >= SHORT_LINE, F.array(whole))
+        .when(n >= 2, F.array(whole.bitwiseOR(1)))
+        .otherwise(none)
+    )
 
 
 def recurring(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, drop): for each document that loses lines, the templates they belong to."""
-    need = lambda t: F.when(F.size(t) >= SHORT_LINE, MIN_DOCS).otherwise(SHORT_MIN_DOCS)
-    node = lambda t: F.transform(line_templates(t), lambda x: F.struct(x.alias("t"), need(t).alias("need")))
-    lines = docs.where("doc_id is not null").select("doc_id", F.split(F.col(text).cast("string"), "\n").alias("lines"))
-    parsed = lines.select("doc_id", F.transform("lines", words).alias("tokens"))
-    nodes = parsed.select("doc_id", F.array_distinct(F.flatten(F.transform("tokens", node))).alias("nodes"))
-    seen = stored(nodes.select("doc_id", F.explode("nodes").alias("x")).select("doc_id", "x.t", "x.need"), "lines")
-    counted = seen.groupBy("t").agg(
-        F.count(F.lit(1)).alias("n"), F.max("need").alias("least"),
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
-    )
-    known = stored(counted.where("n >= least and first != last").select("t", "n", "first"), "templates")
-    hits = skewed_join(seen.select("doc_id", "t"), known, "t", "n").where("doc_id != first")
+    lines = F.split(F.col(text).cast("string"), "\n")
+    own = docs.where("doc_id is not null").select("doc_id", F.array_distinct(F.flatten(templates(lines))).alias("t"))
+    seen = stored(own.select("doc_id", F.explode("t").alias("t")), "lines")
+    counted = seen.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    need = F.when(F.col("t").bitwiseAND(1) == 1, SHORT_MIN_DOCS).otherwise(MIN_DOCS)
+    known = stored(counted.where((F.col("n") >= need) & (F.col("first") != F.col("last"))).select("t", "n", "first"), "templates")
+    hits = skewed_join(seen, known, "t", "n").where("doc_id != first")
     return hits.groupBy("doc_id").agg(F.collect_set("t").alias("drop"))
 
 
@@ -77,8 +93,7 @@ def deduplicated(docs: DataFrame, text: str = "text", *, with_counts: bool = Tru
     n_dropped too."""
     dropped = recurring(docs, text).withColumnRenamed("drop", "_drop")
     df = docs.join(dropped, "doc_id", "left").withColumn("_lines", F.split(F.col(text).cast("string"), "\n"))
-    df = df.withColumn("_of", F.when(F.col("_drop").isNotNull(), F.transform("_lines", words)))
-    df = df.withColumn("_of", F.transform("_of", line_templates))
+    df = df.withColumn("_of", F.when(F.col("_drop").isNotNull(), templates(F.col("_lines"))))
     left = F.filter(F.arrays_zip("_lines", "_of"), lambda x: ~F.arrays_overlap(x["_of"], F.col("_drop")))
     df = df.withColumn("_left", left)
     joined = F.array_join(F.transform("_left", lambda x: x["_lines"]), "\n")
