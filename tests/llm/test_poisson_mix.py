@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart.llm import poisson_mix
+from salesmart.llm.poisson_mix import inverse_poisson, mixed, uniform
+from tests.llm.helpers import docs
+
+
+def test_inverse_distribution(spark):
+    rows = [(u, rate) for rate in (0.0, 0.01, 0.7, 3.0, 40.0, 100.0) for u in np.linspace(0.0005, 0.9995, 200).tolist() + [1 - 1e-13]]
+    frame = spark.createDataFrame(rows, "u double, rate double")
+    for r in frame.withColumn("k", inverse_poisson(F.col("u"), F.col("rate"))).collect():
+        term = total = math.exp(-r.rate)
+        k = 0
+        while total < r.u and k < poisson_mix.MAX_COPIES:
+            k += 1
+            term *= r.rate / k
+            total += term
+        assert r.k == k
+
+
+def test_uniform(spark):
+    got = [r.u for r in spark.range(20000).select(uniform(1, "id").alias("u")).collect()]
+    assert abs(np.mean(got) - 0.5) < 0.01 and abs(np.var(got) - 1 / 12) < 0.005 and 0 < min(got) and max(got) < 1
+
+
+def test_sources_reach_their_weights(spark):
+    frame = spark.range(30000).selectExpr("id as doc_id", "'t' as text", "case when id % 3 = 0 then 'hot' else concat('s', id % 10) end as source")
+    weights = {"hot": 1.0, **{f"s{i}": 1.0 for i in range(9)}}
+    rows = mixed(frame, weights, size=1.5, seed=3).collect()
+    counts = Counter(r.source for r in rows)
+    assert set(counts) == set(weights)  # s9 has no weight
+    assert all(abs(n - 4500) < 5 * math.sqrt(4500) for n in counts.values())
+    assert Counter(r.doc_id for r in rows) == Counter({r.doc_id: r.copies for r in rows})
+    assert sorted(map(str, rows)) == sorted(map(str, mixed(frame, weights, size=1.5, seed=3).collect()))
+    assert {r.doc_id for r in rows} != {r.doc_id for r in mixed(frame, weights, size=1.5, seed=4).collect()}
+
+
+def test_shuffle_is_global(spark):
+    frame = spark.range(4000).selectExpr("id as doc_id", "'t' as text", "concat('s', int(id / 1000)) as source")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = mixed(frame).groupBy(F.spark_partition_id().alias("p"), "source").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len({r.p for r in parts}) == 8 and len(parts) == 32
+    order = [r.doc_id for r in mixed(frame).collect()]
+    assert abs(np.corrcoef(order, range(len(order)))[0, 1]) < 0.1
+
+
+@pytest.mark.parametrize("broadcast", [0, 10_000])
+def test_odd_rows(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(poisson_mix, "MAX_BROADCAST_SOURCES", broadcast)
+    frame = docs(spark, [None, "", "x", "x"] * 50).selectExpr("doc_id % 100 as doc_id", "text", "case when doc_id % 2 = 0 then source end as source", "'mine' as rate")
+    frame = frame.union(frame.where("doc_id = 5").selectExpr("null", "text", "source", "rate"))
+    rows = mixed(frame, {None: 2.0, "src0": 1.0}).collect()
+    assert {r.source for r in rows} == {None, "src0"} and all(isinstance(r.rate, float) for r in rows)
+    assert all(r.copies == next(x.copies for x in rows if (x.doc_id, x.source) == (r.doc_id, r.source)) for r in rows)
+    assert mixed(frame.where("false")).collect() == [] and mixed(frame, {}).collect() == []
+    with pytest.raises(ValueError):
+        mixed(frame, {"src0": -1.0})
