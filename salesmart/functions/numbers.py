@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLANKS = " \t\n\x0b\x0c\r"
+from salesmart.functions.text import BLANKS
+
+# The blanks that Spark's own cast ignores around a number.
+CAST_BLANKS = " \t\n\x0b\x0c\r"
 
 
 def blank_to_zero(c: Column) -> Column:
@@ -13,27 +16,28 @@ def blank_to_zero(c: Column) -> Column:
     return F.when(c.isNull() | (c == ""), F.lit("0.0")).otherwise(c)
 
 
-def _checked(text: Column, plain: Column, dropped: str) -> Column:
-    """The plain number, or NULL where the cast would take a Java type suffix such as 5d.
+def _has_suffix(text: Column, blanks: str, dropped: str) -> Column:
+    """Whether text ends in a Java type suffix such as 5d, which a cast would take.
 
-    The end is looked at in the text as it came, less what the plain form drops there.
+    What the cast ignores and the marks that are dropped may follow it. The search for
+    infinity is made for such endings alone.
     """
-    last = F.right(F.rtrim(text, F.lit(BLANKS + dropped)), F.lit(1))
-    has_suffix = last.isin("d", "D", "f", "F")
-    return F.when(~has_suffix | plain.rlike(r"(?i)inf\s*$"), plain)
+    last = F.right(F.rtrim(text, F.lit(blanks + dropped)), F.lit(1))
+    infinite = F.rtrim(F.replace(text, F.lit(dropped), F.lit("")), F.lit(blanks)).rlike(r"(?i)inf\z")
+    return last.isin("d", "D", "f", "F") & ~infinite
 
 
 def parse_number_br(c: Column) -> Column:
     """1.234,56 to a double: points group thousands, the comma is the decimal mark.
 
-    The cast itself ignores blanks around the number.
+    Blanks of any kind around the number are ignored.
     """
-    text = blank_to_zero(c)
+    text = F.btrim(blank_to_zero(c), F.lit(BLANKS))
     plain = F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return _checked(text, plain, ".").try_cast("double")
+    return F.when(_has_suffix(c, BLANKS, "."), None).otherwise(plain).try_cast("double")
 
 
 def parse_number_us(c: Column) -> Column:
     """1,234.56 to a 32-bit float: commas group thousands."""
     plain = F.replace(c, F.lit(","), F.lit(""))
-    return _checked(c, plain, ",").try_cast("float")
+    return F.when(_has_suffix(c, CAST_BLANKS, ","), None).otherwise(plain).try_cast("float")

@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 NOT_INFORMED = "Não informado"
 NOT_INFORMED_TITLE = "Não Informado"
 
-# Two or more blanks, counting every Unicode blank; Java's \s alone is ASCII only.
-BLANK_RUN = r"[\s\x0b\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}"
+# Every Unicode blank; Java's \s alone is ASCII only.
+BLANKS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+BLANK_RUN = f"[{BLANKS}]{{2,}}"
 
 
 def clean_string(c: Column, token: str = NOT_INFORMED) -> Column:

@@ -6,16 +6,33 @@ keys are customer columns, and an equality never holds for NULL, so the chain ma
 bracketed the other way: look everything up on the customer side, then join once to the
 sales. The rows are the same, repeated keys and missing matches included, but the sales
 are shuffled once at most, and sales without a customer do not pile up under a NULL key.
+
+How often a key occurs on either side of a join follows from counts of the base tables alone:
+a customer row is there once for each match in the lookups joined before. So keys are counted
+in the base tables, and the rows of `clientes` are weighted by their matches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
-from salesmart.operators.skew import left_join
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from salesmart.operators.skew import (
+    AUTO,
+    ROWS,
+    SALTED,
+    Heavy,
+    heavy_keys,
+    key_counts,
+    salted_left_join,
+    shuffle_partitions,
+    way_to_join,
+)
 from salesmart.schemas import SNAPSHOT, STAGE
 
-# The sixteen columns of the narrow stage.
+# The sixteen columns of the narrow stage, in contract order.
 NARROW = [
     "customerkey",
     "discount_amount",
@@ -35,44 +52,157 @@ NARROW = [
     "state",
 ]
 
+# A way for all joins, or one for each key as `Lookups.ways` gives them.
+Ways = str | Mapping[str, str]
+
+# What cleaning and two hashed keys add to a customer row at most, in bytes.
+CLEANING_ADDS = 600
+
+# The keys of the lookups, in the order in which customers are joined to them.
+LOOKUP_KEYS = ("address_number", "division", "region_code")
+
+# Columns that tell the rows of one key apart, where a side has them.
+SPREAD_BY = ("invoice_number", "line_number", "invoice_date", "customerkey", "customer", "zip_code")
+
 
 def sales_columns(vendas: DataFrame) -> DataFrame:
     """Sales with their snapshot date under its stage name."""
     return vendas.withColumnRenamed(SNAPSHOT, "data_foto")
 
 
+class Lookups:
+    """Customers with the lookups they are joined to, and the counts of their keys."""
+
+    def __init__(self, clientes: DataFrame, **lookups: DataFrame):
+        """`lookups` by key: address_number, division, region_code; any may be left out."""
+        self.clientes = clientes
+        self.tables = {key: lookups[key] for key in LOOKUP_KEYS if key in lookups}
+        self._heavy: dict[str, tuple[Heavy, Heavy]] = {}
+
+    def ways(self, how: Ways = AUTO) -> Mapping[str, str]:
+        """How to join each lookup, and the sales to the customers (`customerkey`).
+
+        Under AUTO that measures the raw rows, one job for each side whose size the planner
+        does not know. A run of several tables asks once and hands the answer down.
+        """
+        if not isinstance(how, str):
+            return how
+        found = {key: way_to_join(table.drop(SNAPSHOT), how) for key, table in self.tables.items()}
+        return found | {"customerkey": way_to_join(self.rows(found), how, CLEANING_ADDS)}
+
+    def rows(self, how: Ways = AUTO) -> DataFrame:
+        """Every customer with the columns of its lookups."""
+        found = self.clientes
+        for key, table in self.tables.items():
+            right = table.drop(SNAPSHOT)
+            if way_to_join(right, how if isinstance(how, str) else how[key]) == SALTED:
+                found = salted_left_join(found, right, key, *self.heavy(key), SPREAD_BY)
+            else:
+                found = found.join(F.broadcast(right), key, "left")
+        return found
+
+    def heavy(self, key: str) -> tuple[Heavy, Heavy]:
+        """Heavy keys where a lookup is joined, on the left and on the right. For
+        `customerkey`, where the customers are on the right, the left is not known here."""
+        if not self._heavy:
+            self._heavy = self._count_heavy()
+        return self._heavy[key]
+
+    def _count_heavy(self) -> dict[str, tuple[Heavy, Heavy]]:
+        """One job for each side of each join, over the keys of the base tables."""
+        partitions = shuffle_partitions(self.clientes)
+        weighted = self.weighted().persist()
+        try:
+            found, weight = {}, F.lit(1)
+            for key, table in self.tables.items():
+                left = heavy_keys(key_counts(weighted, key, weight), key, partitions)
+                found[key] = left, heavy_keys(key_counts(table, key), key, partitions)
+                weight = weight * F.col(f"_{key}")
+            customers = key_counts(weighted, "customerkey", weight)
+            found["customerkey"] = [], heavy_keys(customers, "customerkey", partitions)
+        finally:
+            weighted.unpersist()
+        return found
+
+    def counts(self, key: str) -> DataFrame:
+        """Rows for each `key` once all lookups are joined."""
+        weight: Column = F.lit(1)
+        for joined in self.tables:
+            weight = weight * F.col(f"_{joined}")
+        return key_counts(self.weighted(), key, weight)
+
+    def weighted(self) -> DataFrame:
+        """The keys of `clientes`, and for each lookup the number of rows it makes of a row.
+
+        Only keys that a lookup has more than once matter, so those alone are joined, and a
+        lookup without any costs one aggregation.
+        """
+        df = self.clientes.select(*dict.fromkeys(["customerkey", *self.tables]))
+        for key, table in self.tables.items():
+            repeated = key_counts(table, key).where(F.col(ROWS) > 1)
+            df = df.join(repeated.withColumnRenamed(ROWS, f"_{key}"), key, "left")
+        return df.withColumns({f"_{key}": F.coalesce(f"_{key}", F.lit(1)) for key in self.tables}) if self.tables else df
+
+
+def all_lookups(clientes: DataFrame, endereco: DataFrame, divisao: DataFrame, regiao: DataFrame) -> Lookups:
+    return Lookups(clientes, address_number=endereco, division=divisao, region_code=regiao)
+
+
+def narrow_lookups(clientes: DataFrame, endereco: DataFrame, divisao: DataFrame, regiao: DataFrame) -> Lookups:
+    """The lookups of the narrow stage.
+
+    No division or region column is kept, but a lookup with a repeated key still repeats
+    rows, so both stay joined, by their keys alone.
+    """
+    return all_lookups(
+        clientes.select("customerkey", "address_number", "customer", "division", "region_code"),
+        endereco.select("address_number", "city", "country", "state"),
+        divisao.select("division"),
+        regiao.select("region_code"),
+    )
+
+
 def join_customer(
-    vendas: DataFrame, customers: DataFrame, clientes: DataFrame | None = None
+    vendas: DataFrame,
+    customers: DataFrame,
+    lookups: Lookups,
+    how: Ways = AUTO,
+    unique_sales: bool = False,
 ) -> DataFrame:
-    """Sales with their customers. `clientes` is the table that joined customers stem from."""
-    return left_join(vendas, customers.drop(SNAPSHOT), "customerkey", right_keys=clientes)
+    """Sales with their customers, which stem from `lookups`.
 
+    Sales that have each key once are never salted. A way that is not decided yet is decided
+    by the raw customers, so that their cleaning is not worked out for it.
+    """
+    right = customers.drop(SNAPSHOT)
+    if lookups.ways(how)["customerkey"] != SALTED:
+        return vendas.join(F.broadcast(right), "customerkey", "left")
+    heavy: Heavy = []
+    if not unique_sales:
+        counts = key_counts(vendas, "customerkey")
+        heavy = heavy_keys(counts, "customerkey", shuffle_partitions(vendas))
+    return salted_left_join(
+        vendas, right, "customerkey", heavy, lookups.heavy("customerkey")[1], SPREAD_BY
+    )
 
-def join_address(
-    customers: DataFrame, endereco: DataFrame, clientes: DataFrame | None = None
-) -> DataFrame:
-    return left_join(customers, endereco.drop(SNAPSHOT), "address_number", left_keys=clientes)
 
+def join_address(clientes: DataFrame, endereco: DataFrame, how: Ways = AUTO) -> DataFrame:
+    return Lookups(clientes, address_number=endereco).rows(how)
 
-def join_division(
-    customers: DataFrame, divisao: DataFrame, clientes: DataFrame | None = None
-) -> DataFrame:
-    return left_join(customers, divisao.drop(SNAPSHOT), "division", left_keys=clientes)
 
+def join_division(clientes: DataFrame, divisao: DataFrame, how: Ways = AUTO) -> DataFrame:
+    return Lookups(clientes, division=divisao).rows(how)
 
-def join_region(
-    customers: DataFrame, regiao: DataFrame, clientes: DataFrame | None = None
-) -> DataFrame:
-    return left_join(customers, regiao.drop(SNAPSHOT), "region_code", left_keys=clientes)
+
+def join_region(clientes: DataFrame, regiao: DataFrame, how: Ways = AUTO) -> DataFrame:
+    return Lookups(clientes, region_code=regiao).rows(how)
 
 
 def customers_with_lookups(
-    clientes: DataFrame, endereco: DataFrame, divisao: DataFrame, regiao: DataFrame
+    clientes: DataFrame, endereco: DataFrame, divisao: DataFrame, regiao: DataFrame, how: Ways = AUTO
 ) -> DataFrame:
     """Every customer with address, division and region."""
-    found = join_address(clientes, endereco)
-    found = join_division(found, divisao, clientes)
-    return join_region(found, regiao, clientes)
+    return all_lookups(clientes, endereco, divisao, regiao).rows(how)
 
 
 def stage_join(
@@ -81,10 +211,12 @@ def stage_join(
     endereco: DataFrame,
     divisao: DataFrame,
     regiao: DataFrame,
+    how: Ways = AUTO,
 ) -> DataFrame:
     """The wide stage, 43 columns, values as they arrived."""
-    customers = customers_with_lookups(clientes, endereco, divisao, regiao)
-    return join_customer(sales_columns(vendas), customers, clientes).select(*STAGE.names)
+    lookups = all_lookups(clientes, endereco, divisao, regiao)
+    ways = lookups.ways(how)
+    return join_customer(sales_columns(vendas), lookups.rows(ways), lookups, ways).select(*STAGE.names)
 
 
 def stage_join_narrow(
@@ -93,27 +225,18 @@ def stage_join_narrow(
     endereco: DataFrame,
     divisao: DataFrame,
     regiao: DataFrame,
+    how: Ways = AUTO,
 ) -> DataFrame:
-    """The narrow stage, 16 columns, values as they arrived.
+    """The narrow stage, 16 columns, values as they arrived."""
+    lookups = narrow_lookups(clientes, endereco, divisao, regiao)
+    ways = lookups.ways(how)
+    return join_customer(sales_columns(vendas), lookups.rows(ways), lookups, ways).select(*NARROW)
 
-    No division or region column is kept, but a lookup with a repeated key still repeats
-    rows, so both stay joined, by their keys alone.
-    """
-    customers = customers_with_lookups(
-        clientes.select("customerkey", "address_number", "customer", "division", "region_code"),
-        endereco.select("address_number", "city", "country", "state"),
-        divisao.select("division"),
-        regiao.select("region_code"),
-    )
-    return join_customer(sales_columns(vendas), customers, clientes).select(*NARROW)
 
+def sold_keys(vendas: DataFrame) -> DataFrame:
+    """Each customer key found in the sales, once.
 
-def sold_customers(
-    vendas: DataFrame, customers: DataFrame, clientes: DataFrame | None = None
-) -> DataFrame:
-    """One row per customer key found in the sales, with the customer's columns.
-
-    What a DISTINCT over customer columns of the stage needs. Repeats of a key are removed
-    within each task first, so however often a key was sold it is shuffled once per task.
+    Repeats of a key are removed within each task first, so however often a key was sold it is
+    shuffled once per task.
     """
-    return join_customer(vendas.select("customerkey").distinct(), customers, clientes)
+    return vendas.select("customerkey").distinct()

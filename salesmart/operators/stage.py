@@ -19,8 +19,16 @@ from salesmart.functions import (
     surrogate_key,
 )
 from salesmart.operators.conform import NARROW_TEXT, conform_column, conform_narrow_text
-from salesmart.operators.joins import NARROW, customers_with_lookups, join_customer, sales_columns
-from salesmart.operators.keys import key_of, narrow_keys, wide_keys, with_calendar
+from salesmart.operators.joins import (
+    NARROW,
+    Ways,
+    all_lookups,
+    join_customer,
+    narrow_lookups,
+    sales_columns,
+)
+from salesmart.operators.keys import CALENDAR, key_of, narrow_keys, wide_keys, with_calendar
+from salesmart.operators.skew import AUTO
 from salesmart.schemas import STAGE, VENDAS
 
 CUSTOMER_KEYS = ["DW_CLIENTES", "DW_LOCALIDADE"]
@@ -56,9 +64,10 @@ def conformed_stage(
     endereco: DataFrame,
     divisao: DataFrame,
     regiao: DataFrame,
+    how: Ways = AUTO,
 ) -> DataFrame:
     """The wide stage cleaned and typed: `conform_stage(stage_join(...))`, row for row."""
-    return wide_stage(vendas, clientes, endereco, divisao, regiao).select(*STAGE.names)
+    return wide_stage(vendas, clientes, endereco, divisao, regiao, how=how).select(*STAGE.names)
 
 
 def wide_stage(
@@ -68,11 +77,12 @@ def wide_stage(
     divisao: DataFrame,
     regiao: DataFrame,
     sep: str = "",
+    how: Ways = AUTO,
 ) -> DataFrame:
     """The wide stage cleaned and typed, with calendar columns and keys."""
-    customers = conformed_customers(
-        customers_with_lookups(clientes, endereco, divisao, regiao), sep
-    )
+    lookups = all_lookups(clientes, endereco, divisao, regiao)
+    ways = lookups.ways(how)
+    customers = conformed_customers(lookups.rows(ways), sep)
     sales = sales_columns(vendas).select(
         "customerkey",
         *[
@@ -90,9 +100,9 @@ def wide_stage(
     }
     filled |= {name: F.coalesce(F.col(name), no_customer) for name in CUSTOMER_KEYS}
     filled |= {"customerkey": key}
-    stage = with_calendar(join_customer(sales, customers, clientes).withColumns(filled))
+    stage = with_calendar(join_customer(sales, customers, lookups, ways).withColumns(filled))
     sales_keys = {k: v for k, v in wide_keys(sep).items() if k not in CUSTOMER_KEYS}
-    return stage.withColumns(sales_keys)
+    return stage.withColumns(sales_keys).select(*STAGE.names, *CALENDAR, *wide_keys(sep))
 
 
 def narrow_customers(
@@ -119,26 +129,19 @@ def narrow_stage(
     regiao: DataFrame,
     sep: str = "",
     token: str = NOT_INFORMED_TITLE,
+    how: Ways = AUTO,
 ) -> DataFrame:
     """The narrow stage with typed invoice date, calendar columns, keys, and clean text."""
-    customers = narrow_customers(
-        customers_with_lookups(
-            clientes.select(
-                "customerkey", "address_number", "customer", "division", "region_code"
-            ),
-            endereco.select("address_number", "city", "country", "state"),
-            divisao.select("division"),
-            regiao.select("region_code"),
-        ).drop("division", "region_code"),
-        sep,
-        token,
-    )
+    lookups = narrow_lookups(clientes, endereco, divisao, regiao)
+    ways = lookups.ways(how)
+    customers = narrow_customers(lookups.rows(ways).drop("division", "region_code"), sep, token)
     sales = sales_columns(vendas)
     sales = sales.select(*[c for c in NARROW if _is_sales_column(c)]).withColumn(
         "invoice_date", parse_date_br(F.col("invoice_date"))
     )
-    joined = join_customer(sales, customers, clientes)
+    joined = join_customer(sales, customers, lookups, ways)
     filled = {c: null_to_token(F.col(c), token) for c in NARROW_TEXT}
     filled |= {c: F.coalesce(F.col(c), key_of("customerkey", sep=sep)) for c in CUSTOMER_KEYS}
     sales_keys = {k: v for k, v in narrow_keys(sep).items() if k not in CUSTOMER_KEYS}
-    return with_calendar(joined.withColumns(filled)).withColumns(sales_keys)
+    stage = with_calendar(joined.withColumns(filled)).withColumns(sales_keys)
+    return stage.select(*NARROW, *CALENDAR, *narrow_keys(sep))

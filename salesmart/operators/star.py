@@ -21,14 +21,9 @@ from salesmart.functions import (
     surrogate_key,
 )
 from salesmart.functions.keys import concat_key
-from salesmart.operators.joins import (
-    customers_with_lookups,
-    join_address,
-    join_customer,
-    join_division,
-    sold_customers,
-)
+from salesmart.operators.joins import Lookups, Ways, all_lookups, join_customer, sold_keys
 from salesmart.operators.keys import key_of
+from salesmart.operators.skew import AUTO, key_counts
 from salesmart.operators.stage import conformed_customers, narrow_customers, narrow_stage
 from salesmart.schemas import MEASURES
 
@@ -62,12 +57,19 @@ def dim_tempo(vendas: DataFrame, sep: str = "") -> DataFrame:
 
 
 def dim_clientes(
-    vendas: DataFrame, clientes: DataFrame, sep: str = "", token: str = NOT_INFORMED_TITLE
+    vendas: DataFrame,
+    clientes: DataFrame,
+    sep: str = "",
+    token: str = NOT_INFORMED_TITLE,
+    how: Ways = AUTO,
+    sold: DataFrame | None = None,
 ) -> DataFrame:
-    """Each sold customer with its name."""
-    customers = narrow_customers(clientes.select("customerkey", "customer"), sep, token)
-    sold = _no_customer(sold_customers(vendas, customers, clientes), ["customer"], token, sep)
-    return sold.select("DW_CLIENTES", "customerkey", "customer").distinct()
+    """Each sold customer with its name. `sold` has the sold keys, where they are known."""
+    lookups = Lookups(clientes.select("customerkey", "customer"))
+    customers = narrow_customers(lookups.rows(), sep, token)
+    found = _sold_customers(vendas, sold, customers, lookups, how)
+    named = _no_customer(found, ["customer"], token, sep)
+    return named.select("DW_CLIENTES", "customerkey", "customer").distinct()
 
 
 def dim_localidade(
@@ -76,15 +78,25 @@ def dim_localidade(
     endereco: DataFrame,
     sep: str = "",
     token: str = NOT_INFORMED_TITLE,
+    how: Ways = AUTO,
+    sold: DataFrame | None = None,
 ) -> DataFrame:
     """Each sold customer's place."""
     place = ["address_number", "city", "state", "country"]
-    located = join_address(
-        clientes.select("customerkey", "address_number", "customer"), endereco.select(*place)
-    )
-    customers = narrow_customers(located, sep, token)
-    sold = _no_customer(sold_customers(vendas, customers, clientes), place, token, sep)
-    return sold.select("DW_LOCALIDADE", *place).distinct()
+    own = clientes.select("customerkey", "address_number", "customer")
+    lookups = Lookups(own, address_number=endereco.select(*place))
+    ways = lookups.ways(how)
+    customers = narrow_customers(lookups.rows(ways), sep, token)
+    found = _sold_customers(vendas, sold, customers, lookups, ways)
+    return _no_customer(found, place, token, sep).select("DW_LOCALIDADE", *place).distinct()
+
+
+def _sold_customers(
+    vendas: DataFrame, sold: DataFrame | None, customers: DataFrame, lookups: Lookups, how: Ways
+) -> DataFrame:
+    """One row per sold key and customer: what a DISTINCT over customer columns needs."""
+    sold = sold_keys(vendas) if sold is None else sold
+    return join_customer(sold, customers, lookups, how, unique_sales=True)
 
 
 def _no_customer(sold: DataFrame, names: list[str], token: str, sep: str) -> DataFrame:
@@ -108,14 +120,20 @@ def _no_customer_wide(sold: DataFrame, sep: str) -> DataFrame:
 
 
 def dim_cliente_division(
-    vendas: DataFrame, clientes: DataFrame, divisao: DataFrame, sep: str = ""
+    vendas: DataFrame,
+    clientes: DataFrame,
+    divisao: DataFrame,
+    sep: str = "",
+    how: Ways = AUTO,
+    sold: DataFrame | None = None,
 ) -> DataFrame:
     """Each sold customer with its division, text cleaned before the key is made."""
-    named = join_division(
-        clientes.select("customerkey", "customer", "address_number", "division"), divisao
-    )
-    sold = sold_customers(vendas, conformed_customers(named, sep), clientes)
-    return _no_customer_wide(sold, sep).select(
+    own = clientes.select("customerkey", "customer", "address_number", "division")
+    lookups = Lookups(own, division=divisao)
+    ways = lookups.ways(how)
+    customers = conformed_customers(lookups.rows(ways), sep)
+    found = _sold_customers(vendas, sold, customers, lookups, ways)
+    return _no_customer_wide(found, sep).select(
         "DW_CLIENTES", "customerkey", "customer", "division_name"
     ).distinct()
 
@@ -128,21 +146,23 @@ def dim_clientes_wide(
     regiao: DataFrame,
     sep: str = "",
     distinct: bool = False,
+    how: Ways = AUTO,
+    sold: DataFrame | None = None,
 ) -> DataFrame:
     """Twelve customer columns, one row per sale; with `distinct`, one per sold customer."""
-    customers = customers_with_lookups(
+    lookups = all_lookups(
         clientes,
         endereco.select("address_number"),
         divisao.select("division", "division_name"),
         regiao.select("region_code", "region_name"),
     )
-    customers = conformed_customers(customers, sep).select(*WIDE_CUSTOMER)
+    ways = lookups.ways(how)
+    customers = conformed_customers(lookups.rows(ways), sep).select(*WIDE_CUSTOMER)
     if distinct:
-        return _no_customer_wide(sold_customers(vendas, customers, clientes), sep).select(
-            *WIDE_CUSTOMER
-        ).distinct()
-    sold = join_customer(vendas.select("customerkey"), customers, clientes)
-    return _no_customer_wide(sold, sep).select(*WIDE_CUSTOMER)
+        found = _sold_customers(vendas, sold, customers, lookups, ways)
+        return _no_customer_wide(found, sep).select(*WIDE_CUSTOMER).distinct()
+    every = join_customer(vendas.select("customerkey"), customers, lookups, ways)
+    return _no_customer_wide(every, sep).select(*WIDE_CUSTOMER)
 
 
 def dim_row_count(
@@ -154,17 +174,13 @@ def dim_row_count(
 ) -> DataFrame:
     """The number of rows of the wide customer dimension.
 
-    Rows are counted per key on both sides before the join, so nothing is multiplied out.
+    Rows are counted per key on both sides before the join, customers by their matches in the
+    lookups, so nothing is multiplied out and both sides have each key once.
     """
-    sales = vendas.groupBy("customerkey").agg(F.count("*").alias("sales"))
-    customers = customers_with_lookups(
-        clientes.select("customerkey", "address_number", "division", "region_code"),
-        endereco.select("address_number"),
-        divisao.select("division"),
-        regiao.select("region_code"),
-    )
-    matches = customers.groupBy("customerkey").agg(F.count("*").alias("matches"))
-    joined = join_customer(sales, matches)
+    sales = key_counts(vendas, "customerkey").withColumnRenamed("_rows", "sales")
+    lookups = all_lookups(clientes, endereco, divisao, regiao)
+    matches = lookups.counts("customerkey").withColumnRenamed("_rows", "matches")
+    joined = sales.join(matches, "customerkey", "left")
     return joined.agg(
         F.coalesce(
             F.sum(F.col("sales") * F.coalesce("matches", F.lit(1))), F.lit(0)
@@ -200,9 +216,10 @@ def ft_vendas_with_keys(
     regiao: DataFrame,
     sep: str = "",
     measures=parse_number_br,
+    how: Ways = AUTO,
 ) -> DataFrame:
     """The sales fact with the keys of its dimensions, so that it can be joined to them."""
-    stage = narrow_stage(vendas, clientes, endereco, divisao, regiao, sep)
+    stage = narrow_stage(vendas, clientes, endereco, divisao, regiao, sep, how=how)
     keys = ["DW_VENDAS", "DW_CLIENTES", "DW_TEMPO", "DW_LOCALIDADE"]
     typed = [(measures(F.col(c)) if measures else F.col(c)).alias(c) for c in MEASURES]
     return stage.select(*keys, *typed).distinct()

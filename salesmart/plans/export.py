@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from salesmart.operators.conform import conform_entity
 from salesmart.schemas import ENTITIES
+from salesmart.session import prepare
 from salesmart.sources.gold import write_gold
 from salesmart.sources.snapshots import LATEST, scan_staged
 
@@ -23,7 +24,7 @@ def export_entity(
     iso_dates: bool = False,
 ) -> None:
     schema = ENTITIES[entity]
-    staged = scan_staged(spark, stage_path, schema, dt_foto)
+    staged = scan_staged(prepare(spark), stage_path, schema, dt_foto)
     write_gold(conform_entity(staged, schema, run_date, iso_dates), gold_path)
 
 

@@ -7,18 +7,24 @@ from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
-from salesmart.schemas import ENTITIES
-from salesmart.sources.raw import scan_raw, schema_from_header
-from salesmart.sources.snapshots import stamp_snapshot, write_snapshot
+from salesmart.schemas import ENTITIES, data_columns
+from salesmart.session import prepare
+from salesmart.sources.raw import check_columns, scan_raw, schema_from_header
+from salesmart.sources.snapshots import write_snapshot
 
 
-def load_entity(spark: SparkSession, raw_path: str, stage_path: str, run_date: dt.date) -> None:
+def load_entity(spark: SparkSession, entity: str, raw_path: str, stage_path: str, run_date: dt.date) -> None:
     """Load one entity's raw files as the snapshot of the day before the run.
 
-    Column names come from the header. Running it again for the same day replaces that day.
+    The header says where a column is. All declared columns must be there; others are left
+    out with a warning. Running it again for the same day replaces that day, by nothing if
+    the files hold no rows.
     """
-    columns = schema_from_header(spark, raw_path)
-    write_snapshot(stamp_snapshot(scan_raw(spark, raw_path, columns), run_date), stage_path)
+    declared = data_columns(ENTITIES[entity])
+    found = schema_from_header(spark, raw_path)
+    check_columns(found, declared, raw_path)
+    rows = scan_raw(prepare(spark), raw_path, found).select(*declared)
+    write_snapshot(rows, stage_path, run_date)
 
 
 def load_entities(
@@ -29,4 +35,4 @@ def load_entities(
     entities: Iterable[str] = ENTITIES,
 ) -> None:
     for entity in entities:
-        load_entity(spark, f"{raw_dir}/{entity}", f"{stage_dir}/{entity}", run_date)
+        load_entity(spark, entity, f"{raw_dir}/{entity}", f"{stage_dir}/{entity}", run_date)

@@ -2,25 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.operators import star
+from salesmart.operators.joins import Ways, all_lookups, sold_keys
+from salesmart.operators.skew import AUTO
 from salesmart.schemas import ENTITIES
+from salesmart.session import prepare
 from salesmart.sources.gold import write_gold
-from salesmart.sources.snapshots import LATEST, scan_staged
+from salesmart.sources.snapshots import LATEST, latest_common_day, scan_staged
+
+Tables = dict[str, DataFrame]
 
 
-def scan_entities(
-    spark: SparkSession, stage_dir: str, dt_foto: str = LATEST
-) -> dict[str, DataFrame]:
-    """All five entities of one snapshot day; by default each one's latest."""
+def scan_entities(spark: SparkSession, stage_dir: str, dt_foto: str = LATEST) -> Tables:
+    """All five entities of one snapshot day; by default the newest that all of them have."""
+    paths = {entity: f"{stage_dir}/{entity}" for entity in ENTITIES}
+    if dt_foto == LATEST:
+        dt_foto = latest_common_day(spark, paths)
     return {
-        entity: scan_staged(spark, f"{stage_dir}/{entity}", schema, dt_foto)
+        entity: scan_staged(spark, paths[entity], schema, dt_foto)
         for entity, schema in ENTITIES.items()
     }
 
 
-def narrow_star(tables: dict[str, DataFrame], sep: str = "") -> dict[str, DataFrame]:
+def ways_to_join(tables: Tables, how: Ways = AUTO) -> Ways:
+    """How to join, decided once for all tables of a run: what fits with all columns fits with few."""
+    return all_lookups(*[tables[e] for e in ("clientes", "endereco", "divisao", "regiao")]).ways(how)
+
+
+def narrow_star(
+    tables: Tables, sep: str = "", how: Ways = AUTO, sold: DataFrame | None = None
+) -> Tables:
     """Time, customer and place dimensions and the sales fact.
 
     Each table is planned from the few columns it needs. There is no joined stage to keep:
@@ -28,26 +43,62 @@ def narrow_star(tables: dict[str, DataFrame], sep: str = "") -> dict[str, DataFr
     reading a column twice costs less than writing and reading back the whole joined stage.
     """
     sales, customers = tables["vendas"], tables["clientes"]
+    ways = ways_to_join(tables, how)
+    shared = {"how": ways, "sold": sold}
     return {
         "dim_tempo": star.dim_tempo(sales, sep),
-        "dim_clientes": star.dim_clientes(sales, customers, sep),
-        "dim_localidade": star.dim_localidade(sales, customers, tables["endereco"], sep),
+        "dim_clientes": star.dim_clientes(sales, customers, sep, **shared),
+        "dim_localidade": star.dim_localidade(sales, customers, tables["endereco"], sep, **shared),
         "ft_vendas": star.ft_vendas(sales, sep),
     }
 
 
 def wide_star(
-    tables: dict[str, DataFrame], sep: str = "", distinct: bool = False
-) -> dict[str, DataFrame]:
+    tables: Tables,
+    sep: str = "",
+    distinct: bool = False,
+    how: Ways = AUTO,
+    sold: DataFrame | None = None,
+) -> Tables:
     """The wide customer dimension, and each sold customer with its division."""
+    shared = {"how": ways_to_join(tables, how), "sold": sold}
     return {
-        "dim_clientes_wide": star.dim_clientes_wide(**tables, sep=sep, distinct=distinct),
+        "dim_clientes_wide": star.dim_clientes_wide(**tables, sep=sep, distinct=distinct, **shared),
         "dim_cliente_division": star.dim_cliente_division(
-            tables["vendas"], tables["clientes"], tables["divisao"], sep
+            tables["vendas"], tables["clientes"], tables["divisao"], sep, **shared
         ),
     }
 
 
-def write_star(tables: dict[str, DataFrame], gold_dir: str) -> None:
+def write_star(tables: Tables, gold_dir: str) -> None:
     for name, df in tables.items():
         write_gold(df, f"{gold_dir}/{name}")
+
+
+def star_job(
+    spark: SparkSession,
+    stage_dir: str,
+    gold_dir: str,
+    dt_foto: str = LATEST,
+    sep: str = "",
+    how: Ways = AUTO,
+    narrow: bool = True,
+    wide: bool = False,
+    wanted: Callable[[str], bool] = lambda name: True,
+) -> list[str]:
+    """Write the star of one snapshot day; the names of the tables written.
+
+    The sold customer keys are worked out once and shared by the dimensions, and the ways to
+    join are decided once.
+    """
+    tables = scan_entities(prepare(spark), stage_dir, dt_foto)
+    ways = ways_to_join(tables, how)
+    sold = sold_keys(tables["vendas"]).persist()
+    try:
+        made = narrow_star(tables, sep, ways, sold) if narrow else {}
+        made |= wide_star(tables, sep, how=ways, sold=sold) if wide else {}
+        made = {name: df for name, df in made.items() if wanted(name)}
+        write_star(made, gold_dir)
+    finally:
+        sold.unpersist()
+    return list(made)

@@ -1,4 +1,4 @@
-"""Declared columns of the five sales entities.
+"""Declared columns of the five sales entities and of the wide stage, in contract order.
 
 Text as it arrives is described by the column names alone: every raw and staged
 column is a string. The types below hold after cleaning.
@@ -10,36 +10,81 @@ from pyspark.sql import types as T
 
 SNAPSHOT = "dt_foto"
 
+# Entity names, column names, their order and types are the data contract.
+REGIAO = T.StructType(
+    [
+        T.StructField("region_code", T.StringType()),
+        T.StructField("region_name", T.StringType()),
+        T.StructField("dt_foto", T.DateType()),
+    ]
+)
 
-def _columns(text: str, numbers: str = "", dates: str = "") -> T.StructType:
-    kinds = [(text, T.StringType()), (numbers, T.DoubleType()), (dates, T.DateType())]
-    return T.StructType(
-        [T.StructField(name, kind) for names, kind in kinds for name in names.split()]
-    )
-
-
-# Entity names, column names and types are the data contract.
-REGIAO = _columns(text="region_code region_name", dates="dt_foto")
-
-DIVISAO = _columns(text="division division_name", dates="dt_foto")
+DIVISAO = T.StructType(
+    [
+        T.StructField("division", T.StringType()),
+        T.StructField("division_name", T.StringType()),
+        T.StructField("dt_foto", T.DateType()),
+    ]
+)
 
-ENDERECO = _columns(
-    text="address_number city country customer_address_1 customer_address_2 "
-    "customer_address_3 customer_address_4 state zip_code",
-    dates="dt_foto",
+ENDERECO = T.StructType(
+    [
+        T.StructField("address_number", T.StringType()),
+        T.StructField("city", T.StringType()),
+        T.StructField("country", T.StringType()),
+        T.StructField("customer_address_1", T.StringType()),
+        T.StructField("customer_address_2", T.StringType()),
+        T.StructField("customer_address_3", T.StringType()),
+        T.StructField("customer_address_4", T.StringType()),
+        T.StructField("state", T.StringType()),
+        T.StructField("zip_code", T.StringType()),
+        T.StructField("dt_foto", T.DateType()),
+    ]
 )
 
-CLIENTES = _columns(
-    text="address_number business_family business_unit customer customerkey customer_type "
-    "division line_of_business phone region_code regional_sales_mgr search_type",
-    dates="dt_foto",
+CLIENTES = T.StructType(
+    [
+        T.StructField("address_number", T.StringType()),
+        T.StructField("business_family", T.StringType()),
+        T.StructField("business_unit", T.StringType()),
+        T.StructField("customer", T.StringType()),
+        T.StructField("customerkey", T.StringType()),
+        T.StructField("customer_type", T.StringType()),
+        T.StructField("division", T.StringType()),
+        T.StructField("line_of_business", T.StringType()),
+        T.StructField("phone", T.StringType()),
+        T.StructField("region_code", T.StringType()),
+        T.StructField("regional_sales_mgr", T.StringType()),
+        T.StructField("search_type", T.StringType()),
+        T.StructField("dt_foto", T.DateType()),
+    ]
 )
 
-VENDAS = _columns(
-    text="customerkey invoice_number item_class item_number item line_number order_number u_m",
-    numbers="discount_amount list_price sales_amount sales_amount_based_on_list_price "
-    "sales_cost_amount sales_margin_amount sales_price sales_quantity sales_rep",
-    dates="actual_delivery_date datekey invoice_date promised_delivery_date dt_foto",
+VENDAS = T.StructType(
+    [
+        T.StructField("actual_delivery_date", T.DateType()),
+        T.StructField("customerkey", T.StringType()),
+        T.StructField("datekey", T.DateType()),
+        T.StructField("discount_amount", T.DoubleType()),
+        T.StructField("invoice_date", T.DateType()),
+        T.StructField("invoice_number", T.StringType()),
+        T.StructField("item_class", T.StringType()),
+        T.StructField("item_number", T.StringType()),
+        T.StructField("item", T.StringType()),
+        T.StructField("line_number", T.StringType()),
+        T.StructField("list_price", T.DoubleType()),
+        T.StructField("order_number", T.StringType()),
+        T.StructField("promised_delivery_date", T.DateType()),
+        T.StructField("sales_amount", T.DoubleType()),
+        T.StructField("sales_amount_based_on_list_price", T.DoubleType()),
+        T.StructField("sales_cost_amount", T.DoubleType()),
+        T.StructField("sales_margin_amount", T.DoubleType()),
+        T.StructField("sales_price", T.DoubleType()),
+        T.StructField("sales_quantity", T.DoubleType()),
+        T.StructField("sales_rep", T.DoubleType()),
+        T.StructField("u_m", T.StringType()),
+        T.StructField("dt_foto", T.DateType()),
+    ]
 )
 
 ENTITIES = {
@@ -76,17 +121,51 @@ def columns_of_type(schema: T.StructType, kind: type[T.DataType]) -> list[str]:
     return [f.name for f in schema if isinstance(f.dataType, kind)]
 
 
-def stage_schema() -> T.StructType:
-    """The wide stage: sales, then what each lookup adds to it.
-
-    The snapshot date of the sales rows is kept under the name data_foto.
-    """
-    fields = [T.StructField(f.name, f.dataType) for f in VENDAS if f.name != SNAPSHOT]
-    fields.append(T.StructField("data_foto", T.DateType()))
-    for schema in (CLIENTES, ENDERECO, DIVISAO, REGIAO):
-        seen = {f.name for f in fields}
-        fields += [f for f in schema if f.name not in seen and f.name != SNAPSHOT]
-    return T.StructType(fields)
-
-
-STAGE = stage_schema()
+# The wide stage. The snapshot date of the sales rows is data_foto here.
+STAGE = T.StructType(
+    [
+        T.StructField("actual_delivery_date", T.DateType()),
+        T.StructField("customerkey", T.StringType()),
+        T.StructField("datekey", T.DateType()),
+        T.StructField("discount_amount", T.DoubleType()),
+        T.StructField("invoice_date", T.DateType()),
+        T.StructField("invoice_number", T.StringType()),
+        T.StructField("item_class", T.StringType()),
+        T.StructField("item_number", T.StringType()),
+        T.StructField("item", T.StringType()),
+        T.StructField("line_number", T.StringType()),
+        T.StructField("list_price", T.DoubleType()),
+        T.StructField("order_number", T.StringType()),
+        T.StructField("promised_delivery_date", T.DateType()),
+        T.StructField("sales_amount", T.DoubleType()),
+        T.StructField("sales_amount_based_on_list_price", T.DoubleType()),
+        T.StructField("sales_cost_amount", T.DoubleType()),
+        T.StructField("sales_margin_amount", T.DoubleType()),
+        T.StructField("sales_price", T.DoubleType()),
+        T.StructField("sales_quantity", T.DoubleType()),
+        T.StructField("sales_rep", T.DoubleType()),
+        T.StructField("u_m", T.StringType()),
+        T.StructField("data_foto", T.DateType()),
+        T.StructField("address_number", T.StringType()),
+        T.StructField("business_family", T.StringType()),
+        T.StructField("business_unit", T.StringType()),
+        T.StructField("customer", T.StringType()),
+        T.StructField("customer_type", T.StringType()),
+        T.StructField("division", T.StringType()),
+        T.StructField("line_of_business", T.StringType()),
+        T.StructField("phone", T.StringType()),
+        T.StructField("region_code", T.StringType()),
+        T.StructField("regional_sales_mgr", T.StringType()),
+        T.StructField("search_type", T.StringType()),
+        T.StructField("city", T.StringType()),
+        T.StructField("country", T.StringType()),
+        T.StructField("customer_address_1", T.StringType()),
+        T.StructField("customer_address_2", T.StringType()),
+        T.StructField("customer_address_3", T.StringType()),
+        T.StructField("customer_address_4", T.StringType()),
+        T.StructField("state", T.StringType()),
+        T.StructField("zip_code", T.StringType()),
+        T.StructField("division_name", T.StringType()),
+        T.StructField("region_name", T.StringType()),
+    ]
+)

@@ -1,15 +1,21 @@
-"""Staged tables in the session's catalog."""
+"""Raw and staged tables in the session's catalog."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.schemas import SNAPSHOT, data_columns
-from salesmart.sources.snapshots import ALL, LATEST, NO_DAY, list_snapshots
+from salesmart.sources.raw import scan_raw
+from salesmart.sources.snapshots import ALL, LATEST, NO_DAY, list_snapshots, snapshot_text
+
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+def _database(spark: SparkSession, database: str, location: str | None) -> None:
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
 
 
 def register_table(
@@ -27,8 +33,7 @@ def register_table(
     """
     table = f"{database}.tbl_{entity}"
     columns = ", ".join(f"{name} STRING" for name in data_columns(schema))
-    at = f" LOCATION '{database_location}'" if database_location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
+    _database(spark, database, database_location)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(
         f"CREATE TABLE {table} ({columns}, {SNAPSHOT} STRING) USING ORC "
@@ -40,20 +45,53 @@ def register_table(
     return table
 
 
-def load_table(df: DataFrame, table: str) -> None:
-    """Load the days found in the data into a registered table, replacing only those.
+def register_raw_table(
+    spark: SparkSession,
+    database: str,
+    entity: str,
+    columns: list[str],
+    location: str,
+    database_location: str | None = None,
+) -> str:
+    r"""Create the database if need be, and the entity's external table over raw files anew.
+
+    The table holds the lines as text, header lines apart, and only points at the location.
+    `scan_raw_table` splits them: a delimited table of Spark's own would turn empty fields
+    into NULL. Returns the table's name.
+    """
+    table = f"{database}.tbl_{entity}"
+    _database(spark, database, database_location)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(
+        f"CREATE TABLE {table} (line STRING) USING CSV OPTIONS ('header' = 'true', "
+        f"'sep' = '\u0001', 'quote' = '') LOCATION '{location}' "
+        f"COMMENT 'Lines of {entity}' TBLPROPERTIES ('columns' = '{','.join(columns)}')"
+    )
+    return table
+
+
+def scan_raw_table(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a registered raw table, as `scan_raw` gives them for its location."""
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Location").first()
+    named = spark.sql(f"SHOW TBLPROPERTIES {table} ('columns')").first()["value"]
+    return scan_raw(spark, about["data_type"], named.split(","))
+
+
+def load_table(df: DataFrame, table: str, run_date: dt.date) -> None:
+    """Load the day before the run into a registered table, replacing that day only.
 
-    An insert by table name knows no writer options, so the overwrite mode is set on the
-    session for the time of the insert; without it every other day would be dropped.
+    The day is named in the statement, so no session setting decides what is overwritten, and
+    a load without rows leaves the day empty.
     """
     spark = df.sparkSession
-    ordered = df.select(*spark.table(table).columns)
-    kept = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    day = snapshot_text(run_date)
+    names = [name for name in spark.table(table).columns if name != SNAPSHOT]
+    df.select(*names).createOrReplaceTempView("_loaded")
     try:
-        ordered.write.insertInto(table, overwrite=True)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({SNAPSHOT} = '{day}')")
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({SNAPSHOT} = '{day}') SELECT * FROM _loaded")
     finally:
-        spark.conf.set(OVERWRITE_MODE, kept)
+        spark.catalog.dropTempView("_loaded")
 
 
 def scan_table(spark: SparkSession, table: str, dt_foto: str = LATEST) -> DataFrame:

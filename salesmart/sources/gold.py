@@ -8,22 +8,34 @@ from pyspark.sql import types as T
 from salesmart.sources.raw import SEPARATOR
 
 
-def write_gold(df: DataFrame, path: str, files: int | None = None) -> None:
+def write_gold(
+    df: DataFrame, path: str, files: int | None = None, keep_blanks: bool = False
+) -> None:
     """Write a table as CSV, replacing what is there. A failed write raises.
 
     By default every task writes its own part. A reader that needs few files passes their
     number; the rows are then spread evenly over that many writers.
+
+    The writer trims text, so that ` Bob ` comes out as `Bob`, though a key is made of the
+    text as it was. With `keep_blanks` text stays as it is.
     """
     if files is not None:
         df = df.repartition(files)
-    df.write.mode("overwrite").option("header", True).option("sep", SEPARATOR).csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("sep", SEPARATOR)
+    for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+        writer = writer.option(side, not keep_blanks)
+    writer.csv(path)
 
 
-def read_gold(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_gold(
+    spark: SparkSession, path: str, schema: T.StructType, line_feeds: bool = False
+) -> DataFrame:
     """Read a gold table back with its types; CSV itself keeps none.
 
     The writer quotes empty text and leaves NULL blank. The reader takes both for NULL as
-    long as its mark for NULL is empty too, hence another mark.
+    long as its mark for NULL is empty too, hence another mark. Text that may hold line feeds
+    is written in quotes; reading it back needs `line_feeds`, which keeps a file in one task.
+    Raw text, being read by lines, cannot hold any.
     """
     reader = spark.read.schema(schema).option("header", True).option("sep", SEPARATOR)
-    return reader.option("nullValue", "\u0000").csv(path)
+    return reader.option("nullValue", "\u0000").option("multiLine", line_feeds).csv(path)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import warnings
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SEPARATOR = ";"
@@ -29,26 +32,71 @@ def schema_from_header(spark: SparkSession, path: str) -> list[str]:
     return normalise_columns(reader.csv(path)).columns
 
 
-def scan_raw(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def check_columns(found: Sequence[str], declared: Sequence[str], where: str) -> None:
+    """Raise if a declared column is missing; warn of columns nobody declared.
+
+    Without this a misspelt header would load, and every value of the column it hides would
+    be cleaned to the token for missing text or to zero. The order does not matter.
+    """
+    missing = [name for name in declared if name not in found]
+    unknown = [name for name in found if name not in declared]
+    if missing:
+        raise ValueError(f"{where}: no column {', '.join(missing)}; not declared: {', '.join(unknown) or 'none'}")
+    if unknown:
+        warnings.warn(f"{where}: columns not declared: {', '.join(unknown)}", stacklevel=3)
+
+
+def _fields(line: Column, columns: Sequence[str]) -> list[Column]:
+    parts = F.split(line, SEPARATOR, -1)
+    return [F.nullif(F.get(parts, F.lit(i)), F.lit(NULL_MARK)).alias(name) for i, name in enumerate(columns)]
+
+
+def scan_raw(
+    spark: SparkSession, path: str, columns: list[str] | None = None, blank_lines: bool = False
+) -> DataFrame:
     r"""Raw rows, all text: empty fields stay "", \N and missing trailing fields are NULL.
 
     The CSV reader cannot tell an empty field from NULL, so it is used only to drop the
-    header of each file and to split files; it hands over whole lines (the separator
-    option is a control character that text files do not hold). Quotes have no meaning.
-    Blank lines hold no row.
+    header of each file and to split files; it hands over whole lines. Its separator option
+    is a control character; a line that does hold one is handed over in the column for
+    corrupt records, whole as well. Quotes have no meaning. Fields beyond the columns are
+    left out and counted by `raw_reject_counts`.
+
+    The CSV reader skips blank lines, which are counted as rejects. With `blank_lines` they
+    are rows too, as a plain text table has them: the blank text, then NULL. That reads the
+    text a second time, for those lines alone.
     """
     columns = columns or schema_from_header(spark, path)
     lines = (
         spark.read.option("header", True)
         .option("sep", "\u0001")
         .option("quote", "")
-        .schema("line string")
+        .option("columnNameOfCorruptRecord", "_bad")
+        .schema("line string, _bad string")
         .csv(path)
     )
-    fields = F.split("line", SEPARATOR, -1)
-    return lines.select(
-        *[
-            F.nullif(F.get(fields, F.lit(i)), F.lit(NULL_MARK)).alias(name)
-            for i, name in enumerate(columns)
-        ]
+    rows = lines.select(*_fields(F.coalesce("_bad", "line"), columns))
+    if blank_lines:
+        blank = _text_lines(spark, path).where(_is_blank())
+        rows = rows.union(blank.select(*_fields(F.col("value"), columns)))
+    return rows
+
+
+def _text_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path)
+
+
+def _is_blank() -> Column:
+    """What the CSV reader skips: lines of nothing but characters up to the space."""
+    return ~F.col("value").rlike(r"[^\x00-\x20]")
+
+
+def raw_reject_counts(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """One row: how many lines are blank, have more fields than the header, or have fewer."""
+    columns = columns or schema_from_header(spark, path)
+    fields = F.size(F.split("value", SEPARATOR, -1))
+    return _text_lines(spark, path).agg(
+        F.count_if(_is_blank()).alias("blank_lines"),
+        F.count_if(~_is_blank() & (fields > len(columns))).alias("wide_lines"),
+        F.count_if(~_is_blank() & (fields < len(columns))).alias("short_lines"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from salesmart.functions.dates import snapshot_day
 from salesmart.schemas import SNAPSHOT, staged_schema
+from salesmart.sources.raw import check_columns
 
 LATEST = "latest"
 ALL = "all"
@@ -18,20 +20,28 @@ ALL = "all"
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
+def snapshot_text(run_date: dt.date) -> str:
+    """The day before the run, as yyyyMMdd text."""
+    return snapshot_day(run_date).strftime("%Y%m%d")
+
+
 def stamp_snapshot(df: DataFrame, run_date: dt.date) -> DataFrame:
     """Add dt_foto, the day before the run, as yyyyMMdd text."""
-    return df.withColumn(SNAPSHOT, F.lit(snapshot_day(run_date).strftime("%Y%m%d")))
+    return df.withColumn(SNAPSHOT, F.lit(snapshot_text(run_date)))
+
 
+def day_path(path: str, day: str) -> str:
+    return f"{path.rstrip('/')}/{SNAPSHOT}={day}"
 
-def write_snapshot(df: DataFrame, path: str) -> None:
-    """Load the days found in the data. A day loaded again is replaced; others stay."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(SNAPSHOT)
-        .orc(path)
-    )
+
+def write_snapshot(df: DataFrame, path: str, run_date: dt.date) -> None:
+    """Load the day before the run. A day loaded again is replaced, others are not touched.
+
+    The day is known, so its directory alone is overwritten; a load without rows leaves it
+    there and empty.
+    """
+    rows = df.drop(SNAPSHOT)
+    rows.write.mode("overwrite").option("compression", "snappy").orc(day_path(path, snapshot_text(run_date)))
 
 
 def list_snapshots(spark: SparkSession, path: str) -> list[str]:
@@ -43,6 +53,15 @@ def list_snapshots(spark: SparkSession, path: str) -> list[str]:
     return sorted(day for day in days if day != NO_DAY)
 
 
+def latest_common_day(spark: SparkSession, paths: Mapping[str, str]) -> str:
+    """The newest day loaded at every one of the paths, which are named for the message."""
+    days = {name: set(list_snapshots(spark, path)) for name, path in paths.items()}
+    common = set.intersection(*days.values())
+    if not common:
+        raise FileNotFoundError(f"no day is loaded for all of {', '.join(paths)}")
+    return max(common)
+
+
 def scan_staged(
     spark: SparkSession, path: str, schema: T.StructType, dt_foto: str = LATEST
 ) -> DataFrame:
@@ -50,13 +69,15 @@ def scan_staged(
 
     Two days read together would multiply rows in every join, so the default is the
     latest day. Only that day's directory is listed, so its size is what the planner sees.
+    A declared column that the files lack is an error, not a column of NULL.
     """
-    reader = spark.read.schema(staged_schema(schema)).option("basePath", path)
-    if dt_foto == ALL:
-        return reader.orc(path)
     if dt_foto == LATEST:
         days = list_snapshots(spark, path)
         if not days:
             raise FileNotFoundError(f"no snapshot at {path}")
         dt_foto = days[-1]
-    return reader.orc(f"{path.rstrip('/')}/{SNAPSHOT}={dt_foto}")
+    at = path if dt_foto == ALL else day_path(path, dt_foto)
+    reader = spark.read.option("basePath", path)
+    check_columns(reader.orc(at).columns, schema.names, at)
+    return reader.schema(staged_schema(schema)).orc(at)
+

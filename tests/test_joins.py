@@ -7,18 +7,27 @@ from pyspark.sql import functions as F
 
 from salesmart.operators import conform, joins, keys, stage, star
 from salesmart.operators.skew import (
+    BROADCAST,
+    SALTED,
     fits_broadcast,
     heavy_keys,
+    key_counts,
     left_join,
     measured_bytes,
-    salted_left_join,
+    way_to_join,
 )
+from salesmart.operators.skew import salted_left_join as salted_join
 from salesmart.schemas import STAGE
 from verification.standins import Standins
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def salted_left_join(left, right, key, partitions, spread_by=()):
+    heavy = [heavy_keys(key_counts(df, key), key, partitions) for df in (left, right)]
+    return salted_join(left, right, key, *heavy, spread_by)
+
+
 def same_rows(a, b):
     b = b.select(*a.columns)
     assert a.dtypes == b.dtypes
@@ -54,11 +63,10 @@ def skewed(spark):
 
 def test_heavy_keys_are_few_and_get_enough_salts(spark, skewed):
     left, right = skewed
-    found = {r[0]: r[1] for r in heavy_keys(left, "key", 16).collect()}
-    assert found == {"hot": 6, None: 6}
-    assert {r[0] for r in heavy_keys(right, "key", 16).collect()} == {"8"}
+    assert dict(heavy_keys(key_counts(left, "key"), "key", 16)) == {"hot": 6, None: 6}
+    assert {k for k, _ in heavy_keys(key_counts(right, "key"), "key", 16)} == {"8"}
     even = spark.range(1000).select((F.col("id") % 10).alias("key"))
-    assert heavy_keys(even, "key", 10).count() == 0
+    assert heavy_keys(key_counts(even, "key"), "key", 10) == []
 
 
 @pytest.mark.parametrize("partitions", [2, 16, 64])
@@ -71,10 +79,24 @@ def test_salted_join_with_one_key_heavy_on_both_sides(spark, skewed):
     left, right = skewed
     hot = spark.range(90).select(F.lit("hot").alias("key"), (F.col("id") + 5000).alias("r"))
     right = right.union(hot)
-    assert {r[0] for r in heavy_keys(right, "key", 16).collect()} == {"8", "hot"}
+    assert {k for k, _ in heavy_keys(key_counts(right, "key"), "key", 16)} == {"8", "hot"}
     same_rows(salted_left_join(left, right, "key", 16), left.join(right, "key", "left"))
 
 
+def test_a_side_with_each_key_once_needs_no_salts(spark, skewed):
+    left, right = skewed
+    keys = left.select("key").distinct()
+    heavy = heavy_keys(key_counts(right, "key"), "key", 16)
+    same_rows(salted_join(keys, right, "key", [], heavy), keys.join(right, "key", "left"))
+    once = right.groupBy("key").agg(F.min("r").alias("r"))
+    joined = salted_join(left, once, "key", heavy_keys(key_counts(left, "key"), "key", 16), [])
+    same_rows(joined, left.join(once, "key", "left"))
+    plan = left_join(keys, once, "key", how=SALTED)._jdf.queryExecution().optimizedPlan().toString()
+    assert "salt" not in plan
+    with pytest.raises(ValueError):
+        way_to_join(right, "shuffled")
+
+
 def test_salted_join_with_an_empty_side(skewed):
     left, right = skewed
     none = right.where("false")
@@ -150,6 +172,57 @@ def test_stage_join_without_broadcast_is_the_chain(tables, no_broadcast):
     same_rows(df, chain(tables).select(*STAGE.names))
 
 
+@pytest.fixture(scope="module")
+def skewed_tables(spark):
+    return {name: df.persist() for name, df in Standins(spark, SF_DIR, skewed=True).all.items()}
+
+
+def test_ways_give_the_same_rows_under_skew(skewed_tables):
+    expected = chain(skewed_tables).select(*STAGE.names)
+    for how in (SALTED, BROADCAST):
+        same_rows(joins.stage_join(**skewed_tables, how=how), expected)
+
+
+def test_weights_are_the_rows_that_lookups_make(skewed_tables):
+    t = {name: skewed_tables[name] for name in ("clientes", "endereco", "divisao", "regiao")}
+    lookups = joins.all_lookups(**t)
+    for key in ("customerkey", *joins.LOOKUP_KEYS):
+        same_rows(lookups.counts(key), key_counts(lookups.rows(), key))
+    found = {r[0]: r[1] for r in lookups.counts("customerkey").collect()}
+    assert found["8"] % 3 == 0 and found["9"] % 40 == 0
+
+
+def jobs_of(spark, name, build):
+    """The DataFrame that build makes, and how many jobs making it ran."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        df = build()
+        return df, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_plans_beyond_broadcast_stay_small(spark, no_broadcast):
+    """No more scans and exchanges than the plain chain of joins has."""
+    t = Standins(spark, SF_DIR).all
+    made = {
+        "count": (lambda: star.dim_row_count(**t), 0),
+        "clients": (lambda: star.dim_clientes(t["vendas"], t["clientes"]), 1),
+        "wide": (lambda: stage.wide_stage(**t), 8),
+    }
+    plain = size_of_plan(chain(t))
+    for name, (build, counting) in made.items():
+        df, jobs = jobs_of(spark, name, build)
+        # A job that counts has a stage for the counts of each table, some of them reused.
+        assert jobs <= 4 * counting, (name, jobs)
+        assert all(a <= b for a, b in zip(size_of_plan(df), plain, strict=True)), (name, size_of_plan(df))
+
+
+def size_of_plan(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan"), plan.count("Exchange hashpartitioning")
+
+
 def test_stages_are_the_operators_in_order(tables):
     raw = joins.stage_join(**tables)
     cleaned = keys.with_calendar(conform.conform_stage(raw))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart import functions as fn
-from salesmart.functions.text import BLANK_RUN
+from salesmart.functions.text import BLANK_RUN, BLANKS
 
 NI = fn.NOT_INFORMED
 NIT = fn.NOT_INFORMED_TITLE
@@ -94,6 +94,12 @@ def test_blank_to_zero(spark):
     check(spark, fn.blank_to_zero, [("", "0.0"), (None, "0.0"), ("  ", "  "), ("1,5", "1,5")])
 
 
+def test_parse_number_br_ignores_all_blanks_around(spark):
+    given = [f"{b}1.234,56{b}" for b in BLANKS] + ["\u00a05d\u2009", "\u2009inf\u00a0", "1 234", "\u00a0"]
+    assert apply(spark, fn.parse_number_br, given) == [1234.56] * len(BLANKS) + [None, math.inf, None, None]
+    assert apply(spark, fn.parse_number_us, ["\u00a01", " 1,5\t"]) == [None, 15.0]
+
+
 def test_parse_number_br(spark):
     check(
         spark,

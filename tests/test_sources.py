@@ -7,8 +7,13 @@ import os
 
 import pytest
 
+from salesmart.plans.load import load_entity
 from salesmart.schemas import DIVISAO, ENTITIES, REGIAO, STAGE, VENDAS, staged_schema
+from salesmart.operators import conform, joins, stage
 from salesmart.sources import catalog, gold, raw, snapshots
+from verification import oracle
+from verification.oracle import names
+from verification.standins import Standins
 
 RUN = dt.date(2024, 1, 2)
 
@@ -23,6 +28,25 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def test_column_order_is_the_contracts():
+    assert STAGE.names == names(oracle.STAGE) and joins.NARROW == names(oracle.NARROW)
+    assert {e: [*c, "dt_foto"] for e, c in oracle.ENTITIES.items()} == {e: s.names for e, s in ENTITIES.items()}
+    for schema in (*ENTITIES.values(), STAGE):
+        kinds = {f.name: f.dataType.simpleString() for f in schema}
+        assert {n for n, k in kinds.items() if k == "double"} == set(oracle.NUMBERS) & set(kinds)
+        assert {n for n, k in kinds.items() if k == "date"} == {*oracle.DATES, "dt_foto", "data_foto"} & set(kinds)
+
+
+def test_outputs_have_the_contracts_order(spark):
+    tables = Standins(spark, "/root/testdata/sf0.001").all
+    assert joins.stage_join(**tables).columns == names(oracle.STAGE)
+    assert stage.conformed_stage(**tables).columns == names(oracle.STAGE)
+    assert stage.wide_stage(**tables).columns[:43] == names(oracle.STAGE)
+    for entity, schema in ENTITIES.items():
+        made = conform.conform_entity(tables[entity], schema, RUN)
+        assert made.columns == [*oracle.ENTITIES[entity], "dt_foto"]
+
+
 def test_declared_columns():
     assert {name: len(s) for name, s in ENTITIES.items()} == {
         "regiao": 3,
@@ -57,6 +81,34 @@ def test_scan_raw_keeps_text_as_it_is(spark, tmp_path):
     )
 
 
+def test_scan_raw_loses_no_text(spark, tmp_path):
+    path = write(tmp_path / "t" / "1.csv", b"A;B\nwe\x01stern;x\n\n \n\x01;\x01\x01\na;b;c;d\nshort\n")
+    whole = [("we\x01stern", "x"), ("\x01", "\x01\x01"), ("a", "b"), ("short", None)]
+    assert rows(raw.scan_raw(spark, path)) == sorted(whole, key=repr)
+    blank = raw.scan_raw(spark, path, blank_lines=True)
+    assert rows(blank) == sorted([*whole, ("", None), (" ", None)], key=repr)
+    assert raw.raw_reject_counts(spark, path).first().asDict() == {
+        "blank_lines": 2,
+        "wide_lines": 1,
+        "short_lines": 1,
+    }
+
+
+def test_header_is_checked_against_the_declared_columns(spark, tmp_path):
+    stage = str(tmp_path / "stage")
+    wrong = write(tmp_path / "wrong.csv", b"Region Code;Region Nome\n1;West\n")
+    with pytest.raises(ValueError, match="region_name"):
+        load_entity(spark, "regiao", wrong, stage, RUN)
+    moved = write(tmp_path / "moved.csv", b"Region Name;More;Region Code\nWest;x;1\n")
+    with pytest.warns(UserWarning, match="more"):
+        load_entity(spark, "regiao", moved, stage, RUN)
+    staged = snapshots.scan_staged(spark, stage, REGIAO)
+    assert rows(staged) == [("1", "West", "20240101")]
+    assert staged.columns == ["region_code", "region_name", "dt_foto"]
+    with pytest.raises(ValueError, match="division"):
+        snapshots.scan_staged(spark, stage, DIVISAO)
+
+
 def test_header_names(spark, tmp_path):
     path = write(tmp_path / "DIVISAO.csv", b"Division;Division Name;U/M\r\n1;International;x\r\n")
     assert raw.schema_from_header(spark, path) == ["division", "division_name", "u_m"]
@@ -64,18 +116,20 @@ def test_header_names(spark, tmp_path):
     assert raw.entity_name("/raw/Vendas/") == "vendas"
 
 
-def region(spark, names, day=None):
-    df = spark.createDataFrame(list(enumerate(names)), "region_code string, region_name string")
-    return snapshots.stamp_snapshot(df, day or RUN)
+def region(spark, names):
+    return spark.createDataFrame(list(enumerate(names)), "region_code string, region_name string")
+
+
+NEXT = RUN + dt.timedelta(days=1)
 
 
 def test_snapshot_days(spark, tmp_path):
     path = str(tmp_path / "regiao")
     with pytest.raises(FileNotFoundError):
         snapshots.scan_staged(spark, path, REGIAO)
-    snapshots.write_snapshot(region(spark, ["old", "older"]), path)
-    snapshots.write_snapshot(region(spark, ["next"], RUN + dt.timedelta(days=1)), path)
-    snapshots.write_snapshot(region(spark, ["new"]), path)
+    snapshots.write_snapshot(region(spark, ["old", "older"]), path, RUN)
+    snapshots.write_snapshot(region(spark, ["next"]), path, NEXT)
+    snapshots.write_snapshot(region(spark, ["new"]), path, RUN)
     assert snapshots.list_snapshots(spark, path) == ["20240101", "20240102"]
     assert any(n.endswith(".snappy.orc") for n in os.listdir(f"{path}/dt_foto=20240101"))
 
@@ -87,6 +141,20 @@ def test_snapshot_days(spark, tmp_path):
     assert len(rows(snapshots.scan_staged(spark, path, REGIAO, snapshots.ALL))) == 2
     assert all("dt_foto=20240101" in name for name in first.inputFiles())
 
+    snapshots.write_snapshot(region(spark, ["gone"]).where("false"), path, NEXT)
+    assert rows(snapshots.scan_staged(spark, path, REGIAO)) == []
+    assert rows(snapshots.scan_staged(spark, path, REGIAO, snapshots.ALL)) == rows(first)
+
+
+def test_newest_common_day(spark, tmp_path):
+    paths = {name: str(tmp_path / name) for name in ("on_time", "late")}
+    snapshots.write_snapshot(region(spark, ["a"]), paths["late"], RUN)
+    with pytest.raises(FileNotFoundError):
+        snapshots.latest_common_day(spark, paths)
+    for day in (RUN, NEXT):
+        snapshots.write_snapshot(region(spark, ["a"]), paths["on_time"], day)
+    assert snapshots.latest_common_day(spark, paths) == "20240101"
+
 
 def test_registered_table(spark, tmp_path):
     at = str(tmp_path / "regiao")
@@ -95,16 +163,31 @@ def test_registered_table(spark, tmp_path):
     assert table == "mart_test.tbl_regiao"
     with pytest.raises(FileNotFoundError):
         catalog.scan_table(spark, table)
-    catalog.load_table(region(spark, ["old"]), table)
-    catalog.load_table(region(spark, ["next"], RUN + dt.timedelta(days=1)), table)
-    catalog.load_table(region(spark, ["new"]), table)
+    catalog.load_table(region(spark, ["old"]), table, RUN)
+    catalog.load_table(region(spark, ["next"]), table, NEXT)
+    catalog.load_table(region(spark, ["new"]), table, RUN)
     assert rows(catalog.scan_table(spark, table)) == [("0", "next", "20240102")]
     assert rows(catalog.scan_table(spark, table, "20240101")) == [("0", "new", "20240101")]
     # Registering again keeps the days that lie there.
     assert len(rows(catalog.scan_table(spark, catalog.register_table(*args), "all"))) == 2
+    catalog.load_table(region(spark, ["gone"]).where("false"), table, NEXT)
+    assert rows(catalog.scan_table(spark, table)) == []
+    assert rows(catalog.scan_table(spark, table, "20240101")) == [("0", "new", "20240101")]
     spark.sql("DROP DATABASE mart_test CASCADE")
 
 
+def test_registered_raw_table(spark, tmp_path):
+    path = write(tmp_path / "raw" / "1.csv", b"A;B\nwe\x01stern;\n\\N; b \n").rsplit("/", 1)[0]
+    names = raw.schema_from_header(spark, path)
+    table = catalog.register_raw_table(spark, "raw_test", "regiao", names, path, str(tmp_path / "db"))
+    assert rows(catalog.scan_raw_table(spark, table)) == rows(raw.scan_raw(spark, path))
+    write(tmp_path / "raw" / "2.csv", b"A;B\nmore;x\n")
+    spark.catalog.refreshTable(table)
+    assert len(rows(catalog.scan_raw_table(spark, table))) == 3 and spark.table(table).count() == 3
+    spark.sql("DROP DATABASE raw_test CASCADE")
+    assert (tmp_path / "raw" / "1.csv").exists()
+
+
 def test_gold_round_trip(spark, tmp_path):
     path = str(tmp_path / "gold")
     given = [("1", "a;b", dt.date(2024, 1, 1)), ("", None, None), ("é", 'q"q', None)]
@@ -120,6 +203,17 @@ def test_gold_round_trip(spark, tmp_path):
     assert gold.read_gold(spark, path, DIVISAO).count() == 1
 
 
+def test_gold_keeps_blanks_and_line_feeds_if_asked(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    given = [("1", " Bob ", None), ("2", "two\nlines", None)]
+    df = spark.createDataFrame(given, DIVISAO)
+    gold.write_gold(df, path)
+    trimmed = [("1", "Bob", None), ("2", "two\nlines", None)]
+    assert rows(gold.read_gold(spark, path, DIVISAO, line_feeds=True)) == trimmed
+    gold.write_gold(df, path, keep_blanks=True)
+    assert rows(gold.read_gold(spark, path, DIVISAO, line_feeds=True)) == given
+
+
 def test_gold_failure_raises(spark, tmp_path):
     blocked = write(tmp_path / "file", b"")
     with pytest.raises(Exception):

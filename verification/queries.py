@@ -7,13 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart import functions as fn
 from salesmart.functions.keys import concat_key
 from salesmart.operators import conform, joins, keys, stage, star
+from salesmart.operators.skew import SALTED
 from salesmart.plans.export import export_entity
 from salesmart.plans.load import load_entity
-from salesmart.schemas import ENTITIES, data_columns
+from salesmart.plans.star import star_job
+from salesmart.schemas import ENTITIES, STAGE, data_columns
 from salesmart.sources import catalog, gold, raw, snapshots
 from verification.scratch import scratch_dir
 from verification.standins import PRICE_US, Standins
@@ -26,14 +29,27 @@ RUN_DATE = dt.date(2024, 1, 2)
 SALE = ["invoice_number", "line_number", "item_number"]
 
 
-def write_raw(df: DataFrame, path: str) -> None:
-    r"""Text as the raw files have it: `;`, a header per file, \N for NULL, no quotes."""
+def write_raw(df: DataFrame, path: str, odd_lines: bool = False) -> None:
+    r"""Text as the raw files have it: `;`, a header per file, \N for NULL, no quotes.
+
+    With `odd_lines` some lines of the sales have more fields than the header, some lack a
+    last field that is NULL, and some are followed by a blank line.
+    """
+    fields = [F.coalesce(F.col(c), F.lit(raw.NULL_MARK)) for c in df.columns]
+    line = F.concat_ws(raw.SEPARATOR, *fields)
+    if odd_lines:
+        part = F.col("item_number").cast("bigint")
+        short = F.concat_ws(raw.SEPARATOR, *fields[:-1])
+        wide = F.concat(line, F.lit(f"{raw.SEPARATOR}more{raw.SEPARATOR}"))
+        line = F.when(part % 31 == 0, wide).when(F.col("u_m").isNull() & (part % 2 == 0), short).otherwise(line)
+        blank = F.when(part % 29 == 0, F.array(line, F.lit(" "), F.lit("  "))).otherwise(F.array(line))
+        line = F.explode(blank)
+    writer = df.select(line.alias(raw.SEPARATOR.join(df.columns))).write
     (
-        df.write.option("header", True)
-        .option("sep", raw.SEPARATOR)
+        writer.option("header", True)
+        .option("sep", "\u0002")
         .option("quote", "\u0000")
         .option("emptyValue", "")
-        .option("nullValue", raw.NULL_MARK)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -43,14 +59,14 @@ def write_raw(df: DataFrame, path: str) -> None:
 def _raw_files(spark: SparkSession, sf_dir: str, entity: str) -> str:
     path = f"{scratch_dir(spark)}/{entity}"
     df = Standins(spark, sf_dir).entity(entity)
-    write_raw(df.select(*data_columns(ENTITIES[entity])), path)
+    write_raw(df.select(*data_columns(ENTITIES[entity])), path, odd_lines=entity == "vendas")
     return path
 
 
 def _staged(spark: SparkSession, sf_dir: str, entity: str) -> str:
     """Raw files of an entity loaded as the snapshot of the day before RUN_DATE."""
     path = f"{scratch_dir(spark)}/{entity}"
-    load_entity(spark, _raw_files(spark, sf_dir, entity), path, RUN_DATE)
+    load_entity(spark, entity, _raw_files(spark, sf_dir, entity), path, RUN_DATE)
     return path
 
 
@@ -62,6 +78,15 @@ def scan_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.scan_raw(spark, _raw_files(spark, sf_dir, "vendas"), columns)
 
 
+def scan_raw_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = data_columns(ENTITIES["vendas"])
+    return raw.scan_raw(spark, _raw_files(spark, sf_dir, "vendas"), columns, blank_lines=True)
+
+
+def raw_reject_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw.raw_reject_counts(spark, _raw_files(spark, sf_dir, "vendas"))
+
+
 def _display_names(df: DataFrame) -> DataFrame:
     """Column names as a person writes them, such as `Customer Type` or `U/M`."""
     return df.toDF(*[c.title().replace("_", " ").replace("U M", "U/M") for c in df.columns])
@@ -71,8 +96,9 @@ def schema_from_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/CLIENTES.csv"
     clientes = Standins(spark, sf_dir).clientes.select(*data_columns(ENTITIES["clientes"]))
     write_raw(_display_names(clientes), path)
-    found = raw.scan_raw(spark, path, raw.schema_from_header(spark, path))
-    return found.withColumn("entity", F.lit(raw.entity_name(path)))
+    names = raw.schema_from_header(spark, path)
+    raw.check_columns(names, data_columns(ENTITIES["clientes"]), path)
+    return raw.scan_raw(spark, path, names).withColumn("entity", F.lit(raw.entity_name(path)))
 
 
 def normalise_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,11 +111,16 @@ def snapshot_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two days loaded, the second of them twice: each day is there once."""
+    """Three days loaded, one of them twice and one again with nothing in it."""
     path = f"{scratch_dir(spark)}/clientes"
     source = _raw_files(spark, sf_dir, "clientes")
-    for run_date in (RUN_DATE, RUN_DATE + dt.timedelta(days=1), RUN_DATE):
-        load_entity(spark, source, path, run_date)
+    day = dt.timedelta(days=1)
+    for run_date in (RUN_DATE, RUN_DATE + day, RUN_DATE + 2 * day, RUN_DATE):
+        load_entity(spark, "clientes", source, path, run_date)
+    nothing = f"{scratch_dir(spark)}/clientes"
+    none = Standins(spark, sf_dir).clientes.select(*data_columns(ENTITIES["clientes"])).limit(0)
+    write_raw(none, nothing)
+    load_entity(spark, "clientes", nothing, path, RUN_DATE + 2 * day)
     return snapshots.scan_staged(spark, path, ENTITIES["clientes"], snapshots.ALL)
 
 
@@ -103,21 +134,32 @@ def register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{folder}/endereco",
         f"{folder}/database",
     )
-    rows = Standins(spark, sf_dir).endereco.drop("dt_foto")
-    catalog.load_table(snapshots.stamp_snapshot(rows, RUN_DATE), table)
+    catalog.load_table(Standins(spark, sf_dir).endereco, table, RUN_DATE)
     return catalog.scan_table(spark, table)
 
 
+def register_raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _raw_files(spark, sf_dir, "vendas")
+    columns = raw.schema_from_header(spark, path)
+    table = catalog.register_raw_table(
+        spark, "salesmart_raw", "vendas", columns, path, f"{scratch_dir(spark)}/database"
+    )
+    return catalog.scan_raw_table(spark, table)
+
+
 def scan_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _staged(spark, sf_dir, "vendas")
     return snapshots.scan_staged(spark, path, ENTITIES["vendas"])
 
 
-def gold_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{scratch_dir(spark)}/clientes"
-    rows = Standins(spark, sf_dir).clientes
-    gold.write_gold(rows, path)
-    return gold.read_gold(spark, path, rows.schema)
+def _gold(keep_blanks: bool) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{scratch_dir(spark)}/clientes"
+        rows = Standins(spark, sf_dir).clientes
+        gold.write_gold(rows, path, keep_blanks=keep_blanks)
+        return gold.read_gold(spark, path, rows.schema)
+
+    return query
 
 
 def _export(entity: str) -> Query:
@@ -129,6 +171,25 @@ def _export(entity: str) -> Query:
     return query
 
 
+def _star_from_snapshots(name: str, wide: bool = False) -> Query:
+    """One star table by the whole job: raw text, snapshots, star, gold, and back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_dir(spark)
+        for entity in ENTITIES:
+            load_entity(spark, entity, _raw_files(spark, sf_dir, entity), f"{folder}/stage/{entity}", RUN_DATE)
+        star_job(
+            spark, f"{folder}/stage", f"{folder}/gold", narrow=not wide, wide=wide, wanted=lambda x: x == name
+        )
+        header = spark.read.option("header", True).option("sep", raw.SEPARATOR).csv(f"{folder}/gold/{name}")
+        kinds = {f.name: f.dataType for f in STAGE if name == "ft_vendas" or f.name == "invoice_date"}
+        kinds |= {c: T.IntegerType() for c in keys.CALENDAR}
+        schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header.columns])
+        return gold.read_gold(spark, f"{folder}/gold/{name}", schema)
+
+    return query
+
+
 # Scalar functions
 
 
@@ -193,32 +254,21 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Standins(spark, sf_dir)
-    sales = s.vendas.select(*SALE, "customerkey")
-    return joins.join_customer(sales, s.clientes)
+    return joins.join_customer(s.vendas.select(*SALE, "customerkey"), s.clientes, joins.Lookups(s.clientes))
 
 
-def join_address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Standins(spark, sf_dir)
-    customers = joins.join_address(
-        s.clientes.select("customerkey", "customer", "address_number"), s.endereco
-    )
-    return joins.join_customer(s.vendas.select(*SALE, "customerkey"), customers)
-
-
-def join_division(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Standins(spark, sf_dir)
-    customers = joins.join_division(
-        s.clientes.select("customerkey", "customer", "division"), s.divisao
-    )
-    return joins.join_customer(s.vendas.select(*SALE, "customerkey"), customers)
+def _lookup(key: str, entity: str) -> Query:
+    """Sales with the columns of one lookup of their customers."""
 
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = Standins(spark, sf_dir)
+        clientes = s.clientes.select("customerkey", "customer", key)
+        lookups = joins.Lookups(clientes, **{key: s.entity(entity)})
+        ways = lookups.ways()
+        sales = s.vendas.select(*SALE, "customerkey")
+        return joins.join_customer(sales, lookups.rows(ways), lookups, ways)
 
-def join_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Standins(spark, sf_dir)
-    customers = joins.join_region(
-        s.clientes.select("customerkey", "customer", "region_code"), s.regiao
-    )
-    return joins.join_customer(s.vendas.select(*SALE, "customerkey"), customers)
+    return query
 
 
 def stage_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,6 +353,23 @@ def ft_vendas_with_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.ft_vendas_with_keys(**Standins(spark, sf_dir).all)
 
 
+# The way to join that large lookups take, over skewed stand-ins
+
+
+def _salted(operator, *tables: str, columns: list[str] | None = None) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        made = Standins(spark, sf_dir, skewed=True).all
+        df = operator(**{name: made[name] for name in tables or made}, how=SALTED)
+        return df.select(*columns) if columns else df
+
+    return query
+
+
+def dim_row_count_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """It joins no row, so it has one way only; here it runs over the skewed tables."""
+    return star.dim_row_count(**Standins(spark, sf_dir, skewed=True).all)
+
+
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     clientes = Standins(spark, sf_dir).clientes
     return star.preview(clientes, "customerkey", "customer")
@@ -310,13 +377,17 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_raw": scan_raw,
+    "scan_raw_blank_lines": scan_raw_blank_lines,
+    "raw_reject_count": raw_reject_count,
     "schema_from_header": schema_from_header,
     "normalise_columns": normalise_columns,
     "snapshot_stamp": snapshot_stamp,
     "stage_load": stage_load,
     "register_table": register_table,
+    "register_raw_table": register_raw_table,
     "scan_staged": scan_staged,
-    "gold_sink": gold_sink,
+    "gold_sink": _gold(keep_blanks=False),
+    "gold_sink_keep_blanks": _gold(keep_blanks=True),
     **{f"export_{entity}": _export(entity) for entity in ENTITIES},
     "clean_string": _sales_column("item", item=fn.clean_string),
     "blank_to_zero": _sales_column("list_price", list_price=fn.blank_to_zero),
@@ -335,9 +406,9 @@ QUERIES: dict[str, Query] = {
     "concat_key": concat_key_query,
     "surrogate_key": surrogate_key,
     "join_customer": join_customer,
-    "join_address": join_address,
-    "join_division": join_division,
-    "join_region": join_region,
+    "join_address": _lookup("address_number", "endereco"),
+    "join_division": _lookup("division", "divisao"),
+    "join_region": _lookup("region_code", "regiao"),
     "stage_join": stage_join,
     "stage_join_narrow": stage_join_narrow,
     **{f"conform_{entity}": _conform(entity) for entity in ENTITIES},
@@ -357,4 +428,20 @@ QUERIES: dict[str, Query] = {
     "ft_vendas_text": ft_vendas_text,
     "ft_vendas_with_keys": ft_vendas_with_keys,
     "preview": preview,
+    "stage_join_salted": _salted(joins.stage_join),
+    "keys_wide_salted": _salted(stage.wide_stage),
+    "keys_narrow_salted": _salted(
+        stage.narrow_stage, columns=["customerkey", "invoice_date", "sales_price", *NARROW_KEYS]
+    ),
+    "dim_localidade_salted": _salted(star.dim_localidade, "vendas", "clientes", "endereco"),
+    "dim_row_count_salted": dim_row_count_salted,
+    "ft_vendas_with_keys_salted": _salted(star.ft_vendas_with_keys),
+    **{
+        f"star_from_snapshots_{name}": _star_from_snapshots(name)
+        for name in ("dim_tempo", "dim_clientes", "dim_localidade", "ft_vendas")
+    },
+    **{
+        f"star_from_snapshots_{name}": _star_from_snapshots(name, wide=True)
+        for name in ("dim_clientes_wide", "dim_cliente_division")
+    },
 }

@@ -1,8 +1,11 @@
 """The five entities, as dirty text, made of the test tables.
 
 The expressions are plain SQL that Spark and DuckDB both read, so both engines start from
-the same text. The dirt: NULL, empty and blank text, blank runs, text that is no number or
-no date, sales without a customer, customers without an address, and repeated lookup keys.
+the same text. The dirt: NULL, empty and blank text, blank runs, control characters, text that
+is no number or no date, sales without a customer, customers without an address, and repeated
+lookup keys. Every row of the test tables is there; a lookup that lacks a key has another in its
+place. In the skewed variant a third of the sales have one customer and a third none, and some
+addresses are there many times.
 """
 
 from __future__ import annotations
@@ -88,6 +91,7 @@ VENDAS = {
             f"concat('  Item ', {_PART})",
             f"concat(' Item ', {_PART})",
             f"concat('Item', chr(9), ' ', {_PART}, chr(9), ' z ')",
+            f"concat('Item', chr(1), {_PART})",
         ],
         f"concat('Item ', {_PART})",
     ),
@@ -102,6 +106,8 @@ VENDAS = {
             "'12d'",
             _number(_PRICE, ",", "."),
             "'   '",
+            f"concat('\u00a0', {_number_br(_PRICE)}, '\u00a0')",
+            f"concat({_number_br(_PRICE)}, '\u2009 ')",
         ],
         _number_br(_PRICE),
     ),
@@ -146,7 +152,8 @@ CLIENTES = {
         ],
         "concat(c_name, case when copy = 1 then ' II' else '' end)",
     ),
-    "customerkey": f"case when c_custkey = 51 then '' else {_text('c_custkey')} end",
+    "customerkey": f"case when c_custkey = 51 then '' when c_custkey % 10 = 0 "
+    f"then concat('X', {_text('c_custkey')}) else {_text('c_custkey')} end",
     "customer_type": "case when c_acctbal < 0 then 'debtor' else 'creditor' end",
     "division": "case when c_custkey % 23 = 0 then null else c_mktsegment end",
     "line_of_business": "concat(c_mktsegment, '   line')",
@@ -158,7 +165,7 @@ CLIENTES = {
 }
 
 ENDERECO = {
-    "address_number": f"concat('A', {_text('c_custkey')})",
+    "address_number": f"concat(case when c_custkey % 7 = 0 then 'X' else 'A' end, {_text('c_custkey')})",
     "city": _either(
         "c_custkey % 12",
         ["''", "null", f"concat('City  ', {_NATION})"],
@@ -175,26 +182,28 @@ ENDERECO = {
 }
 
 DIVISAO = {
-    "division": "c_mktsegment",
+    "division": "case when c_mktsegment = 'FURNITURE' then 'X' else c_mktsegment end",
     "division_name": "case when c_mktsegment = 'BUILDING' and c_custkey % 2 = 0 "
     "then concat(c_mktsegment, '  (new)') else c_mktsegment end",
     "dt_foto": f"'{SNAPSHOT_TEXT}'",
 }
 
 REGIAO = {
-    "region_code": _REGION,
+    "region_code": f"case when {_REGION} = '4' then 'X' else {_REGION} end",
     "region_name": f"case when {_REGION} = '1' then '  Region 1' "
     f"else concat('Region  ', {_REGION}) end",
     "dt_foto": f"'{SNAPSHOT_TEXT}'",
 }
 
-# Fixed conditions: which lookup rows exist, and which are there twice.
-HAS_CUSTOMER = "c_custkey % 10 <> 0"
-HAS_ADDRESS = "c_custkey % 7 <> 0"
-HAS_DIVISION = "c_mktsegment <> 'FURNITURE'"
-HAS_REGION = "c_nationkey % 5 <> 4"
-CUSTOMER_TWICE = "c_custkey % 40 = 3"
-ADDRESS_TWICE = "c_custkey % 45 = 4"
+# Fixed conditions: which lookup rows are there more than once, as (condition, times).
+CUSTOMER_COPIES = [("c_custkey % 40 = 3", 2)]
+ADDRESS_COPIES = [("c_custkey % 45 = 4", 2)]
+
+# The skewed variant: the customer and the addresses that have many rows.
+SKEWED_VENDAS = VENDAS | {
+    "customerkey": _either("o_custkey % 3", ["'8'", "null"], _text("o_custkey"))
+}
+SKEWED_ADDRESS_COPIES = [("c_custkey = 8", 3), ("c_custkey = 9", 40), *ADDRESS_COPIES]
 
 
 def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -203,17 +212,19 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     )
 
 
-def _copies(df: DataFrame, twice: str) -> DataFrame:
-    copies = f"explode(case when {twice} then array(0, 1) else array(0) end) as copy"
-    return df.selectExpr("*", copies)
+def _copies(copies: list[tuple[str, int]], series: str) -> str:
+    """The numbers of a row's copies as an array, by the engine's function for a series."""
+    cases = " ".join(f"when {where} then {series}(0, {times} - 1)" for where, times in copies)
+    return f"case {cases} else {series}(0, 0) end"
 
 
 class Standins:
     """The entities as DataFrames of text, read from the parquet files of one directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, skewed: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.skewed = skewed
         self.tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -223,38 +234,33 @@ class Standins:
         return self.tables[name]
 
     def sales_rows(self) -> DataFrame:
-        """Sold lines with their order.
-
-        A file of a single row group is read by one task however large it is. Only a scan
-        of fewer splits than there are cores is spread out.
-        """
+        """Sold lines with their order."""
         lines, orders = self.table("lineitem"), self.table("orders")
-        cores = self.spark.sparkContext.defaultParallelism
-        if lines.rdd.getNumPartitions() < cores:
-            lines = lines.repartition(cores, "l_orderkey", "l_linenumber")
         return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
+    def _customer_copies(self, copies: list[tuple[str, int]]) -> DataFrame:
+        return self.table("customer").selectExpr("*", f"explode({_copies(copies, 'sequence')}) as copy")
+
     @property
     def vendas(self) -> DataFrame:
-        return _select(self.sales_rows(), VENDAS)
+        return _select(self.sales_rows(), SKEWED_VENDAS if self.skewed else VENDAS)
 
     @property
     def clientes(self) -> DataFrame:
-        rows = self.table("customer").where(HAS_CUSTOMER)
-        return _select(_copies(rows, CUSTOMER_TWICE), CLIENTES)
+        return _select(self._customer_copies(CUSTOMER_COPIES), CLIENTES)
 
     @property
     def endereco(self) -> DataFrame:
-        rows = self.table("customer").where(HAS_ADDRESS)
-        return _select(_copies(rows, ADDRESS_TWICE), ENDERECO)
+        copies = SKEWED_ADDRESS_COPIES if self.skewed else ADDRESS_COPIES
+        return _select(self._customer_copies(copies), ENDERECO)
 
     @property
     def divisao(self) -> DataFrame:
-        return _select(self.table("customer").where(HAS_DIVISION), DIVISAO).distinct()
+        return _select(self.table("customer"), DIVISAO).distinct()
 
     @property
     def regiao(self) -> DataFrame:
-        return _select(self.table("customer").where(HAS_REGION), REGIAO).distinct()
+        return _select(self.table("customer"), REGIAO).distinct()
 
     def entity(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -275,16 +281,16 @@ def _sql(columns: dict[str, str], source: str, distinct: bool = False) -> str:
 SALES_ROWS = "lineitem join orders on o_orderkey = l_orderkey"
 
 
-def _sql_copies(where: str, twice: str) -> str:
-    copies = f"unnest(case when {twice} then [0, 1] else [0] end) as copy"
-    return f"(select *, {copies} from customer where {where}) as copied"
+def _sql_copies(copies: list[tuple[str, int]]) -> str:
+    return f"(select *, unnest({_copies(copies, 'generate_series')}) as copy from customer) as copied"
 
 
-# The same entities for DuckDB, as the bodies of common table expressions.
-STANDIN_SQL = {
-    "vendas": _sql(VENDAS, SALES_ROWS),
-    "clientes": _sql(CLIENTES, _sql_copies(HAS_CUSTOMER, CUSTOMER_TWICE)),
-    "endereco": _sql(ENDERECO, _sql_copies(HAS_ADDRESS, ADDRESS_TWICE)),
-    "divisao": _sql(DIVISAO, f"customer where {HAS_DIVISION}", distinct=True),
-    "regiao": _sql(REGIAO, f"customer where {HAS_REGION}", distinct=True),
-}
+def standin_sql(skewed: bool = False) -> dict[str, str]:
+    """The same entities for DuckDB, as the bodies of common table expressions."""
+    return {
+        "vendas": _sql(SKEWED_VENDAS if skewed else VENDAS, SALES_ROWS),
+        "clientes": _sql(CLIENTES, _sql_copies(CUSTOMER_COPIES)),
+        "endereco": _sql(ENDERECO, _sql_copies(SKEWED_ADDRESS_COPIES if skewed else ADDRESS_COPIES)),
+        "divisao": _sql(DIVISAO, "customer", distinct=True),
+        "regiao": _sql(REGIAO, "customer", distinct=True),
+    }
