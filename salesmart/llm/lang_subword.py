@@ -22,7 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,7 @@ from salesmart.llm.common import add_columns, chunks, text_column
 
 TRAIN_DOCS = 4000
 TRAIN_CHARS = 600
+MAX_LANGS = 200
 BUCKETS = 1 << 15
 DIM = 16
 SUBWORDS = (2, 3, 4)
@@ -70,8 +71,9 @@ def subwords(texts: list, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         m = len(lower) - n + 1
         if m <= 0:
             continue
-        inside = letter[0:m] | letter[n - 1 : n - 1 + m]
-        for i in range(1, n - 1):
+        # letters inside, and a letter or a word's boundary at either end
+        inside = letter[:m] | letter[1 : m + 1] if n == 2 else letter[1 : m + 1].copy()
+        for i in range(2, n - 1):
             inside &= letter[i : i + m]
         at = np.flatnonzero(inside)
         h = np.full(len(at), n, np.uint64)
@@ -156,12 +158,17 @@ def _calibrated(model: Model, texts: list[str], y: np.ndarray, codes: np.ndarray
 
 
 def sample(docs: DataFrame) -> DataFrame:
-    """(text, lang) of TRAIN_DOCS documents at most, each language's first by a hash of the id."""
+    """(text, lang) of TRAIN_DOCS documents at most, with a fair share for each language.
+
+    A document's turn is a uniform number from its id times the documents of its language, so
+    the first turns of all languages come at the same pace. The MAX_LANGS most frequent
+    languages are learned.
+    """
     known = docs.where("doc_id is not null and lang is not null").groupBy("doc_id").agg(F.min("lang").alias("lang"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    fair = known.withColumn("place", place).where(F.col("place") <= TRAIN_DOCS)
-    picked = fair.orderBy("place", *order).limit(TRAIN_DOCS).select("doc_id", "lang")
+    langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    uniform = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
+    turns = known.join(F.broadcast(langs), "lang").withColumn("turn", uniform * F.col("n"))
+    picked = turns.orderBy("turn", "doc_id").limit(TRAIN_DOCS).select("doc_id", "lang")
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
     chosen = texts.join(F.broadcast(picked), "doc_id")  # TRAIN_DOCS rows at most
     return chosen.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("lang").alias("lang"))
