@@ -61,8 +61,11 @@ def subwords(texts: list, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all subwords of the texts and each text's number of them, by text."""
     joined = " ".join((t or "") + " " for t in texts)
     raw = np.frombuffer((" " + joined).encode("utf-32-le", "surrogatepass"), np.uint32)
-    # letters beyond the table stand for themselves; the rest of those planes are rarely anything else
-    lower = np.where(raw < 65536, codes[np.minimum(raw, 65535)], raw).astype(np.uint64)
+    lower = np.where(raw < 65536, codes[np.minimum(raw, 65535)], 0).astype(np.uint64)
+    beyond = np.flatnonzero(raw >= 65536)
+    if beyond.size:
+        distinct, place = np.unique(raw[beyond], return_inverse=True)
+        lower[beyond] = np.array([ord(chr(c).lower()) if chr(c).isalpha() else 0 for c in distinct])[place]
     letter = lower > 0
     ends = np.cumsum([len(t or "") + 2 for t in texts])
     text_of = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(ends, prepend=0))
@@ -196,9 +199,8 @@ def identified(docs: DataFrame, model: Model | None, *, text: str = "text", with
         best, score = p.argmax(1), p.max(1)
         langs = [model.langs[i] for i in best]
         rejected = score < model.reject_below
-        for i in np.flatnonzero(counts < 8):  # else there is a letter
-            if not any(map(str.isalpha, values[i] or "")):
-                langs[i], score[i], rejected[i] = UNKNOWN, 1.0, True
+        for i in np.flatnonzero(counts == 0):  # any letter has subwords
+            langs[i], score[i], rejected[i] = UNKNOWN, 1.0, True
         return {"lang_pred": langs, "score": score.tolist(), "rejected": rejected.tolist()}
 
     return add_columns(text_column(docs, text), text, make, FIELDS, without=without or [])

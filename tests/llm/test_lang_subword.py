@@ -49,7 +49,7 @@ def test_odd_rows(spark):
     rows = corpus(120, 3)
     train_frame = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "doc_id long, text string, lang string")
     model = fit(train_frame)
-    odd = [None, "", "12 34 !!", "k", "\U00020000", "ka lo " * 50000, "ka lo", "ka lo"]
+    odd = [None, "12 34 !!", "\U0001f600" * 30, "k", "\U00020000", "ka lo " * 50000, "ka lo", "ka lo"]
     frame = docs(spark, odd).selectExpr("*", "'mine' as score")
     got = sorted(identified(frame, model).collect(), key=lambda r: r.doc_id)
     assert [r.lang_pred for r in got[:3]] == ["und"] * 3 and all(r.rejected for r in got[:3])
