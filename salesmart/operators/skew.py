@@ -47,10 +47,15 @@ def measured_bytes(df: DataFrame, extra: int = 0) -> int:
     return df.agg(F.sum(width)).first()[0] or 0
 
 
+# The size suffixes that Spark's settings take.
+UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
+
+
 def broadcast_limit(df: DataFrame) -> int:
     """spark.sql.autoBroadcastJoinThreshold in bytes; -1 means never."""
-    jvm_conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return int(jvm_conf.autoBroadcastJoinThreshold())
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number = text.rstrip("kmgb")
+    return int(number) * UNITS[text[len(number) :]]
 
 
 def fits_broadcast(df: DataFrame, extra: int = 0, measure_up_to: int = 10) -> bool:

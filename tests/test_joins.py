@@ -9,6 +9,7 @@ from salesmart.operators import conform, joins, keys, stage, star
 from salesmart.operators.skew import (
     BROADCAST,
     SALTED,
+    broadcast_limit,
     fits_broadcast,
     heavy_keys,
     key_counts,
@@ -105,6 +106,17 @@ def test_salted_join_with_an_empty_side(skewed):
     assert salted_left_join(nothing, right, "key", 8).count() == 0
 
 
+def test_broadcast_limit_reads_the_setting(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(name)
+    try:
+        for text, limit in (("-1", -1), ("1000", 1000), ("10MB", 10 * 2**20), ("3k", 3072), ("7b", 7)):
+            spark.conf.set(name, text)
+            assert broadcast_limit(spark.range(1)) == limit
+    finally:
+        spark.conf.set(name, kept)
+
+
 def test_left_join_broadcasts_by_size_only(spark, skewed, tmp_path):
     left, right = skewed
     right.write.parquet(str(tmp_path / "right"))
