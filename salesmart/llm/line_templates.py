@@ -33,6 +33,7 @@ SHORT_MIN_DOCS = 50
 
 SPACES = r"[\x20\x09-\x0D]+"
 FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+UNEVEN = r"[\x09-\x0D]|\x20\x20"
 OPEN = "<*>"
 
 
@@ -42,14 +43,20 @@ def templates(lines: Column) -> Column:
     The lowest bit tells the template of a short line. Each step is an array of its own, as a
     value used twice inside one step would be worked out twice.
     """
-    nodes = F.transform(F.transform(lines, words), _node)
+    nodes = F.transform(F.transform(F.transform(lines, _masked), _words), _node)
     return F.transform(nodes, _line_templates)
 
 
-def words(line: Column) -> Column:
-    """Words of a line, variable fields as OPEN; a line without any has one empty word."""
+def _masked(line: Column) -> Column:
+    """A line without white space at its ends, variable fields as OPEN."""
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, OPEN)).otherwise(line)
-    return F.split(F.btrim(masked, F.lit(" \t\n\x0b\x0c\r")), SPACES)
+    return F.btrim(masked, F.lit(" \t\n\x0b\x0c\r"))
+
+
+def _words(line: Column) -> Column:
+    """Words of a trimmed line; one without any has one empty word. Splitting at single spaces
+    is several times faster than at a pattern, and does for most lines."""
+    return F.when(line.rlike(UNEVEN), F.split(line, SPACES)).otherwise(F.split(line, " "))
 
 
 def _node(tokens: Column) -> Column:
