@@ -80,7 +80,9 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, *, si
         sources = F.broadcast(sources)
     drawn = docs.join(sources, docs.source.eqNullSafe(sources._source)).drop("_source")
     drawn = drawn.withColumn("_copies", inverse_poisson(uniform(seed, "doc_id"), F.col("_rate")))
-    copied = drawn.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    # A filter on the number of copies, or that of a plain explode, would have it worked out again.
+    numbers = F.when(F.col("_copies") > 0, F.sequence(F.lit(0), F.col("_copies") - 1))
+    copied = drawn.withColumn("_copy", F.explode_outer(numbers)).where("_copy is not null")
     named = F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("_copy").cast("string"))
     shuffled = copied.withColumn("_mix_key", F.md5(named)).repartition("_mix_key").sortWithinPartitions("_mix_key")
     if not with_draw:
