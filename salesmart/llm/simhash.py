@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.llm.common import add_columns, stored, text_column
+from salesmart.llm.common import add_columns, skewed_join, stored, text_column
 from salesmart.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -35,8 +35,6 @@ MAX_BITS = 2
 SEGMENTS = 32
 BANDS = 4
 CELL_ROWS = 32
-# Rows of one cell, centre or component are looked up by so many keys, so as not to meet in one task.
-SALTS = 16
 
 FINGERPRINT = T.StructField("fp", T.LongType())
 
@@ -109,22 +107,15 @@ def grid(fps: DataFrame) -> DataFrame:
     return named.select(F.explode(F.array(*cells)).alias("cell"), "fp")
 
 
-def salted_join(rows: DataFrame, per_key: DataFrame, key: str, spread_by: str) -> DataFrame:
-    """rows with their key's row of `per_key`; the rows of one key are spread over SALTS keys."""
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
-    copies = per_key.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return rows.withColumn("salt", salt).join(copies, [key, "salt"]).drop("salt")
-
-
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): links that join all of `fps` (distinct, column fp) within MAX_BITS bits.
 
     Pairs from ordinary cells are all there; the members of crowded cells are joined through
     their centres. What is reachable is the same as over all pairs.
     """
-    cells = grid(fps)
-    shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = stored(salted_join(cells, shared, "cell", "fp"), "cells")
+    cells = stored(grid(fps), "cells")
+    shared = stored(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    met = stored(skewed_join(cells, shared, "cell", "n"), "met")
 
     few = met.where(F.col("n") <= CELL_ROWS)
     pairs = few.select("cell", F.col("fp").alias("a")).join(few.select("cell", F.col("fp").alias("b")), "cell")
@@ -140,7 +131,8 @@ def through_centres(fps: DataFrame) -> DataFrame:
     flips = [F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(1 << i if i < 63 else -(1 << 63))) for i in range(64)]]
     around = stored(fps.select(F.explode(F.array(*flips)).alias("centre"), "fp"), "centres")
     least = around.groupBy("centre").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return salted_join(around, least, "centre", "fp").where("a != fp").select("a", F.col("fp").alias("b"))
+    met = skewed_join(around, stored(least, "least"), "centre", "n")
+    return met.where("a != fp").select("a", F.col("fp").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -155,8 +147,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     fps = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     reached = components(links(fps.select("fp"))).select(F.col("node").alias("fp"), "component")
     grouped = stored(fps.join(reached, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "grouped")
-    named = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    names = stored(salted_join(grouped, named, "component", "fp").select("fp", "component_id"), "names")
+    named = grouped.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    joined = skewed_join(grouped, stored(named, "named"), "component", "n")
+    names = stored(joined.select("fp", "component_id"), "names")
     return marked.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
