@@ -87,7 +87,9 @@ def recurring(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, drop): for each document that loses lines, the templates they belong to."""
     lines = F.split(F.col(text).cast("string"), "\n")
     own = docs.where("doc_id is not null").select("doc_id", F.array_distinct(F.flatten(templates(lines))).alias("t"))
-    seen = stored(own.select("doc_id", F.explode("t").alias("t")), "lines")
+    # A plain explode would filter by the array's size first, and so have it worked out twice.
+    exploded = own.select("doc_id", F.explode_outer("t").alias("t")).where("t is not null")
+    seen = stored(exploded, "lines")
     counted = seen.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     need = F.when(F.col("t").bitwiseAND(1) == 1, SHORT_MIN_DOCS).otherwise(MIN_DOCS)
     known = stored(counted.where((F.col("n") >= need) & (F.col("first") != F.col("last"))).select("t", "n", "first"), "templates")
