@@ -30,11 +30,14 @@ def _has_suffix(text: Column, blanks: str, dropped: str) -> Column:
 def parse_number_br(c: Column) -> Column:
     """1.234,56 to a double: points group thousands, the comma is the decimal mark.
 
-    Blanks of any kind around the number are ignored.
+    Blanks of any kind around the number are ignored. Text from a digit or sign to a digit, as
+    almost all of it is, has neither blanks nor a suffix, and is not searched for them.
     """
-    text = F.btrim(blank_to_zero(c), F.lit(BLANKS))
-    plain = F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return F.when(_has_suffix(c, BLANKS, "."), None).otherwise(plain).try_cast("double")
+    text = blank_to_zero(c)
+    tidy = F.left(text, F.lit(1)).between("-", "9") & F.right(text, F.lit(1)).between("0", "9")
+    bare = F.when(tidy, text).when(~_has_suffix(c, BLANKS, "."), F.btrim(text, F.lit(BLANKS)))
+    plain = F.replace(F.replace(bare, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    return plain.try_cast("double")
 
 
 def parse_number_us(c: Column) -> Column:
