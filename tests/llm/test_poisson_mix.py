@@ -65,3 +65,17 @@ def test_odd_rows(spark, monkeypatch, broadcast):
     assert mixed(frame.where("false")).collect() == [] and mixed(frame, {}).collect() == []
     with pytest.raises(ValueError):
         mixed(frame, {"src0": -1.0})
+
+
+@pytest.mark.parametrize("broadcast", [0, 10_000])
+def test_rates_of_several_hundred(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(poisson_mix, "MAX_BROADCAST_SOURCES", broadcast)
+    frame = spark.range(20000).selectExpr("id as doc_id", "'t' as text", "case when id < 20 then 'rare' when id < 10000 then 'b' else 'c' end as source")
+    rows = mixed(frame, {"rare": 2.0, "b": 1.0, "c": 1.0}).collect()
+    counts, copies = Counter(r.source for r in rows), {r.doc_id: r.copies for r in rows if r.source == "rare"}
+    assert abs(counts["rare"] - 10000) < 500 and abs(counts["b"] - 5000) < 350 and abs(counts["c"] - 5000) < 350
+    assert {r.rate for r in rows if r.source == "rare"} == {500.0} and len(copies) == 20
+    assert 150 < np.var(list(copies.values())) < 1500  # a Poisson variance is the rate, also in parts
+    numbers = Counter((r.doc_id, r.copy) for r in rows)
+    assert set(numbers.values()) == {1} and all((i, k) in numbers for i, n in copies.items() for k in range(n))
+    assert sorted(map(str, rows)) == sorted(map(str, mixed(frame, {"rare": 2.0, "b": 1.0, "c": 1.0}).collect()))
