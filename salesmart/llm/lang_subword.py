@@ -10,7 +10,7 @@ prediction is marked rejected where its score is below the level that keeps REJE
 
 Training takes TRAIN_DOCS documents at most, chosen by a hash of their id with a fair share for
 each language, and TRAIN_CHARS characters from the middle of each; both bounds are the same at
-every size. Prediction reads whole texts.
+every size. Calibration and prediction read whole texts.
 
 Defined cases: a null text and one without a letter are `und` with score 1; without any training
 row every text is `und` with score 0; rows without an id or a language are not trained on; a
@@ -30,7 +30,6 @@ from salesmart.llm.common import add_columns, chunks, text_column
 
 TRAIN_DOCS = 4000
 TRAIN_CHARS = 600
-MAX_LANGS = 200
 BUCKETS = 1 << 15
 DIM = 16
 SUBWORDS = (2, 3, 4)
@@ -100,13 +99,15 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     reject_below: float = 0.0
+    weights: np.ndarray | None = None  # with more languages than DIM, where table has the embeddings
 
     def logits(self, texts: list, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Logits by text, and its number of subwords."""
         bucket, owner = subwords(texts, codes)
         counts = np.bincount(owner, minlength=len(texts))
         sums = np.stack([np.bincount(owner, column[bucket], len(texts)) for column in self.table.T], axis=1)
-        return sums / np.maximum(counts, 1)[:, None] + self.bias, counts
+        mean = sums / np.maximum(counts, 1)[:, None]
+        return (mean if self.weights is None else mean @ self.weights) + self.bias, counts
 
 
 def train(texts: list[str], langs: list[str], seed: int = 7) -> Model | None:
@@ -140,8 +141,8 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model | None:
             weights -= RATE * mean.T @ error
             bias -= RATE * error.sum(0)
             embedding[used] -= RATE * 20 * to_embedding
-    model = Model(names, (embedding @ weights), bias)
-    return _calibrated(model, [parts[i] for i in np.flatnonzero(back)], y[back], codes)
+    model = Model(names, embedding @ weights, bias) if len(names) <= DIM else Model(names, embedding, bias, weights=weights)
+    return _calibrated(model, [texts[i] for i in np.flatnonzero(back)], y[back], codes)
 
 
 def _calibrated(model: Model, texts: list[str], y: np.ndarray, codes: np.ndarray) -> Model:
@@ -164,11 +165,10 @@ def sample(docs: DataFrame) -> DataFrame:
     """(text, lang) of TRAIN_DOCS documents at most, with a fair share for each language.
 
     A document's turn is a uniform number from its id times the documents of its language, so
-    the first turns of all languages come at the same pace. The MAX_LANGS most frequent
-    languages are learned.
+    the first turns of all languages come at the same pace.
     """
     known = docs.where("doc_id is not null and lang is not null").groupBy("doc_id").agg(F.min("lang").alias("lang"))
-    langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     uniform = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
     turns = known.join(F.broadcast(langs), "lang").withColumn("turn", uniform * F.col("n"))
     picked = turns.orderBy("turn", "doc_id").limit(TRAIN_DOCS).select("doc_id", "lang")

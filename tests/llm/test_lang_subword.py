@@ -58,3 +58,26 @@ def test_odd_rows(spark):
     assert identified(frame.where("false"), model).collect() == []
     assert fit(train_frame.where("false")) is None
     assert {r.lang_pred for r in identified(frame, None).collect()} == {"und"}
+
+
+def test_all_languages_are_learned(spark):
+    rows = [(i, f"text {i}", f"l{i % 300}") for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len({r.lang for r in lang_subword.sample(frame).collect()}) == 300
+
+
+def test_calibration_reads_whole_texts(monkeypatch):
+    seen = []
+    monkeypatch.setattr(lang_subword, "_calibrated", lambda model, texts, y, codes: seen.extend(texts) or model)
+    texts = [f"{'ab' if i % 2 else 'cd'} " * 500 for i in range(40)]
+    lang_subword.train(texts, ["x" if i % 2 else "y" for i in range(40)])
+    assert seen and all(len(t) == 1500 for t in seen)
+
+
+def test_more_languages_than_dimensions():
+    words = [chr(97 + i) + chr(122 - i) + chr(97 + i) for i in range(26)]
+    names = [f"l{i:02d}" for i in range(26)]
+    model = lang_subword.train([f"{w} {w}" for w in words] * 20, names * 20)
+    assert model.weights is not None and model.table.shape[1] == lang_subword.DIM
+    best = model.logits(words, lang_subword.letter_codes())[0].argmax(1)
+    assert [model.langs[i] for i in best] == names
