@@ -19,19 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df, written as Parquet and read back, so that nothing computes them again.
-
-    The folder is below spark.checkpoint.dir, which all executors share. Where that is unset
-    and Spark runs inside one machine, as in tests, it is a local one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share. Where that is unset and
+    Spark runs inside one machine, as in tests, a new local one."""
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="salesmart-llm-")
-    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return shared.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df, written as Parquet and read back, so that nothing computes them again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

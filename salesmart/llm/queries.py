@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe_ranks, lang_subword, line_templates, poisson_mix, secret_cnn, simhash, topk_saat, toxic_crf, url_digest, weak_rules
+from salesmart.llm import (
+    bpe_ranks,
+    lang_subword,
+    line_templates,
+    poisson_mix,
+    secret_cnn,
+    setm_phrases,
+    simhash,
+    topk_saat,
+    toxic_crf,
+    url_digest,
+    weak_rules,
+)
 from salesmart.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +99,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_ranks.encode_documents(docs, tokenizer_path(), without=["text"])
 
 
+def op11_setm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setm_phrases.phrases(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk_saat": op1_topk_saat,
     "op2_weak_rules": op2_weak_rules,
@@ -98,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_digest": op8_url_digest,
     "op9_lang_subword": op9_lang_subword,
     "op10_bpe": op10_bpe,
+    "op11_setm_phrases": op11_setm_phrases,
 }
 
 _HOST = "translate(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -133,6 +150,9 @@ _LINES = f"""
         group by t having count(distinct doc_id) >= max(need) and count(distinct doc_id) > 1),
     dropped as (select distinct doc_id, pos from nodes join known using (t) where doc_id != first)
 """
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# The score of the cut after the first k words, in 128 bits.
+_SCORE = "(1000::hugeint * c.a::hugeint * n::hugeint) // (l.a::hugeint * r.a::hugeint)"
 
 ORACLE_SQL: dict[str, str] = {
     "op1_topk_saat": """
@@ -179,4 +199,30 @@ ORACLE_SQL: dict[str, str] = {
              ruled as (select *, case {_RULE_CASES} end as rule from parts)
         select *, case when rule in ({_BLOCKED}) then 'block' else 'allow' end as verdict from ruled
     """,
+    "op11_setm_phrases": f"""
+        with pieces as (
+                select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+             cut as (
+                select lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w != '') as w from pieces),
+             totals as (select lang, sum(len(w))::bigint as n from cut group by lang),
+             grams as (
+                select lang, w[i : i + k - 1] as words, k from (
+                    select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from cut, range(1, 6) as lengths(k))),
+             f as (select lang, words, k, count(*) as a from grams group by all having count(*) >= 100),
+             cuts as (
+                select c.lang, c.words, c.a, l.a as l, r.a as r, n, {_SCORE} as score,
+                    row_number() over (partition by c.lang, c.words order by {_SCORE}, len(l.words)) as place
+                from f c join totals using (lang)
+                    join f l on l.lang = c.lang and l.k < c.k and l.words = c.words[1 : l.k]
+                    join f r on r.lang = c.lang and r.k = c.k - l.k and r.words = c.words[l.k + 1 : c.k]),
+             parts as (
+                select lang, words[i : i + k - 1] as words, max(a) as most from (
+                    select f.lang, f.words, f.a, k.k, unnest(range(1, f.k - k.k + 2)) as i from f join range(2, 5) as k(k) on k.k < f.k)
+                group by all),
+             kept as (
+                select lang, array_to_string(words, ' ') as phrase, a, l, r, n, score::bigint as score
+                from cuts left join parts using (lang, words) where place = 1 and (most is null or 100 * most < 100 * a)),
+             ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+        select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+    """,
 }

@@ -23,7 +23,7 @@ def documents(spark):
 def test_all_are_registered():
     names = __spark_entry__.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
