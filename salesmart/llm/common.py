@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +41,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """A function that gives `value` on an executor, to which it is broadcast.
+
+    It travels as bytes that hold its classes too, so that executors need no package of this
+    library. Each task unpacks it once.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    here: list = []
+
+    def load() -> Any:
+        if not here:
+            here.append(pickle.loads(sent.value))
+        return here[0]
+
+    return load
+
+
 def add_columns(
     df: DataFrame,
     source: str,

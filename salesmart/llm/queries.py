@@ -19,6 +19,8 @@ from salesmart.llm import (
     toxic_crf,
     url_digest,
     weak_rules,
+    whitening,
+    wu_manber,
 )
 from salesmart.llm.common import crc_mod, table
 
@@ -103,6 +105,16 @@ def op11_setm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setm_phrases.phrases(table(spark, sf_dir, "documents").select("lang", "text"))
 
 
+def op12_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = wu_manber.decontaminated(docs, table(spark, sf_dir, "benchmark"), without=["text"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk_saat": op1_topk_saat,
     "op2_weak_rules": op2_weak_rules,
@@ -115,6 +127,8 @@ QUERIES: dict[str, Query] = {
     "op9_lang_subword": op9_lang_subword,
     "op10_bpe": op10_bpe,
     "op11_setm_phrases": op11_setm_phrases,
+    "op12_wu_manber": op12_wu_manber,
+    "op13_whitening": op13_whitening,
 }
 
 _HOST = "translate(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -225,4 +239,28 @@ ORACLE_SQL: dict[str, str] = {
              ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
         select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
     """,
+    "op12_wu_manber": f"""
+        with words as (
+                select doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x != '') as w
+                from documents),
+             items as (
+                select item_id::varchar as item_id,
+                    list_filter(regexp_split_to_array({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x != '') as w
+                from benchmark),
+             windows as (
+                select distinct item_id, size, array_to_string(w[i : i + size - 1], ' ') as passage from (
+                    select item_id, w, least(10, len(w)) as size, unnest(range(1, greatest(len(w) - 8, 2))) as i from items where len(w) > 0)),
+             sizes as (select distinct size from windows),
+             places as (
+                select doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') as passage from (
+                    select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i from words, sizes)),
+             met as (select doc_id, i, size, item_id from places join windows using (size, passage)),
+             hits as (select doc_id, count(distinct spot) as n_hit from (select doc_id, unnest(range(i, i + size)) as spot from met) group by doc_id),
+             named as (
+                select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
+                from (select distinct doc_id, item_id from met where item_id is not null) group by doc_id)
+        select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+            sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from words left join hits using (doc_id) left join named using (doc_id)
+    """,
 }

@@ -103,3 +103,12 @@ def test_toxicity_held_out(spark):
     counts = Counter(held)
     assert counts[1, 1] >= 0.9 * (counts[1, 1] + counts[1, 0])
     assert counts[0, 1] <= 0.02 * (counts[0, 0] + counts[0, 1])
+
+
+def test_whitened_embeddings(spark):
+    from tests.llm.test_whitening import check
+
+    rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()
+    used = [r for r in rows if r.embedding is not None and all(x is not None and abs(x) < float("inf") for x in r.embedding)]
+    dims = max(len(r.embedding) for r in used)
+    check(QUERIES["op13_whitening"](spark, SF_DIR).collect(), [r.embedding for r in used], [r.vec_id for r in used], dims)
