@@ -7,13 +7,14 @@ from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
-from salesmart.schemas import ENTITIES, data_columns
+from salesmart.schemas import ENTITIES, JOIN_KEYS, data_columns
 from salesmart.session import prepare
+from salesmart.sources.published import Load
 from salesmart.sources.raw import check_columns, scan_raw, schema_from_header
 from salesmart.sources.snapshots import write_snapshot
 
 
-def load_entity(spark: SparkSession, entity: str, raw_path: str, stage_path: str, run_date: dt.date) -> None:
+def load_entity(spark: SparkSession, entity: str, raw_path: str, stage_path: str, run_date: dt.date) -> Load:
     """Load one entity's raw files as the snapshot of the day before the run.
 
     The header says where a column is. All declared columns must be there; others are left
@@ -24,7 +25,7 @@ def load_entity(spark: SparkSession, entity: str, raw_path: str, stage_path: str
     found = schema_from_header(spark, raw_path)
     check_columns(found, declared, raw_path)
     rows = scan_raw(prepare(spark), raw_path, found).select(*declared)
-    write_snapshot(rows, stage_path, run_date)
+    return write_snapshot(rows, stage_path, run_date, JOIN_KEYS[entity])
 
 
 def load_entities(

@@ -95,6 +95,15 @@ ENTITIES = {
     "vendas": VENDAS,
 }
 
+# The columns that entities are joined by.
+JOIN_KEYS = {
+    "clientes": ["customerkey", "address_number", "division", "region_code"],
+    "divisao": ["division"],
+    "endereco": ["address_number"],
+    "regiao": ["region_code"],
+    "vendas": ["customerkey"],
+}
+
 # The measures of the sales fact.
 MEASURES = [
     "list_price",

@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.schemas import SNAPSHOT, data_columns
+from salesmart.sources.published import Load, newest, published
 from salesmart.sources.raw import scan_raw
-from salesmart.sources.snapshots import ALL, LATEST, NO_DAY, list_snapshots, snapshot_text
+from salesmart.sources.snapshots import ALL, LATEST, NO_DAY, write_snapshot
+
+
+def _text(value: str) -> str:
+    """A text as an SQL literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def _database(spark: SparkSession, database: str, location: str | None) -> None:
-    at = f" LOCATION '{location}'" if location else ""
+    at = f" LOCATION {_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
 
 
@@ -28,8 +36,8 @@ def register_table(
 ) -> str:
     """Create the database if need be, and the entity's staged table anew.
 
-    The table only points at the location: dropping it keeps the files, and days that
-    already lie there are found again. Returns the table's name.
+    The table only points at the location: dropping it keeps the files, and days that are
+    published there already, be it by `write_snapshot`, are found again. Returns the table's name.
     """
     table = f"{database}.tbl_{entity}"
     columns = ", ".join(f"{name} STRING" for name in data_columns(schema))
@@ -38,10 +46,15 @@ def register_table(
     spark.sql(
         f"CREATE TABLE {table} ({columns}, {SNAPSHOT} STRING) USING ORC "
         f"OPTIONS ('orc.compress' = 'SNAPPY') PARTITIONED BY ({SNAPSHOT}) "
-        f"LOCATION '{location}'"
+        f"LOCATION {_text(location)}"
     )
-    if list_snapshots(spark, location):
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+    days = [
+        f"{_day(day)} LOCATION {_text(f'{location.rstrip('/')}/{load.folder}')}"
+        for day, load in newest(published(spark, location)).items()
+    ]
+    if days:
+        spark.sql(f"ALTER TABLE {table} ADD {' '.join(days)}")
+        _leave_sizes(spark, table)
     return table
 
 
@@ -64,34 +77,50 @@ def register_raw_table(
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(
         f"CREATE TABLE {table} (line STRING) USING CSV OPTIONS ('header' = 'true', "
-        f"'sep' = '\u0001', 'quote' = '') LOCATION '{location}' "
-        f"COMMENT 'Lines of {entity}' TBLPROPERTIES ('columns' = '{','.join(columns)}')"
+        f"'sep' = '\u0001', 'quote' = '') LOCATION {_text(location)} "
+        f"COMMENT {_text(f'Lines of {entity}')} TBLPROPERTIES ('columns' = {_text(json.dumps(columns))})"
     )
     return table
 
 
 def scan_raw_table(spark: SparkSession, table: str) -> DataFrame:
     """The rows of a registered raw table, as `scan_raw` gives them for its location."""
-    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Location").first()
     named = spark.sql(f"SHOW TBLPROPERTIES {table} ('columns')").first()["value"]
-    return scan_raw(spark, about["data_type"], named.split(","))
+    return scan_raw(spark, _location(spark, table), json.loads(named))
 
 
-def load_table(df: DataFrame, table: str, run_date: dt.date) -> None:
+def load_table(df: DataFrame, table: str, run_date: dt.date) -> Load:
     """Load the day before the run into a registered table, replacing that day only.
 
-    The day is named in the statement, so no session setting decides what is overwritten, and
-    a load without rows leaves the day empty.
+    The day is loaded as a snapshot at the table's location, and its partition is pointed to the
+    load once that is published, so a load that fails leaves the day as it was, and a load
+    without rows makes it empty. Sizes are left in the catalog for the planner.
     """
     spark = df.sparkSession
-    day = snapshot_text(run_date)
     names = [name for name in spark.table(table).columns if name != SNAPSHOT]
-    df.select(*names).createOrReplaceTempView("_loaded")
-    try:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({SNAPSHOT} = '{day}')")
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({SNAPSHOT} = '{day}') SELECT * FROM _loaded")
-    finally:
-        spark.catalog.dropTempView("_loaded")
+    location = _location(spark, table)
+    load = write_snapshot(df.select(*names), location, run_date)
+    at = _text(f"{location}/{load.folder}")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_day(load.day)} LOCATION {at}")
+    spark.sql(f"ALTER TABLE {table} {_day(load.day)} SET LOCATION {at}")
+    spark.catalog.refreshTable(table)
+    _leave_sizes(spark, table, _day(load.day))
+    return load
+
+
+def _day(day: str) -> str:
+    return f"PARTITION ({SNAPSHOT} = {_text(day)})"
+
+
+def _leave_sizes(spark: SparkSession, table: str, day: str | None = None) -> None:
+    """Let the catalog have the bytes of the table, and the rows of a day, or of each day."""
+    spark.sql(f"ANALYZE TABLE {table} {day or f'PARTITION ({SNAPSHOT})'} COMPUTE STATISTICS")
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Location").first()
+    return about["data_type"].rstrip("/")
 
 
 def scan_table(spark: SparkSession, table: str, dt_foto: str = LATEST) -> DataFrame:

@@ -1,17 +1,21 @@
-"""Gold files: `;`-separated CSV with a header."""
+"""Gold tables: `;`-separated CSV with a header, published whole."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from salesmart.sources.published import Load, published, write_load
 from salesmart.sources.raw import SEPARATOR
 
 
 def write_gold(
     df: DataFrame, path: str, files: int | None = None, keep_blanks: bool = False
-) -> None:
-    """Write a table as CSV, replacing what is there. A failed write raises.
+) -> Load:
+    """Write a table as CSV, replacing what is there once all of it is written.
+
+    A failed write raises, and readers keep the table as it was; so do those that read while it
+    is written.
 
     By default every task writes its own part. A reader that needs few files passes their
     number; the rows are then spread evenly over that many writers.
@@ -21,10 +25,22 @@ def write_gold(
     """
     if files is not None:
         df = df.repartition(files)
-    writer = df.write.mode("overwrite").option("header", True).option("sep", SEPARATOR)
-    for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
-        writer = writer.option(side, not keep_blanks)
-    writer.csv(path)
+
+    def write(rows: DataFrame, at: str) -> None:
+        writer = rows.write.option("header", True).option("sep", SEPARATOR)
+        for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+            writer = writer.option(side, not keep_blanks)
+        writer.csv(at)
+
+    return write_load(df, path, write)
+
+
+def gold_folder(spark: SparkSession, path: str) -> str:
+    """The folder that holds a gold table's files at present."""
+    loads = published(spark, path)
+    if not loads:
+        raise FileNotFoundError(f"no finished table at {path}")
+    return f"{path.rstrip('/')}/{loads[-1].folder}"
 
 
 def read_gold(
@@ -38,4 +54,5 @@ def read_gold(
     Raw text, being read by lines, cannot hold any.
     """
     reader = spark.read.schema(schema).option("header", True).option("sep", SEPARATOR)
-    return reader.option("nullValue", "\u0000").option("multiLine", line_feeds).csv(path)
+    reader = reader.option("nullValue", "\u0000").option("multiLine", line_feeds)
+    return reader.csv(gold_folder(spark, path))

@@ -6,6 +6,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from salesmart.plans.load import load_entity
 from salesmart.schemas import DIVISAO, ENTITIES, REGIAO, STAGE, VENDAS, staged_schema
@@ -131,7 +132,9 @@ def test_snapshot_days(spark, tmp_path):
     snapshots.write_snapshot(region(spark, ["next"]), path, NEXT)
     snapshots.write_snapshot(region(spark, ["new"]), path, RUN)
     assert snapshots.list_snapshots(spark, path) == ["20240101", "20240102"]
-    assert any(n.endswith(".snappy.orc") for n in os.listdir(f"{path}/dt_foto=20240101"))
+    folder = snapshots.day_load(spark, path, "20240101").folder
+    assert folder.startswith("dt_foto=20240101/")
+    assert any(n.endswith(".snappy.orc") for n in os.listdir(f"{path}/{folder}"))
 
     latest = snapshots.scan_staged(spark, path, REGIAO)
     assert latest.dtypes[-1] == ("dt_foto", "string")
@@ -173,9 +176,31 @@ def test_registered_table(spark, tmp_path):
     catalog.load_table(region(spark, ["gone"]).where("false"), table, NEXT)
     assert rows(catalog.scan_table(spark, table)) == []
     assert rows(catalog.scan_table(spark, table, "20240101")) == [("0", "new", "20240101")]
+    # A day loaded as a snapshot, and a load that fails.
+    snapshots.write_snapshot(region(spark, ["later"]), at, NEXT + dt.timedelta(days=1))
+    catalog.register_table(*args)
+    assert rows(catalog.scan_table(spark, table)) == [("0", "later", "20240103")]
+    broken = region(spark, ["x"]).withColumn("region_name", F.raise_error(F.lit("no more")).cast("string"))
+    with pytest.raises(Exception, match="no more"):
+        catalog.load_table(broken, table, RUN)
+    assert rows(catalog.scan_table(spark, table, "20240101")) == [("0", "new", "20240101")]
+    about = spark.sql(f"DESCRIBE EXTENDED {table} PARTITION (dt_foto = '20240101')").collect()
+    assert any(r.col_name == "Partition Statistics" and "1 rows" in r.data_type for r in about)
     spark.sql("DROP DATABASE mart_test CASCADE")
 
 
+def test_columns_and_places_with_quotes(spark, tmp_path):
+    at = tmp_path / "it's"
+    at.mkdir()
+    table = catalog.register_table(spark, "odd_test", "regiao", REGIAO, str(at / "a"), str(tmp_path / "db"))
+    catalog.load_table(region(spark, ["x"]), table, RUN)
+    assert rows(catalog.scan_table(spark, table)) == [("0", "x", "20240101")]
+    write(at / "raw" / "1.csv", b"A,a;B's\n1;2\n")
+    raw_table = catalog.register_raw_table(spark, "odd_test", "raw", ["a,a", "b's"], str(at / "raw"))
+    assert catalog.scan_raw_table(spark, raw_table).columns == ["a,a", "b's"]
+    spark.sql("DROP DATABASE odd_test CASCADE")
+
+
 def test_registered_raw_table(spark, tmp_path):
     path = write(tmp_path / "raw" / "1.csv", b"A;B\nwe\x01stern;\n\\N; b \n").rsplit("/", 1)[0]
     names = raw.schema_from_header(spark, path)
@@ -196,9 +221,10 @@ def test_gold_round_trip(spark, tmp_path):
     assert rows(gold.read_gold(spark, path, DIVISAO)) == sorted(given, key=repr)
 
     gold.write_gold(df.limit(1), path, files=1)
-    parts = [n for n in os.listdir(path) if n.endswith(".csv")]
+    folder = gold.gold_folder(spark, path)
+    parts = [n for n in os.listdir(folder) if n.endswith(".csv")]
     assert len(parts) == 1
-    text = (tmp_path / "gold" / parts[0]).read_text(encoding="utf-8")
+    text = open(f"{folder}/{parts[0]}", encoding="utf-8").read()
     assert text.splitlines()[0] == "division;division_name;dt_foto"
     assert gold.read_gold(spark, path, DIVISAO).count() == 1
 

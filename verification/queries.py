@@ -181,7 +181,7 @@ def _star_from_snapshots(name: str, wide: bool = False) -> Query:
         star_job(
             spark, f"{folder}/stage", f"{folder}/gold", narrow=not wide, wide=wide, wanted=lambda x: x == name
         )
-        header = spark.read.option("header", True).option("sep", raw.SEPARATOR).csv(f"{folder}/gold/{name}")
+        header = spark.read.option("header", True).option("sep", raw.SEPARATOR).csv(gold.gold_folder(spark, f"{folder}/gold/{name}"))
         kinds = {f.name: f.dataType for f in STAGE if name == "ft_vendas" or f.name == "invoice_date"}
         kinds |= {c: T.IntegerType() for c in keys.CALENDAR}
         schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header.columns])
