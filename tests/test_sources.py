@@ -110,6 +110,36 @@ def test_header_is_checked_against_the_declared_columns(spark, tmp_path):
         snapshots.scan_staged(spark, stage, DIVISAO)
 
 
+def test_files_with_columns_in_different_order(spark, tmp_path):
+    folder, stage = tmp_path / "raw", str(tmp_path / "stage")
+    write(folder / "1.csv", b"Region Code;Region Name\n1;West\n;\n")
+    write(folder / "a 2+[x].csv", b"REGION NAME;REGION CODE;More\r\nEast;2;x\r\n\\N;3\r\n")
+    write(folder / "3.csv", b"region code;region name\n4;A;B\n")
+    write(folder / "4.csv", b"")
+    with pytest.raises(Exception, match="header does not conform"):
+        raw.scan_raw(spark, str(folder)).collect()
+    expected = [("", ""), ("1", "West"), ("2", "East"), ("3", None), ("4", "A")]
+    assert sorted(raw.file_headers(spark, str(folder))) == ["REGION NAME;REGION CODE;More", "Region Code;Region Name", "region code;region name"]
+    with pytest.warns(UserWarning, match="more"):
+        found = raw.scan_by_header(spark, str(folder), ["region_code", "region_name"])
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
+    with pytest.warns(UserWarning, match="more"):
+        load_entity(spark, "regiao", str(folder), stage, RUN)
+    staged = [(*r, "20240101") for r in expected]
+    assert rows(snapshots.scan_staged(spark, stage, REGIAO)) == sorted(staged, key=repr)
+    write(folder / "5.csv", b"Region Name;Code\nNorth;9\n")
+    with pytest.raises(ValueError, match="5.csv: no column region_code"):
+        load_entity(spark, "regiao", str(folder), stage, RUN)
+    assert rows(snapshots.scan_staged(spark, stage, REGIAO)) == sorted(staged, key=repr)
+
+
+def test_a_failure_that_is_no_header_is_raised(spark, tmp_path):
+    path = write(tmp_path / "1.csv", b"Region Code;Region Name\n1;West\n")
+    blocked = write(tmp_path / "blocked", b"")
+    with pytest.raises(Exception, match="(?i)blocked"):
+        load_entity(spark, "regiao", path, f"{blocked}/stage", RUN)
+
+
 def test_header_names(spark, tmp_path):
     path = write(tmp_path / "DIVISAO.csv", b"Division;Division Name;U/M\r\n1;International;x\r\n")
     assert raw.schema_from_header(spark, path) == ["division", "division_name", "u_m"]
