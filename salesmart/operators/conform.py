@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,9 +39,9 @@ def conform_column(field: T.StructField, dates=parse_date_br) -> Column:
 
 
 def conform_entity(
-    df: DataFrame, schema: T.StructType, run_date: dt.date, iso_dates: bool = False
+    df: DataFrame, schema: T.StructType, run_date: dt.date, iso_dates: bool = False, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One entity cleaned and typed.
+    """One entity cleaned and typed, with the columns `keep` as they are.
 
     Dates are read as dd/MM/yyyy and the snapshot date as yyyyMMdd or ISO text. With
     `iso_dates` every date, the snapshot date too, goes through the plain cast, which knows
@@ -56,7 +57,8 @@ def conform_entity(
         *[
             snapshot.alias(SNAPSHOT) if f.name == SNAPSHOT else conform_column(f, dates)
             for f in schema
-        ]
+        ],
+        *keep,
     )
 
 
@@ -85,6 +87,46 @@ def number_reject_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
     return _reject_counts(df, columns_of_type(schema, T.DoubleType), parse_number_br)
 
 
+# The columns that a row of rejects names, and the mark of a column's failure while it is counted.
+BAD_COLUMNS = "bad_columns"
+BAD = "_bad_"
+
+
+def _is_bad(name: str, schema: T.StructType, iso_dates: bool) -> Column:
+    parse = parse_number_br
+    if isinstance(schema[name].dataType, T.DateType):
+        parse = cast_date_iso if iso_dates else parse_date_br
+    return F.col(name).isNotNull() & parse(F.col(name)).isNull()
+
+
+def parsed_columns(schema: T.StructType) -> list[str]:
+    """The columns whose text may be no value: dates, but for the snapshot's, and numbers."""
+    return [f.name for f in schema if not isinstance(f.dataType, T.StringType) and f.name != SNAPSHOT]
+
+
+def conform_counting(
+    df: DataFrame, schema: T.StructType, run_date: dt.date, iso_dates: bool = False
+) -> tuple[DataFrame, Observation]:
+    """`conform_entity`, and an observation that has, once the rows were written, how many values
+    of each column are given but are no number or date. Nothing is scanned or parsed for it again."""
+    names = parsed_columns(schema)
+    flags = {f"{BAD}{name}": _is_bad(name, schema, iso_dates) for name in names}
+    flagged = df.withColumns(flags)
+    cleaned = conform_entity(flagged, schema, run_date, iso_dates, keep=list(flags))
+    seen = Observation()
+    counts = [F.count_if(flag).alias(name) for name, flag in zip(names, flags, strict=True)]
+    return (cleaned.observe(seen, *counts) if counts else cleaned).select(*schema.names), seen
+
+
+def reject_rows(df: DataFrame, schema: T.StructType, iso_dates: bool = False) -> DataFrame:
+    """The rows with a value that is no number or date, as they arrived, and the names of those
+    columns, comma-joined in contract order."""
+    bad = [F.when(_is_bad(name, schema, iso_dates), name) for name in parsed_columns(schema)]
+    if not bad:
+        return df.withColumn(BAD_COLUMNS, F.lit("")).where("false")
+    return df.withColumn(BAD_COLUMNS, F.concat_ws(",", *bad)).where(F.col(BAD_COLUMNS) != "")
+
+
 def _reject_counts(df: DataFrame, names: list[str], parse) -> DataFrame:
     return df.agg(
         *[

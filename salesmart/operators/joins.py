@@ -14,16 +14,20 @@ in the base tables, and the rows of `clientes` are weighted by their matches.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators.skew import (
     AUTO,
+    BROADCAST,
     ROWS,
     SALTED,
     Heavy,
+    broadcast_limit,
     heavy_keys,
     key_counts,
     salted_left_join,
@@ -31,6 +35,7 @@ from salesmart.operators.skew import (
     way_to_join,
 )
 from salesmart.schemas import SNAPSHOT, STAGE
+from salesmart.sources.published import FREQUENT, Load
 
 # The sixteen columns of the narrow stage, in contract order.
 NARROW = [
@@ -55,16 +60,39 @@ NARROW = [
 # A way for all joins, or one for each key as `Lookups.ways` gives them.
 Ways = str | Mapping[str, str]
 
+# Which entity is looked up by which key of the customers.
+LOOKUPS = {"address_number": "endereco", "division": "divisao", "region_code": "regiao"}
+
 # What two hashed keys add to a customer row, in bytes with their words.
 CLEANING_ADDS = 150
 
 # The keys of the lookups, in the order in which customers are joined to them.
-LOOKUP_KEYS = ("address_number", "division", "region_code")
+LOOKUP_KEYS = tuple(LOOKUPS)
 
 # Columns that tell the rows of one key apart, where a side has them.
 SPREAD_BY = ("invoice_number", "line_number", "invoice_date", "customerkey", "customer", "zip_code")
 
 
+class Decided(dict[str, str]):
+    """A way for each join, and the heavy keys of its sides as far as they are known already."""
+
+    def __init__(self, ways: Mapping[str, str], heavy: Mapping[str, tuple[Heavy, Heavy | None]]):
+        super().__init__(ways)
+        self.heavy = dict(heavy)
+
+
+def known_heavy(how: Ways, key: str) -> tuple[Heavy | None, Heavy | None]:
+    return how.heavy.get(key, (None, None)) if isinstance(how, Decided) else (None, None)
+
+
+def heavy_by_load(load: Load, key: str, partitions: int) -> Heavy | None:
+    """What `heavy_keys` finds in a load's rows, from its entry; None if that lists too few keys."""
+    frequent, even = load.frequent.get(key), load.rows / partitions
+    if frequent is None or (len(frequent) >= FREQUENT and frequent[-1][1] > even):
+        return None
+    return [(value, math.ceil(rows / even)) for value, rows in frequent if rows > max(even, 1)]
+
+
 def sales_columns(vendas: DataFrame) -> DataFrame:
     """Sales with their snapshot date under its stage name."""
     return vendas.withColumnRenamed(SNAPSHOT, "data_foto")
@@ -90,13 +118,50 @@ class Lookups:
         found = {key: way_to_join(table.drop(SNAPSHOT), how) for key, table in self.tables.items()}
         return found | {"customerkey": way_to_join(self.rows(found), how, CLEANING_ADDS)}
 
+    def decided(self, loads: Mapping[str, Load], how: str = AUTO) -> Decided:
+        """The same by what is known of the loads of all five entities, and the heavy keys.
+
+        Sizes and frequent keys were counted when the day was loaded, so nothing is counted here,
+        but for two cases: customers that may or may not fit once they are joined to their lookups
+        are measured, and where a lookup repeats keys, the heavy keys of the joined customers are
+        left to be counted.
+        """
+        limit, partitions = broadcast_limit(self.clientes), shuffle_partitions(self.clientes)
+        customers, most = loads["clientes"], {key: loads[LOOKUPS[key]].most(key) for key in self.tables}
+        ways, heavy = {}, {}
+        for key in self.tables:
+            size = loads[LOOKUPS[key]].text_bytes()
+            ways[key] = how if how != AUTO else BROADCAST if size <= limit else SALTED
+        repeats = math.prod(max(1, n) for n in most.values())
+        added = sum(sum(loads[LOOKUPS[k]].widest.values()) + 8 * len(loads[LOOKUPS[k]].widest) for k in self.tables)
+        largest = repeats * (customers.text_bytes() + customers.rows * (added + CLEANING_ADDS))
+        if how != AUTO:
+            ways["customerkey"] = how
+        elif largest <= limit:
+            ways["customerkey"] = BROADCAST
+        elif customers.text_bytes() > limit:
+            ways["customerkey"] = SALTED
+        else:
+            ways["customerkey"] = way_to_join(self.rows(ways), how, CLEANING_ADDS)
+        for key in self.tables:
+            sides = heavy_by_load(customers, key, partitions), heavy_by_load(loads[LOOKUPS[key]], key, partitions)
+            if None not in sides:
+                heavy[key] = sides
+            if most[key] > 1:
+                break  # from here on customers are there once for each match
+        whole = heavy_by_load(customers, "customerkey", partitions) if repeats == 1 else None
+        heavy["customerkey"] = heavy_by_load(loads["vendas"], "customerkey", partitions), whole
+        return Decided(ways, heavy)
+
     def rows(self, how: Ways = AUTO) -> DataFrame:
         """Every customer with the columns of its lookups."""
         found = self.clientes
         for key, table in self.tables.items():
             right = table.drop(SNAPSHOT)
             if way_to_join(right, how if isinstance(how, str) else how[key]) == SALTED:
-                found = salted_left_join(found, right, key, *self.heavy(key), SPREAD_BY)
+                left, heavy = known_heavy(how, key)
+                sides = self.heavy(key) if left is None or heavy is None else (left, heavy)
+                found = salted_left_join(found, right, key, *sides, SPREAD_BY)
             else:
                 found = found.join(F.broadcast(right), key, "left")
         return found
@@ -177,13 +242,15 @@ def join_customer(
     right = customers.drop(SNAPSHOT)
     if lookups.ways(how)["customerkey"] != SALTED:
         return vendas.join(F.broadcast(right), "customerkey", "left")
-    heavy: Heavy = []
-    if not unique_sales:
+    heavy, heavy_customers = known_heavy(how, "customerkey")
+    if unique_sales:
+        heavy = []
+    elif heavy is None:
         counts = key_counts(vendas, "customerkey")
         heavy = heavy_keys(counts, "customerkey", shuffle_partitions(vendas))
-    return salted_left_join(
-        vendas, right, "customerkey", heavy, lookups.heavy("customerkey")[1], SPREAD_BY
-    )
+    if heavy_customers is None:
+        heavy_customers = lookups.heavy("customerkey")[1]
+    return salted_left_join(vendas, right, "customerkey", heavy, heavy_customers, SPREAD_BY)
 
 
 def join_address(clientes: DataFrame, endereco: DataFrame, how: Ways = AUTO) -> DataFrame:
@@ -233,6 +300,27 @@ def stage_join_narrow(
     return join_customer(sales_columns(vendas), lookups.rows(ways), lookups, ways).select(*NARROW)
 
 
+def distinct_columns(df: DataFrame, *names: str) -> DataFrame:
+    """The distinct values of each of the columns, from one scan: rows with `_column`, the name of
+    the column that a value belongs to, and the value in that column. `of_column` takes them apart.
+
+    Repeats are removed within each task before anything is shuffled.
+    """
+    sets = df.groupingSets([[F.col(n)] for n in names], *[F.col(n) for n in names])
+    # A set's number has a 0 in the place of its column, the last column's place being the lowest.
+    every = 2 ** len(names) - 1
+    numbers = {every - 2**i: name for i, name in enumerate(reversed(names))}
+    which = reduce(
+        lambda case, item: case.when(F.col("_set") == item[0], item[1]), numbers.items(), F.when(F.lit(False), "")
+    )
+    return sets.agg(F.grouping_id().alias("_set")).select(which.alias("_column"), *names)
+
+
+def of_column(values: DataFrame, name: str) -> DataFrame:
+    """One column's values of `distinct_columns`."""
+    return values.where(F.col("_column") == name).select(name)
+
+
 def sold_keys(vendas: DataFrame) -> DataFrame:
     """Each customer key found in the sales, once.
 

@@ -126,11 +126,15 @@ def salted_left_join(
     holds its match; such a key is known to be on the right, so its unmatched rows are dropped.
     Each side is scanned once and shuffled once.
 
+    A NULL key never matches, so right rows without a key are left out.
+
     A salt is a hash of the key, the columns `spread_by` that the side has, and the partition
     a row is read in, not a random number, so a task run again after an executor is lost puts
     every row where it was before. Rows that are copies are spread too, by partition.
     """
     salts = []
+    heavy_right = [(value, n) for value, n in heavy_right if value is not None]
+    right = right.where(F.col(key).isNotNull())
     if heavy_left:
         left = _dealt(_with_salts(left, heavy_left, key), key, "_left_salt", spread_by)
         right = _repeated(_with_salts(right, heavy_left, key), "_left_salt").drop("_salts")

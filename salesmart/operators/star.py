@@ -44,9 +44,10 @@ WIDE_CUSTOMER = [
 ]
 
 
-def dim_tempo(vendas: DataFrame, sep: str = "") -> DataFrame:
-    """Each invoice date with its parts; text that is no date counts as NULL."""
-    texts = vendas.select("invoice_date").distinct()
+def dim_tempo(vendas: DataFrame, sep: str = "", texts: DataFrame | None = None) -> DataFrame:
+    """Each invoice date with its parts; text that is no date counts as NULL. `texts` has the
+    distinct texts, where they are known."""
+    texts = vendas.select("invoice_date").distinct() if texts is None else texts
     dates = texts.select(parse_date_br(F.col("invoice_date")).alias("invoice_date")).distinct()
     parts = calendar_columns(F.col("invoice_date"))
     return dates.select(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import SparkSession
 
@@ -14,7 +14,9 @@ from salesmart.sources.raw import check_columns, file_headers, headers_differ, s
 from salesmart.sources.snapshots import write_snapshot
 
 
-def load_entity(spark: SparkSession, entity: str, raw_path: str, stage_path: str, run_date: dt.date) -> Load:
+def load_entity(
+    spark: SparkSession, entity: str, raw_path: str | Sequence[str], stage_path: str, run_date: dt.date
+) -> Load:
     """Load one entity's raw files as the snapshot of the day before the run.
 
     A file's header says where its columns are. All declared columns must be there; others are
@@ -28,7 +30,7 @@ def load_entity(spark: SparkSession, entity: str, raw_path: str, stage_path: str
     keys = JOIN_KEYS[entity]
     found = schema_from_header(spark, raw_path)
     try:
-        check_columns(found, declared, raw_path)
+        check_columns(found, declared, str(raw_path))
         return write_snapshot(scan_raw(spark, raw_path, found).select(*declared), stage_path, run_date, keys)
     except Exception as error:  # a failed job's error has no narrower class that all sessions share
         if not isinstance(error, ValueError) and not headers_differ(error):

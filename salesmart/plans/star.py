@@ -2,39 +2,65 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.operators import star
-from salesmart.operators.joins import Ways, all_lookups, sold_keys
+from salesmart.operators.joins import Ways, all_lookups, distinct_columns, of_column
 from salesmart.operators.skew import AUTO
 from salesmart.schemas import ENTITIES
 from salesmart.session import prepare
 from salesmart.sources.gold import write_gold
-from salesmart.sources.snapshots import LATEST, latest_common_day, scan_staged
+from salesmart.sources.published import Load, newest, published
+from salesmart.sources.snapshots import ALL, LATEST, common_day, scan_loads, scan_staged
 
 Tables = dict[str, DataFrame]
 
 
+class Entities(Tables):
+    """The five entities of a day, and what is known of their loads."""
+
+    def __init__(self, tables: Tables, loads: Mapping[str, Load]):
+        super().__init__(tables)
+        self.loads = dict(loads)
+
+
 def scan_entities(spark: SparkSession, stage_dir: str, dt_foto: str = LATEST) -> Tables:
     """All five entities of one snapshot day; by default the newest that all of them have."""
     paths = {entity: f"{stage_dir}/{entity}" for entity in ENTITIES}
-    if dt_foto == LATEST:
-        dt_foto = latest_common_day(spark, paths)
-    return {
-        entity: scan_staged(spark, paths[entity], schema, dt_foto)
+    if dt_foto == ALL:
+        return {entity: scan_staged(spark, paths[entity], schema, ALL) for entity, schema in ENTITIES.items()}
+    days = {entity: newest(published(spark, path)) for entity, path in paths.items()}
+    day = common_day(days) if dt_foto == LATEST else dt_foto
+    missing = [entity for entity in ENTITIES if day not in days[entity]]
+    if missing:
+        raise FileNotFoundError(f"{day} is not loaded for {', '.join(missing)}")
+    loads = {entity: days[entity][day] for entity in ENTITIES}
+    tables = {
+        entity: scan_loads(spark, paths[entity], schema, [loads[entity]])
         for entity, schema in ENTITIES.items()
     }
+    return Entities(tables, loads)
 
 
 def ways_to_join(tables: Tables, how: Ways = AUTO) -> Ways:
-    """How to join, decided once for all tables of a run: what fits with all columns fits with few."""
-    return all_lookups(*[tables[e] for e in ("clientes", "endereco", "divisao", "regiao")]).ways(how)
+    """How to join, decided once for all tables of a run: what fits with all columns fits with few.
+
+    For the entities of a scanned day the loads say what there is to know.
+    """
+    lookups = all_lookups(*[tables[e] for e in ("clientes", "endereco", "divisao", "regiao")])
+    if isinstance(tables, Entities) and isinstance(how, str):
+        return lookups.decided(tables.loads, how)
+    return lookups.ways(how)
 
 
 def narrow_star(
-    tables: Tables, sep: str = "", how: Ways = AUTO, sold: DataFrame | None = None
+    tables: Tables,
+    sep: str = "",
+    how: Ways = AUTO,
+    sold: DataFrame | None = None,
+    dates: DataFrame | None = None,
 ) -> Tables:
     """Time, customer and place dimensions and the sales fact.
 
@@ -46,7 +72,7 @@ def narrow_star(
     ways = ways_to_join(tables, how)
     shared = {"how": ways, "sold": sold}
     return {
-        "dim_tempo": star.dim_tempo(sales, sep),
+        "dim_tempo": star.dim_tempo(sales, sep, dates),
         "dim_clientes": star.dim_clientes(sales, customers, sep, **shared),
         "dim_localidade": star.dim_localidade(sales, customers, tables["endereco"], sep, **shared),
         "ft_vendas": star.ft_vendas(sales, sep),
@@ -88,17 +114,19 @@ def star_job(
 ) -> list[str]:
     """Write the star of one snapshot day; the names of the tables written.
 
-    The sold customer keys are worked out once and shared by the dimensions, and the ways to
-    join are decided once.
+    The sold customer keys and the invoice dates are worked out once, from one scan of the sales,
+    and shared by the dimensions; the ways to join are decided once. The fact, which needs other
+    columns of every sale, scans those.
     """
     tables = scan_entities(prepare(spark), stage_dir, dt_foto)
     ways = ways_to_join(tables, how)
-    sold = sold_keys(tables["vendas"]).persist()
+    values = distinct_columns(tables["vendas"], "customerkey", "invoice_date").persist()
+    sold, dates = of_column(values, "customerkey"), of_column(values, "invoice_date")
     try:
-        made = narrow_star(tables, sep, ways, sold) if narrow else {}
+        made = narrow_star(tables, sep, ways, sold, dates) if narrow else {}
         made |= wide_star(tables, sep, how=ways, sold=sold) if wide else {}
         made = {name: df for name, df in made.items() if wanted(name)}
         write_star(made, gold_dir)
     finally:
-        sold.unpersist()
+        values.unpersist()
     return list(made)

@@ -46,7 +46,7 @@ def _names(header: str) -> list[str]:
     return [normalise_name(name.strip()) for name in header.split(SEPARATOR)]
 
 
-def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+def file_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
     """Each header line found, with the files that have it, in order.
 
     A file's first line is the one read first of its first block. Files without a line have none.
@@ -116,7 +116,7 @@ def scan_raw(
 
 
 def scan_by_header(
-    spark: SparkSession, path: str, columns: Sequence[str], headers: Mapping[str, list[str]] | None = None
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], headers: Mapping[str, list[str]] | None = None
 ) -> DataFrame:
     """The columns given of raw files that may have them in different order.
 

@@ -178,7 +178,8 @@ def physical_plan(df):
 LAZY = [
     name
     for name in OWN
-    if not name.startswith(("scan_", "export_", "stage_load", "gold", "register", "schema", "raw_", "star_"))
+    if not name.startswith(("scan_", "export_", "stage_load", "gold", "register", "schema", "raw_", "star_", "load_"))
+    and not name.endswith(("_bucketed", "_from_snapshots"))
 ]
 
 

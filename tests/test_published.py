@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart.plans import export, load, star
-from salesmart.schemas import DIVISAO, ENTITIES, REGIAO
+from salesmart.schemas import ENTITIES, REGIAO
 from salesmart.sources import gold, published, snapshots
 from salesmart.sources.published import LoadError, expire
 from tests.test_plans import RAW, RUN, sales_file
@@ -119,10 +119,9 @@ def test_a_failed_export_keeps_the_gold_of_all_entities(spark, tmp_path, monkeyp
     export.export_entities(spark, stage, out, RUN, entities)
     before = {e: rows(gold.read_gold(spark, f"{out}/{e}", ENTITIES[e])) for e in ("divisao", "regiao")}
 
-    def broken(df, *args):
-        return df.select(*[F.raise_error(F.lit("no more")).cast(f.dataType).alias(f.name) for f in DIVISAO])
-
-    monkeypatch.setattr(export, "conform_entity", broken)
+    plain = export.scan_staged
+    broken = lambda *a: plain(*a).withColumn("division", F.raise_error(F.lit("no more")).cast("string"))
+    monkeypatch.setattr(export, "scan_staged", broken)
     with pytest.raises(Exception, match="no more"):
         export.export_entity(spark, "divisao", f"{stage}/divisao", f"{out}/divisao", RUN)
     assert {e: rows(gold.read_gold(spark, f"{out}/{e}", ENTITIES[e])) for e in before} == before

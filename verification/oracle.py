@@ -315,6 +315,23 @@ def _rejects(columns: list[str], parse) -> str:
     return _from("vendas", items({n: f"cast({c} as bigint)" for n, c in counts.items()}))
 
 
+PARSED = [name for name in VENDAS if name in DATES or name in NUMBERS]
+
+
+def _is_bad(name: str) -> str:
+    return f"({name} is not null and {date_br(name) if name in DATES else number_br(name)} is null)"
+
+
+BAD_COLUMNS = "concat_ws(',', " + ", ".join(f"case when {_is_bad(n)} then '{n}' end" for n in PARSED) + ")"
+
+
+def _reject_rows(day: str) -> str:
+    return with_entities(
+        "select * from judged where bad_columns <> ''",
+        judged=f"select {', '.join(VENDAS)}, {day} as dt_foto, {BAD_COLUMNS} as bad_columns from vendas",
+    )
+
+
 def _joined(columns: str, joins: str) -> str:
     sale = "tv.invoice_number, tv.line_number, tv.item_number, tv.customerkey"
     return with_entities(
@@ -343,12 +360,12 @@ FACT_WITH_KEYS = (
 )
 
 
-def _loaded(body: str, text: list[str], stage: dict[str, str]) -> str:
+def _loaded(body: str, text: list[str], stage: dict[str, str], skewed: bool = False) -> str:
     """A star table of the job from files: snapshots have one day, and CSV trims text."""
     trimmed = ", ".join(f"trim({c}) as {c}" for c in text)
-    replaced = f"select * replace ({trimmed}) from star"
+    replaced = f"select *{f' replace ({trimmed})' if text else ''} from star"
     day = {"vendas": "select * replace ('20240101' as dt_foto) from raw_vendas"}
-    entities = standin_sql()
+    entities = standin_sql(skewed)
     named = {"raw_vendas": entities.pop("vendas"), **day, **entities, **stage, "star": body}
     return "with " + ", ".join(f"{n} as ({sql})" for n, sql in named.items()) + " " + replaced
 
@@ -372,6 +389,7 @@ ORACLE_SQL: dict[str, str] = {
         f"select {_text_items('clientes')}, day as dt_foto from clientes "
         f"cross join (values ({LOADED}), ('20240102')) as days(day)"
     ),
+    "load_by_header": _from("clientes", f"{_text_items('clientes')}, {LOADED} as dt_foto"),
     "register_table": _from("endereco", f"{_text_items('endereco')}, {LOADED} as dt_foto"),
     "register_raw_table": _from("vendas", _text_items("vendas")),
     "scan_staged": _from("vendas", f"{_text_items('vendas')}, {LOADED} as dt_foto"),
@@ -380,6 +398,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "gold_sink_keep_blanks": _from("clientes", ", ".join([*CLIENTES, "dt_foto"])),
     **{f"export_{e}": _from(e, _gold_items(e)) for e in ENTITIES},
+    "export_reject_count": _from("vendas", items({n: f"cast(count_if({_is_bad(n)}) as bigint)" for n in PARSED})),
+    "export_rejects": _reject_rows(LOADED),
     "clean_string": _from("vendas", f"{SALE}, {clean_string('item')} as item"),
     "blank_to_zero": _from("vendas", f"{SALE}, {blank_to_zero('list_price')} as list_price"),
     "parse_number_br": _from("vendas", f"{SALE}, {number_br('list_price')} as list_price"),
@@ -393,6 +413,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "date_reject_count": _rejects(DATES, date_br),
     "number_reject_count": _rejects(NUMBERS, number_br),
+    "reject_rows": _reject_rows("dt_foto"),
     "fill_snapshot_date": _from(
         "vendas", f"{SALE}, coalesce(dt_foto, '2024-01-01') as dt_foto"
     ),
@@ -427,6 +448,12 @@ ORACLE_SQL: dict[str, str] = {
         "left join regiao tr on tr.region_code = tc.region_code",
     ),
     "stage_join": with_entities(RAW_STAGE),
+    "stage_join_sql": with_entities(RAW_STAGE),
+    "stage_view": with_entities(
+        "select division_name, region_name, count(*) as sales, count(distinct customerkey) as customers "
+        "from raw_stage group by division_name, region_name",
+        raw_stage=RAW_STAGE,
+    ),
     "stage_join_narrow": with_entities(RAW_NARROW),
     **{f"conform_{e}": _from(e, items(entity_items(e))) for e in ENTITIES},
     "conform_vendas_iso": _from("vendas", items(entity_items("vendas", iso=True))),
@@ -458,6 +485,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "ft_vendas_with_keys": with_entities(FACT_WITH_KEYS, **NARROW_STAGE),
     "stage_join_salted": with_entities(RAW_STAGE, skewed=True),
+    "stage_join_bucketed": with_entities(RAW_STAGE, skewed=True),
+    "keys_wide_from_snapshots": _loaded("select * from stage", [], WIDE, skewed=True),
     "keys_wide_salted": with_entities("select * from stage", skewed=True, **WIDE),
     "keys_narrow_salted": with_entities(KEYS_NARROW, skewed=True, **NARROW_STAGE),
     "dim_localidade_salted": with_entities(DIM_LOCALIDADE, skewed=True, **NARROW_STAGE),

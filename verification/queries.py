@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +15,10 @@ from salesmart import functions as fn
 from salesmart.functions.keys import concat_key
 from salesmart.operators import conform, joins, keys, stage, star
 from salesmart.operators.skew import SALTED
+from salesmart.plans import buckets, views
 from salesmart.plans.export import export_entity
 from salesmart.plans.load import load_entity
-from salesmart.plans.star import star_job
+from salesmart.plans.star import scan_entities, star_job, ways_to_join
 from salesmart.schemas import ENTITIES, STAGE, data_columns
 from salesmart.sources import catalog, gold, raw, snapshots
 from verification.scratch import scratch_dir
@@ -56,9 +59,9 @@ def write_raw(df: DataFrame, path: str, odd_lines: bool = False) -> None:
     )
 
 
-def _raw_files(spark: SparkSession, sf_dir: str, entity: str) -> str:
+def _raw_files(spark: SparkSession, sf_dir: str, entity: str, skewed: bool = False) -> str:
     path = f"{scratch_dir(spark)}/{entity}"
-    df = Standins(spark, sf_dir).entity(entity)
+    df = Standins(spark, sf_dir, skewed).entity(entity)
     write_raw(df.select(*data_columns(ENTITIES[entity])), path, odd_lines=entity == "vendas")
     return path
 
@@ -124,6 +127,21 @@ def stage_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.scan_staged(spark, path, ENTITIES["clientes"], snapshots.ALL)
 
 
+def load_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in files of which some have their columns in reverse order, and one more."""
+    names = data_columns(ENTITIES["clientes"])
+    rows = Standins(spark, sf_dir).clientes.select(*names)
+    odd = F.crc32(F.coalesce("customer", F.lit(""))) % 2 == 1
+    paths = [f"{scratch_dir(spark)}/{part}" for part in ("even", "odd")]
+    write_raw(rows.where(~odd), paths[0])
+    write_raw(_display_names(rows.where(odd).select(*names[::-1], F.lit("x").alias("more"))), paths[1])
+    staged = f"{scratch_dir(spark)}/clientes"
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        load_entity(spark, "clientes", paths, staged, RUN_DATE)
+    return snapshots.scan_staged(spark, staged, ENTITIES["clientes"])
+
+
 def register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark)
     table = catalog.register_table(
@@ -171,6 +189,23 @@ def _export(entity: str) -> Query:
     return query
 
 
+def export_reject_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the export itself has counted while it wrote the sales."""
+    path = f"{scratch_dir(spark)}/vendas"
+    done = export_entity(spark, "vendas", _staged(spark, sf_dir, "vendas"), path, RUN_DATE)
+    return spark.createDataFrame([tuple(done.rejects.values())], ", ".join(f"{n} long" for n in done.rejects))
+
+
+def export_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the export has put aside, read back."""
+    folder = scratch_dir(spark)
+    staged = _staged(spark, sf_dir, "vendas")
+    export_entity(spark, "vendas", staged, f"{folder}/vendas", RUN_DATE, rejects_path=f"{folder}/rejects")
+    names = [*ENTITIES["vendas"].names, conform.BAD_COLUMNS]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*snapshots.staged_schema(ENTITIES["vendas"]).names, conform.BAD_COLUMNS]])
+    return gold.read_gold(spark, f"{folder}/rejects", schema).select(*names)
+
+
 def _star_from_snapshots(name: str, wide: bool = False) -> Query:
     """One star table by the whole job: raw text, snapshots, star, gold, and back."""
 
@@ -229,6 +264,10 @@ def number_reject_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.number_reject_counts(Standins(spark, sf_dir).vendas, ENTITIES["vendas"])
 
 
+def reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform.reject_rows(Standins(spark, sf_dir).vendas, ENTITIES["vendas"])
+
+
 def calendar_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = Standins(spark, sf_dir).vendas
     dated = sales.select(*SALE, fn.parse_date_br(F.col("invoice_date")).alias("invoice_date"))
@@ -275,6 +314,38 @@ def stage_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.stage_join(**Standins(spark, sf_dir).all)
 
 
+def stage_join_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stage by SQL text over views of the entities."""
+    with views.session_views(spark, Standins(spark, sf_dir).all, prefix=f"v{uuid.uuid4().hex}_") as names:
+        return spark.sql(views.stage_sql(names))
+
+
+def stage_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question in SQL to the view of the stage."""
+    with views.session_views(spark, Standins(spark, sf_dir).all, prefix=f"v{uuid.uuid4().hex}_") as names:
+        return spark.sql(
+            f"select division_name, region_name, count(*) as sales, count(distinct customerkey) as customers "
+            f"from {names[views.STAGE_VIEW]} group by division_name, region_name"
+        )
+
+
+def stage_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stage of the skewed tables, sales and customers kept in buckets."""
+    tables, name = Standins(spark, sf_dir, skewed=True).all, f"b{uuid.uuid4().hex}"
+    kept = buckets.write_buckets(spark, tables, "salesmart_buckets", name, scratch_dir(spark), 16)
+    lookups = {entity: tables[entity] for entity in ("endereco", "divisao", "regiao")}
+    return buckets.stage_join_bucketed(spark, kept, lookups, SALTED)
+
+
+def keys_wide_from_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The skewed tables loaded as a day; how to join them is decided by what the loads tell."""
+    folder = scratch_dir(spark)
+    for entity in ENTITIES:
+        load_entity(spark, entity, _raw_files(spark, sf_dir, entity, skewed=True), f"{folder}/{entity}", RUN_DATE)
+    tables = scan_entities(spark, folder)
+    return stage.wide_stage(**tables, how=ways_to_join(tables, SALTED))
+
+
 def stage_join_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.stage_join_narrow(**Standins(spark, sf_dir).all)
 
@@ -383,12 +454,15 @@ QUERIES: dict[str, Query] = {
     "normalise_columns": normalise_columns,
     "snapshot_stamp": snapshot_stamp,
     "stage_load": stage_load,
+    "load_by_header": load_by_header,
     "register_table": register_table,
     "register_raw_table": register_raw_table,
     "scan_staged": scan_staged,
     "gold_sink": _gold(keep_blanks=False),
     "gold_sink_keep_blanks": _gold(keep_blanks=True),
     **{f"export_{entity}": _export(entity) for entity in ENTITIES},
+    "export_reject_count": export_reject_count,
+    "export_rejects": export_rejects,
     "clean_string": _sales_column("item", item=fn.clean_string),
     "blank_to_zero": _sales_column("list_price", list_price=fn.blank_to_zero),
     "parse_number_br": _sales_column("list_price", list_price=fn.parse_number_br),
@@ -399,6 +473,7 @@ QUERIES: dict[str, Query] = {
     ),
     "date_reject_count": date_reject_count,
     "number_reject_count": number_reject_count,
+    "reject_rows": reject_rows,
     "fill_snapshot_date": fill_snapshot_date,
     "whitespace_to_token": _sales_column("item", item=fn.whitespace_to_token),
     "null_to_token": _sales_column("item", item=fn.null_to_token),
@@ -410,6 +485,8 @@ QUERIES: dict[str, Query] = {
     "join_division": _lookup("division", "divisao"),
     "join_region": _lookup("region_code", "regiao"),
     "stage_join": stage_join,
+    "stage_join_sql": stage_join_sql,
+    "stage_view": stage_view,
     "stage_join_narrow": stage_join_narrow,
     **{f"conform_{entity}": _conform(entity) for entity in ENTITIES},
     "conform_vendas_iso": _conform("vendas", iso_dates=True),
@@ -429,6 +506,8 @@ QUERIES: dict[str, Query] = {
     "ft_vendas_with_keys": ft_vendas_with_keys,
     "preview": preview,
     "stage_join_salted": _salted(joins.stage_join),
+    "stage_join_bucketed": stage_join_bucketed,
+    "keys_wide_from_snapshots": keys_wide_from_snapshots,
     "keys_wide_salted": _salted(stage.wide_stage),
     "keys_narrow_salted": _salted(
         stage.narrow_stage, columns=["customerkey", "invoice_date", "sales_price", *NARROW_KEYS]
