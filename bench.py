@@ -1,6 +1,6 @@
 """Time the headline operators and print one JSON line.
 
-The stand-in entities are written once as ORC, outside the timing, so that the operators are
+The stand-in entities are loaded once as the snapshots of a day, outside the timing, so that the operators are
 timed and not the making of their input. Planning, with the counting and measuring jobs that it
 runs, and the run itself are timed apart; `queries` has their sum.
 
@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from salesmart.operators import joins, stage, star
 from salesmart.operators.conform import conform_entity
 from salesmart.operators.skew import SALTED
-from salesmart.schemas import ENTITIES
+from salesmart.plans.star import scan_entities, ways_to_join
+from salesmart.schemas import ENTITIES, JOIN_KEYS
 from salesmart.session import prepare
 from salesmart.sources.gold import write_gold
+from salesmart.sources.snapshots import write_snapshot
 from verification.standins import Standins
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -34,30 +36,30 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 Tables = dict[str, DataFrame]
 
 HEADLINE: dict[str, Callable[[Tables], DataFrame]] = {
-    "stage_join": lambda t: joins.stage_join(**t),
-    "conform_stage": lambda t: stage.conformed_stage(**t),
-    "keys_wide": lambda t: stage.wide_stage(**t),
-    "keys_narrow": lambda t: stage.narrow_stage(**t),
+    "stage_join": lambda t: joins.stage_join(**t, how=ways_to_join(t)),
+    "conform_stage": lambda t: stage.conformed_stage(**t, how=ways_to_join(t)),
+    "keys_wide": lambda t: stage.wide_stage(**t, how=ways_to_join(t)),
+    "keys_narrow": lambda t: stage.narrow_stage(**t, how=ways_to_join(t)),
     "dim_tempo": lambda t: star.dim_tempo(t["vendas"]),
-    "dim_clientes": lambda t: star.dim_clientes(t["vendas"], t["clientes"]),
-    "dim_localidade": lambda t: star.dim_localidade(t["vendas"], t["clientes"], t["endereco"]),
-    "dim_cliente_division": lambda t: star.dim_cliente_division(t["vendas"], t["clientes"], t["divisao"]),
-    "dim_clientes_wide": lambda t: star.dim_clientes_wide(**t),
+    "dim_clientes": lambda t: star.dim_clientes(t["vendas"], t["clientes"], how=ways_to_join(t)),
+    "dim_localidade": lambda t: star.dim_localidade(t["vendas"], t["clientes"], t["endereco"], how=ways_to_join(t)),
+    "dim_cliente_division": lambda t: star.dim_cliente_division(
+        t["vendas"], t["clientes"], t["divisao"], how=ways_to_join(t)
+    ),
+    "dim_clientes_wide": lambda t: star.dim_clientes_wide(**t, how=ways_to_join(t)),
     "dim_row_count": lambda t: star.dim_row_count(**t),
     "ft_vendas": lambda t: star.ft_vendas(t["vendas"]),
     "export_vendas": lambda t: conform_entity(t["vendas"], ENTITIES["vendas"], dt.date(2024, 1, 2)),
-    "keys_wide_salted": lambda t: stage.wide_stage(**t, how=SALTED),
+    "keys_wide_salted": lambda t: stage.wide_stage(**t, how=ways_to_join(t, SALTED)),
 }
 
 
 def written(spark: SparkSession, folder: str) -> Tables:
-    """The stand-in entities as ORC, the sales in as many files as there are cores."""
-    made = {}
+    """The stand-in entities loaded as a day, the sales in as many files as there are cores."""
     for name, df in Standins(spark, SF_DIR).all.items():
         files = df.repartition(int(CPUS)) if name == "vendas" else df
-        files.write.orc(f"{folder}/{name}")
-        made[name] = spark.read.orc(f"{folder}/{name}")
-    return made
+        write_snapshot(files, f"{folder}/{name}", dt.date(2024, 1, 2), JOIN_KEYS[name])
+    return scan_entities(spark, folder)
 
 
 def timed(name: str, tables: Tables, folder: str) -> tuple[float, float]:

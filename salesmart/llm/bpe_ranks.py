@@ -21,10 +21,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from salesmart.llm.common import add_columns, text_column
+from salesmart.llm.common import add_columns, shipped, text_column
 
 SHORT_WORD = 64
-CACHE_WORDS = 300_000
+CACHE_BYTES = 96 << 20
+WORD_BYTES = 400  # of an entry beside its texts
 NO_RANK = np.int32(2**31 - 1)
 # White space as Unicode has it, which the pre-tokenizer's \s stands for.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -169,11 +170,13 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes texts with a Vocabulary and remembers the words it has met, CACHE_WORDS at most."""
+    """Encodes texts with a Vocabulary and remembers the words it has met, CACHE_BYTES of them and
+    those of the texts at hand."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.words: dict[str, tuple[int, str, str]] = {}
+        self.bytes = 0
         pattern = vocabulary.pattern.replace("\\s", SPACE)
         self.pretoken = regex.compile(pattern)
         marks = sorted(vocabulary.special, key=len, reverse=True)
@@ -193,12 +196,15 @@ class Encoder:
         return self.pretoken.findall(text.lower())
 
     def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > CACHE_WORDS:
+        if self.bytes > CACHE_BYTES:
             self.words.clear()
+            self.bytes = 0
         new = [w for w in words if w not in self.words and w not in self.marked]
         tokens = self.vocabulary.tokens
         for word, ids in zip(new, self.vocabulary.encode_words(new), strict=True):
-            self.words[word] = (len(ids), " ".join(map(str, ids)), " ".join(map(tokens.__getitem__, ids)))
+            written, decoded = " ".join(map(str, ids)), " ".join(map(tokens.__getitem__, ids))
+            self.words[word] = (len(ids), written, decoded)
+            self.bytes += WORD_BYTES + 2 * len(word) + len(written) + 2 * len(decoded)
         self.words.update(self.marked)
 
     def encode(self, texts: list[str]) -> list[list[tuple[int, str, str]]]:
@@ -212,12 +218,12 @@ class Encoder:
 def encode_documents(docs: DataFrame, path: str, *, text: str = "text", with_ids: bool = False, without: list[str] | None = None) -> DataFrame:
     """docs with n_tokens, ids_sha256 (of the decimal ids joined by a space), decoded_sha256
     (of the decoded text) and, if asked for, token_ids. `path` is read by the driver alone."""
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    load = shipped(docs.sparkSession, Vocabulary(path))
     own: list[Encoder] = []
 
     def make(values: list) -> dict[str, list]:
         if not own:
-            own.append(Encoder(shared.value))
+            own.append(Encoder(load()))
         rows = own[0].encode([v or "" for v in values])
         ids = [" ".join([w[1] for w in row]) for row in rows]
         made = {

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.llm.common import add_columns, chunks, text_column
+from salesmart.llm.common import add_columns, chunks, shipped, text_column
 
 TRAIN_DOCS = 4000
 TRAIN_CHARS = 600
@@ -184,13 +184,13 @@ def fit(docs: DataFrame) -> Model | None:
 
 def identified(docs: DataFrame, model: Model | None, *, text: str = "text", without: list[str] | None = None) -> DataFrame:
     """docs with lang_pred, score and rejected."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    load = shipped(docs.sparkSession, model)
     own: list[np.ndarray] = []
 
     def make(values: list) -> dict[str, list]:
         if not own:
             own.append(letter_codes())
-        model = shared.value
+        model = load()
         if model is None:
             n = len(values)
             return {"lang_pred": [UNKNOWN] * n, "score": [0.0] * n, "rejected": [True] * n}

@@ -6,8 +6,9 @@ words of the training documents are labelled first: a word is toxic where a feat
 more frequent among toxic documents than among clean ones. Forward and backward passes give the
 marginal of each word; a logistic model over their sum and maximum gives a document's score.
 
-Training takes at most TRAIN_DOCS documents of each label, chosen by a hash of their id; that
-bound keeps the driver's part the same at every size. Scoring covers every word of every text.
+Training takes at most TRAIN_DOCS documents of each label, chosen by a hash of their id, and of
+their chains TRAIN_LINES at most, half of them with a toxic word as far as there are so many; the
+bounds keep the driver's part the same at every size. Scoring covers every word of every text.
 
 Defined cases: a null or empty text has no marginals and gets the model's score for none; rows
 without an id are never trained on; a repeated id is trained on once, toxic if any label says so;
@@ -26,12 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.llm.common import add_columns, chunks, text_column
+from salesmart.llm.common import add_columns, chunks, shipped, text_column
 
 TRAIN_DOCS = 2000
 TRAIN_LINES = 4000
 CHAIN_WORDS = 48
-CACHE_WORDS = 400_000
+CACHE_BYTES = 64 << 20
+WORD_BYTES = 150  # of an entry beside the word's characters
 THRESHOLD = 0.7
 STEPS = 150
 EDGE = "#*$%&|<>!?.,;:()[]{}\"'`~@/\\+=^_-0123456789«»„“”‘’…–—"
@@ -110,17 +112,20 @@ def lines_of(texts: list) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 class Tagger:
-    """Marginals of texts under a model; remembers emissions of CACHE_WORDS words at most."""
+    """Marginals of texts under a model; remembers the emissions of words of CACHE_BYTES together,
+    and of those of the texts at hand."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.model, self.known, self.bytes = model, {}, 0
 
     def emissions(self, words: list[str]) -> np.ndarray:
         known, emission = self.known, self.model.emission
-        if len(known) > CACHE_WORDS:
+        if self.bytes > CACHE_BYTES:
             known.clear()
+            self.bytes = 0
         for word in set(words).difference(known):
             known[word] = emission(word)
+            self.bytes += WORD_BYTES + 4 * len(word)
         return np.fromiter(map(known.__getitem__, words), np.float64, len(words))
 
     def marginals(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -290,17 +295,18 @@ def clean(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFr
 
 
 def _scorer(docs: DataFrame, model: Model | None) -> Callable[[list], dict[str, list]]:
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    load = shipped(docs.sparkSession, model)
     own: list[Tagger] = []
 
     def make(values: list) -> dict[str, list]:
-        if shared.value is None:
+        model = load()
+        if model is None:
             n = len(values)
             return {"score": [0.0] * n, "predicted": [0] * n, "n_toxic_words": [0] * n, "toxic_spans": [""] * n}
         if not own:
-            own.append(Tagger(shared.value))
+            own.append(Tagger(model))
         rows, p, per_doc = own[0].summary(values)
-        score = 1 / (1 + np.exp(-np.clip(rows @ shared.value.document, -30, 30)))
+        score = 1 / (1 + np.exp(-np.clip(rows @ model.document, -30, 30)))
         ends = np.cumsum(per_doc)
         marked: list[list[tuple[int, int]]] = [[]] * len(values)
         hot = np.zeros(len(values), np.int64)
