@@ -3,12 +3,17 @@
 A line is parsed down the tree by its number of words, then by its LEADING first words; below
 that leaf its other words form the template. Words with a digit are variable fields everywhere.
 In lines of LONG_LINE words or more any one quarter of the other words may vary as well: such a
-line has PARTS templates, each with one quarter left open, and belongs to each of them.
+line belongs to PARTS open templates, each with one quarter left open, and to a closed one.
 
 A template recurs if it is in lines of MIN_DOCS documents, or SHORT_MIN_DOCS for lines of fewer
 than SHORT_LINE words, which also clean texts share by chance; a line of one word never counts.
-All lines of a recurring template are dropped but for those of its document with the smallest id,
-so that no passage is lost altogether.
+All lines of a recurring template are dropped but for those of its document with the smallest id.
+
+A line that differs from one in one quarter may differ from another in a second one, and lines two
+steps apart are no copies. So an open template drops lines only where a line that surely stays
+stands for it: one in its first document that no open template finds in an earlier document. Then
+no passage is lost altogether: a dropped line has a copy, or a line with one other quarter, that
+stays.
 
 Templates are compared by 64-bit hashes. Everything is SQL functions.
 
@@ -35,12 +40,15 @@ SPACES = r"[\x20\x09-\x0D]+"
 FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 UNEVEN = r"[\x09-\x0D]|\x20\x20"
 OPEN = "<*>"
+# The lowest bits of a template: it is of a short line, or it has an open quarter.
+SHORT_BIT, OPEN_BIT = 1, 2
 
 
 def templates(lines: Column) -> Column:
-    """For each line of an array the hashes of the templates it belongs to, none for one word.
+    """For each line of an array the hashes of the templates it belongs to, the closed one last;
+    none for one word.
 
-    The lowest bit tells the template of a short line. Each step is an array of its own, as a
+    The lowest bits tell their kind. Each step is an array of its own, as a
     value used twice inside one step would be worked out twice.
     """
     nodes = F.transform(F.transform(F.transform(lines, _masked), _words), _node)
@@ -73,12 +81,13 @@ def _node(tokens: Column) -> Column:
 def _line_templates(node: Column) -> Column:
     n, leaf, parts = node["n"], node["leaf"], node["parts"]
     opened = [F.xxhash64(leaf, F.lit(i), *[parts[j] for j in range(PARTS) if j != i]) for i in range(PARTS)]
-    whole = F.xxhash64(leaf, parts[0]).bitwiseAND(-2)
+    whole = F.xxhash64(leaf, parts[0]).bitwiseAND(-4)
+    closed = F.xxhash64(leaf, *[parts[j] for j in range(PARTS)]).bitwiseAND(-4)
     none = F.array().cast("array<bigint>")
     return (
-        F.when(n >= LONG_LINE, F.array(*[h.bitwiseAND(-2) for h in opened]))
+        F.when(n >= LONG_LINE, F.array(*[h.bitwiseAND(-4).bitwiseOR(OPEN_BIT) for h in opened], closed))
         .when(n >= SHORT_LINE, F.array(whole))
-        .when(n >= 2, F.array(whole.bitwiseOR(1)))
+        .when(n >= 2, F.array(whole.bitwiseOR(SHORT_BIT)))
         .otherwise(none)
     )
 
@@ -86,17 +95,37 @@ def _line_templates(node: Column) -> Column:
 def recurring(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, drop): for each document that loses lines, the templates they belong to."""
     lines = F.split(F.col(text).cast("string"), "\n")
-    own = docs.where("doc_id is not null").select("doc_id", F.array_distinct(F.flatten(templates(lines))).alias("t"))
+    named = lambda of: F.transform(of, lambda t: F.struct(t.alias("t"), F.element_at(of, -1).alias("line")))
+    own = F.array_distinct(F.flatten(F.transform(templates(lines), named)))
     # A plain explode would filter by the array's size first, and so have it worked out twice.
-    exploded = own.select("doc_id", F.explode_outer("t").alias("t")).where("t is not null")
-    seen = stored(exploded, "lines")
-    counted = seen.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    need = F.when(F.col("t").bitwiseAND(1) == 1, SHORT_MIN_DOCS).otherwise(MIN_DOCS)
-    known = stored(counted.where((F.col("n") >= need) & (F.col("first") != F.col("last"))).select("t", "n", "first"), "templates")
-    hits = skewed_join(seen, known, "t", "n").where("doc_id != first")
+    exploded = docs.where("doc_id is not null").select("doc_id", F.explode_outer(own).alias("x"))
+    seen = stored(exploded.where("x is not null").select("doc_id", "x.t", "x.line"), "lines")
+    met = stored(skewed_join(seen, stored(_known(seen), "templates"), "t", "n"), "met")
+
+    is_open, later = F.col("t").bitwiseAND(OPEN_BIT) != 0, F.col("doc_id") != F.col("first")
+    unsure = met.where(is_open & later).select("doc_id", "line").distinct()
+    stand_for = met.where(is_open & ~later).join(unsure, ["doc_id", "line"], "left_anti")
+    sure = stored(stand_for.groupBy("t").agg(F.first("n").alias("n")), "sure")
+    found = skewed_join(met.where(is_open & later).select("doc_id", "t"), sure, "t", "n").select("doc_id", "t")
+    hits = found.union(met.where(~is_open & later).select("doc_id", "t"))
     return hits.groupBy("doc_id").agg(F.collect_set("t").alias("drop"))
 
 
+def _known(seen: DataFrame) -> DataFrame:
+    """(t, n, first) of the templates that recur: rows and first document of each.
+
+    Rows that repeat an id are one document. Where two documents are enough, the first and the
+    last tell; only for short lines are they counted.
+    """
+    is_short = F.col("t").bitwiseAND(SHORT_BIT) == 1
+    counted = seen.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    twice = counted.where(F.col("first") != F.col("last"))
+    documents = seen.where(is_short).select("t", "doc_id").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("documents"))
+    often = documents.where(F.col("documents") >= SHORT_MIN_DOCS).select("t")
+    short = twice.where(is_short & (F.col("n") >= SHORT_MIN_DOCS)).join(often, "t", "left_semi")
+    return twice.where(~is_short).union(short).select("t", "n", "first")
+
+
 def deduplicated(docs: DataFrame, text: str = "text", *, with_counts: bool = True) -> DataFrame:
     """docs with `text` without the lines of recurring templates; with_counts with n_lines and
     n_dropped too."""

@@ -144,7 +144,7 @@ _FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 # Parts of a long line's other words: four slices of the words after the first three.
 _PARTS = [f"array_to_string(w[4 + (n - 3) * {i} // 4 : 3 + (n - 3) * {i + 1} // 4], ' ')" for i in range(4)]
 _OPENED = ", ".join(
-    "concat_ws(chr(10), n, array_to_string(w[1:3], ' '), {}, {})".format(i, ", ".join(p for j, p in enumerate(_PARTS) if j != i))
+    "concat_ws(chr(10), '', n, array_to_string(w[1:3], ' '), {}, {})".format(i, ", ".join(p for j, p in enumerate(_PARTS) if j != i))
     for i in range(4)
 )
 _LINES = f"""
@@ -156,13 +156,19 @@ _LINES = f"""
             select *, list_filter(regexp_split_to_array(regexp_replace(line, '{_FIELD}', '<*>', 'g'), '{_SPACE}'), lambda x: x != '') as w
             from lines)),
     nodes as (
-        select doc_id, pos, unnest(case when n >= 20 then [{_OPENED}] when n >= 2 then [array_to_string(w, ' ')] else [] end) as t,
-            case when n >= 5 then 2 else 50 end as need
-        from parsed where doc_id is not null),
+        select doc_id, pos, line, t, starts_with(t, chr(10)) as open, need from (
+            select doc_id, pos, array_to_string(w, ' ') as line,
+                unnest(case when n >= 20 then [{_OPENED}, array_to_string(w, ' ')] when n >= 2 then [array_to_string(w, ' ')] else [] end) as t,
+                case when n >= 5 then 2 else 50 end as need
+            from parsed where doc_id is not null)),
     known as (
         select t, min(doc_id) as first from nodes
         group by t having count(distinct doc_id) >= max(need) and count(distinct doc_id) > 1),
-    dropped as (select distinct doc_id, pos from nodes join known using (t) where doc_id != first)
+    met as (select * from nodes join known using (t)),
+    unsure as (select distinct doc_id, line from met where open and doc_id != first),
+    sure as (select distinct t from met anti join unsure using (doc_id, line) where open and doc_id = first),
+    dropped as (
+        select distinct doc_id, pos from met where doc_id != first and (not open or t in (select t from sure)))
 """
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 # The score of the cut after the first k words, in 128 bits.
@@ -194,7 +200,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_poisson_mix": """
         with counts as (select source, count(*) as n from documents group by source),
              rates as (
-                select source, least(1.0::double * (select sum(n) from counts)::double / (select count(*) from counts)::double / n, 100.0::double) as rate
+                select source, 1.0::double * (select sum(n) from counts)::double / (select count(*) from counts)::double / n as rate
                 from counts),
              terms as (
                 select source, rate, k, exp(-rate) * pow(rate, k) / gamma(k + 1) as term

@@ -59,3 +59,23 @@ def test_odd_rows(spark):
     assert deduplicated(frame.where("false")).collect() == []
     long = docs(spark, ["\n".join(f"line {chr(97 + i % 26)} is number {i} of many" + "z" * (i % 50) for i in range(5000))] * 2)
     assert sorted(len(r.text) for r in deduplicated(long).collect())[0] == 0
+
+
+def test_no_passage_is_lost_through_chains(spark):
+    """Line 2 differs from line 1 in one quarter, line 3 from line 2 in another, copies of each."""
+    second = [*LONG[:4], "x", *LONG[5:]]
+    third = [*second[:20], "y", *second[21:]]
+    fourth = [*third[:10], "z", *third[11:]]
+    chain = [" ".join(words) for words in (LONG, second, third, fourth)]
+    assert left(spark, chain) == [chain[0], "", chain[2], chain[3]]
+    assert left(spark, [*chain[:3], chain[2], chain[1], chain[2]]) == [chain[0], "", chain[2], "", "", ""]
+    assert left(spark, [chain[0], chain[2], chain[1]]) == [chain[0], chain[2], ""]
+
+
+def test_rows_that_repeat_an_id_are_one_document(spark):
+    rows = docs(spark, ["unused", "The end.", "The end."])
+    many = rows.where("doc_id = 1").crossJoin(spark.range(49).select()).union(rows.where("doc_id = 2"))
+    assert {r.text for r in deduplicated(many).collect()} == {"The end."}
+    others = docs(spark, ["unused"] * 3 + ["The end."] * 48).where("doc_id > 2")
+    got = [r.text for r in deduplicated(many.union(others)).collect()]
+    assert got.count("The end.") == 49 and got.count("") == 49
