@@ -30,6 +30,24 @@ NO_RANK = np.int32(2**31 - 1)
 # White space as Unicode has it, which the pre-tokenizer's \s stands for.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
+# What newer versions of Unicode count as letters or numbers and the tokenizer's
+# patterns do not, as the inside of a character class.
+NEWER = (
+    r"\u0558\u058B-\u058C\u088F\u0C5C\u0CDC\u208F\u209D-\u209F\uA7CE-\uA7CF\uA7D2\uA7D4\uA7DD\uA7E2\uA7F1\uAB6C-\uAB6D"
+    r"\U000107BB-\U000107BF\U00010940-\U00010959\U00010EC5-\U00010EC7\U00010ED9-\U00010EEE\U00011B0A\U00011DB0-\U00011DDB"
+    r"\U00011DE0-\U00011DE9\U00011DF1\U0001246F\U00012475-\U0001247F\U00012550-\U00012686\U00016EA0-\U00016EB8"
+    r"\U00016EBB-\U00016ED3\U00016FF2-\U00016FF6\U000187F8-\U000187FF\U00018CD6-\U00018CDA\U00018D09-\U00018D20"
+    r"\U00018D80-\U00018DF2\U00018E00-\U00019191\U000191A0-\U000191D2\U0001B123-\U0001B128\U0001B168\U0001D6A6"
+    r"\U0001DF1F-\U0001DF24\U0001DF2B-\U0001DF81\U0001DF90-\U0001DF96\U0001DFCD-\U0001DFFF\U0001E6C0-\U0001E6DE"
+    r"\U0001E6E0-\U0001E6E2\U0001E6E4-\U0001E6E5\U0001E6E7-\U0001E6ED\U0001E6F0-\U0001E6F4\U0001E6FE-\U0001E6FF"
+    r"\U0002B73A-\U0002B73F\U0002B81E\U0002CEA2-\U0002CEAD\U000323B0-\U00033479\U0003D000-\U0003FC3F"
+)
+# Capitals that the tokenizer lowers and this Python's Unicode may not know.
+NEWER_CAPITALS = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
+    **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+}
+
 FIELDS = [
     T.StructField("n_tokens", T.LongType()),
     T.StructField("ids_sha256", T.StringType()),
@@ -169,6 +187,15 @@ class Vocabulary:
         return [i for i in ids if i >= 0]
 
 
+def _is_latin(text: str) -> bool:
+    """Whether a text is within the first 256 letters, told by one quick pass."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Encoder:
     """Encodes texts with a Vocabulary and remembers the words it has met, CACHE_BYTES of them and
     those of the texts at hand."""
@@ -179,6 +206,11 @@ class Encoder:
         self.bytes = 0
         pattern = vocabulary.pattern.replace("\\s", SPACE)
         self.pretoken = regex.compile(pattern)
+        # Most texts have none of the newer letters, and are split by the plain pattern.
+        self.newer = regex.compile(f"[{NEWER}{''.join(map(chr, NEWER_CAPITALS))}]")
+        for kind in ("\\p{L}", "\\p{N}"):
+            pattern = pattern.replace(kind, f"[{kind}--[{NEWER}]]")
+        self.careful = regex.compile(pattern, regex.V1)
         marks = sorted(vocabulary.special, key=len, reverse=True)
         self.mark = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
         self.marked = {t: (1, str(i), t) for t, i in vocabulary.special.items()}
@@ -190,10 +222,13 @@ class Encoder:
         return self.plain(text)
 
     def plain(self, text: str) -> list[str]:
-        if not text.isascii():
-            # Each letter is lower-cased alone, without the rule for a final sigma.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self.pretoken.findall(text.lower())
+        if text.isascii():
+            return self.pretoken.findall(text.lower())
+        # Each letter is lower-cased alone, without the rule for a final sigma.
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if _is_latin(text) or self.newer.search(text) is None:
+            return self.pretoken.findall(text)
+        return self.careful.findall(text.translate(NEWER_CAPITALS))
 
     def learn(self, words: set[str]) -> None:
         if self.bytes > CACHE_BYTES:

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import random
+import unicodedata
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from salesmart.llm import bpe_ranks
 from salesmart.llm.bpe_ranks import Encoder, Vocabulary, encode_documents
 from salesmart.llm.queries import tokenizer_path
 from tests.llm.helpers import docs
@@ -45,7 +47,7 @@ def test_pieces_of_text():
 
 
 def test_small_cache(monkeypatch):
-    monkeypatch.setattr("salesmart.llm.bpe_ranks.CACHE_WORDS", 3)
+    monkeypatch.setattr("salesmart.llm.bpe_ranks.CACHE_BYTES", 3)
     check([f"word{i} other{i} again" for i in range(30)])
 
 
@@ -55,3 +57,9 @@ def test_odd_rows(spark):
     assert [r.n_tokens for r in rows] == [0, 0, 2, 2] and [len(r.token_ids) for r in rows] == [0, 0, 2, 2]
     assert rows[0].text is None and rows[2].ids_sha256 == rows[3].ids_sha256
     assert encode_documents(frame.where("false"), tokenizer_path()).collect() == []
+
+
+def test_letters_newer_than_this_unicode():
+    """Every code point that this Python's Unicode has not assigned, alone and beside others."""
+    odd = [c for c in map(chr, range(0x80, 0x40000)) if not 0xD800 <= ord(c) < 0xE000 and unicodedata.category(c) == "Cn"]
+    check([f":{c} a{c}1" for c in odd if not bpe_ranks.regex.match(r"[^\p{L}\p{N}]", c)][::7] + [":\u0c5c", "a\u0558b", "\u1c89x"])
