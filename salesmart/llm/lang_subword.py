@@ -9,8 +9,8 @@ The scores are calibrated by a temperature fitted on documents held back from tr
 prediction is marked rejected where its score is below the level that keeps REJECT_ACCURACY.
 
 Training takes TRAIN_DOCS documents at most, chosen by a hash of their id with a fair share for
-each language, and TRAIN_CHARS characters from the middle of each; both bounds are the same at
-every size. Calibration and prediction read whole texts.
+each language, from texts of TRAIN_BYTES at most; both bounds are the same at every size. Training,
+calibration and prediction read whole texts.
 
 Defined cases: a null text and one without a letter are `und` with score 1; without any training
 row every text is `und` with score 0; rows without an id or a language are not trained on; a
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from salesmart.llm.common import add_columns, chunks, shipped, text_column
 
 TRAIN_DOCS = 4000
-TRAIN_CHARS = 600
+TRAIN_BYTES = 256 << 10
 BUCKETS = 1 << 15
 DIM = 16
 SUBWORDS = (2, 3, 4)
@@ -116,7 +116,6 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model | None:
     names = sorted(set(langs))
     number = {name: i for i, name in enumerate(names)}
     y = np.array([number[x] for x in langs])
-    parts = [t[max(0, (len(t) - TRAIN_CHARS) // 2) :][:TRAIN_CHARS] for t in texts]
     codes = letter_codes()
     rng = np.random.default_rng(seed)
     embedding = rng.normal(0, 0.1, (BUCKETS, DIM))
@@ -127,7 +126,7 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model | None:
         rng.shuffle(learn)
         for start in range(0, len(learn), 32):
             rows = learn[start : start + 32]
-            bucket, owner = subwords([parts[i] for i in rows], codes)
+            bucket, owner = subwords([texts[i] for i in rows], codes)
             if not len(bucket):
                 continue
             n = np.maximum(np.bincount(owner, minlength=len(rows)), 1)[:, None]
@@ -167,12 +166,13 @@ def sample(docs: DataFrame) -> DataFrame:
     A document's turn is a uniform number from its id times the documents of its language, so
     the first turns of all languages come at the same pace.
     """
-    known = docs.where("doc_id is not null and lang is not null").groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    short = docs.where(F.octet_length(F.col("text").cast("string")) <= TRAIN_BYTES)
+    known = short.where("doc_id is not null and lang is not null").groupBy("doc_id").agg(F.min("lang").alias("lang"))
     langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     uniform = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
     turns = known.join(F.broadcast(langs), "lang").withColumn("turn", uniform * F.col("n"))
     picked = turns.orderBy("turn", "doc_id").limit(TRAIN_DOCS).select("doc_id", "lang")
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.octet_length("text") <= TRAIN_BYTES)
     chosen = texts.join(F.broadcast(picked), "doc_id")  # TRAIN_DOCS rows at most
     return chosen.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("lang").alias("lang"))
 
