@@ -95,11 +95,10 @@ def _line_templates(node: Column) -> Column:
 def recurring(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, drop): for each document that loses lines, the templates they belong to."""
     lines = F.split(F.col(text).cast("string"), "\n")
-    named = lambda of: F.transform(of, lambda t: F.struct(t.alias("t"), F.element_at(of, -1).alias("line")))
-    own = F.array_distinct(F.flatten(F.transform(templates(lines), named)))
     # A plain explode would filter by the array's size first, and so have it worked out twice.
-    exploded = docs.where("doc_id is not null").select("doc_id", F.explode_outer(own).alias("x"))
-    seen = stored(exploded.where("x is not null").select("doc_id", "x.t", "x.line"), "lines")
+    by_line = docs.where("doc_id is not null").select("doc_id", F.explode_outer(templates(lines)).alias("of"))
+    exploded = by_line.select("doc_id", F.explode_outer("of").alias("t"), F.element_at("of", -1).alias("line"))
+    seen = stored(exploded.where("t is not null"), "lines")
     met = stored(skewed_join(seen, stored(_known(seen), "templates"), "t", "n"), "met")
 
     is_open, later = F.col("t").bitwiseAND(OPEN_BIT) != 0, F.col("doc_id") != F.col("first")
