@@ -1,4 +1,11 @@
-"""The corpus pipeline: five stages from raw documents to token ids."""
+"""The corpus pipeline: five stages from raw documents to token ids.
+
+Defined cases, in all stages: an empty table stays empty; null and empty texts are clean and have
+no tokens; rows without an id are kept by all stages but the mix, which treats their id as the text
+`null`; rows that repeat an id have one fate in near_dedup and in the mix; columns besides those of
+documents pass through all stages but the last. What a stage does with long texts and ties its
+operator's docstring says.
+"""
 
 from __future__ import annotations
 
