@@ -25,9 +25,10 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>")
 
 
-@pytest.mark.parametrize("block", [40, 8192])
-def test_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "first"), [(40, 64), (40, 1), (25, 3), (8192, 64)])
+def test_equals_brute_force(spark, monkeypatch, block, first):
     monkeypatch.setattr(topk_saat, "BLOCK_ROWS", block)
+    monkeypatch.setattr(topk_saat, "FIRST_BLOCKS", first)
     monkeypatch.setattr(topk_saat, "QUERY_ROWS", 10)
     rng = np.random.default_rng(1)
     centres = rng.normal(0, 0.3, (4, 12))
@@ -50,6 +51,32 @@ def test_few_and_no_rows(spark):
     assert top_k(frame(spark, rows), none).collect() == []
 
 
+def test_hot_ids_and_vectors(spark, monkeypatch):
+    """A third of the rows under one id, another third with one vector: results are whole and no
+    block holds more than its share."""
+    monkeypatch.setattr(topk_saat, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(topk_saat, "FIRST_BLOCKS", 2)
+    rng = np.random.default_rng(4)
+    vector = lambda: rng.integers(-300, 300, 6).astype(float).__truediv__(1024).tolist()
+    same = vector()
+    rows = [(7, vector()) for _ in range(300)] + [(i, same) for i in range(1000, 1300)]
+    rows += [(7, same)] * 20 + [(i, vector()) for i in range(2000, 2300)] + [(3000, [-x for x in same])] * 15
+    queries = [(7, same), (1001, same), (2000, rows[620][1]), (5, [-x for x in same])]
+    got = top_k(frame(spark, queries), frame(spark, rows), 10)
+    assert sorted(map(tuple, got.collect())) == brute(queries, rows, 10)
+    usable = frame(spark, rows).select("vec_id", topk_saat.quantised().alias("q"))
+    kept = topk_saat.merged(usable, 10).collect()
+    assert sum(r.q == [int(x * 1024) for x in same] for r in kept) == 10 + 10  # id 7 ten times, ten other ids
+    index, blocks = topk_saat.build_index(topk_saat.merged(usable, 10))
+    assert max(len(r.vec_ids) for r in index.where("dim = -1").collect()) < 2 * 50 and blocks == -(-len(kept) // 50)
+
+
+def test_waves_cover_all_blocks():
+    for blocks in (0, 1, 64, 65, 10_000):
+        found = topk_saat.waves(blocks)
+        assert [b for start, end in found for b in range(start, end)] == list(range(blocks)) and len(found) < 6
+
+
 def test_search_stops_on_proof_only():
     import pandas as pd
 
