@@ -142,3 +142,20 @@ def skewed_join(rows: DataFrame, table: DataFrame, key: str, weight: str) -> Dat
     light = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
     by_shuffle = light.join(table.where(F.col(weight) * HEAVY_KEYS < total), key)
     return rows.join(F.broadcast(heavy), key).unionByName(by_shuffle)
+
+
+def skewed_anti_join(rows: DataFrame, table: DataFrame, key: str, weight: str, gone: str) -> DataFrame:
+    """rows without those whose key `gone` holds for in `table`, without moving heavy keys' rows.
+
+    `table` has a row for each key of `rows`, with its number of rows as `weight`, and should be
+    stored. Rows without a key stay. As in skewed_join, HEAVY_KEYS keys at most are heavy, and
+    theirs alone are broadcast. rows are read three times.
+    """
+    table = table.where(F.col(key).isNotNull())
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    bar = F.col(weight) * HEAVY_KEYS >= total
+    heavy, light = table.where(bar), table.where(~bar & F.col(gone)).select(key)
+    known = rows.where(F.col(key).isNotNull())
+    kept = known.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key, "left_anti")
+    hot = known.join(F.broadcast(heavy.where(~F.col(gone)).select(key)), key, "left_semi")
+    return kept.unionByName(hot).unionByName(rows.where(F.col(key).isNull()))

@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import stored
-
-# A node's smallest neighbour is looked up by so many keys, so that a hub's edges lie in as many tasks.
-HUB_SALTS = 16
+from salesmart.llm.common import skewed_join, stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,7 +14,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Each round moves edges to smaller nodes without losing reachability, first from each node
     to its larger neighbours, then to its smaller ones; it ends when all edges form stars around
     the smallest nodes. Rounds grow with the logarithm of a component's size. Each is written
-    out, which cuts the lineage. Loops and repeated edges have no effect; null ends are dropped.
+    out, which cuts the lineage. A hub's edges stay where they are read, whatever their number. Loops and repeated edges have no effect; null ends are dropped.
     """
     ends = [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
     known = F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))
@@ -37,22 +34,16 @@ def _is_stars(edges: DataFrame) -> bool:
     return middle.limit(1).count() == 0
 
 
-def _salted(rows: DataFrame, least: DataFrame, key: str, other: str) -> DataFrame:
-    """rows with their key's value of `least`; a hub's rows are spread over HUB_SALTS keys."""
-    salts = F.explode(F.sequence(F.lit(0), F.lit(HUB_SALTS - 1))).alias("salt")
-    spread = rows.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(HUB_SALTS)).cast("int"))
-    return spread.join(least.select("*", salts), [key, "salt"]).drop("salt")
-
-
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    larger = _salted(both.where("v > u"), least, "u", "v")
+    both = edges.select("u", "v", F.lit(0).alias("up")).union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), F.lit(1)))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.sum("up").alias("n"))
+    larger = skewed_join(edges.select(F.col("v").alias("u"), F.col("u").alias("v")), stored(least.where("n > 0"), "least"), "u", "n")
     return larger.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    smaller = _salted(edges, least, "u", "v").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    edges = stored(edges, "large")
+    least = stored(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "least")
+    smaller = skewed_join(edges, least, "u", "n").select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = least.select("u", F.col("m").alias("v"))
     return smaller.union(own).where("u != v").distinct()

@@ -11,8 +11,9 @@ and sorted inside them. All draws depend on ids alone, so a rerun or a lost task
 Documents with such rates are dealt anew by CHUNK_COPIES of their copies, so that one of them does
 not make all its copies in one task.
 
-Counts are taken over all documents. There is a row of counts for each source; they are broadcast
-only where there are MAX_BROADCAST_SOURCES of them at most, else joined by shuffle.
+Counts are taken over all documents, once. There is a row of counts for each source; they are
+broadcast only where there are MAX_BROADCAST_SOURCES of them at most, else joined by shuffle, but
+for sources with a large part of all rows, whose documents do not move.
 
 Defined cases: a null source is a source of its own, named by null in `weights`; a source without
 a target weight has rate 0, so its documents go; a null id draws like the text `null`; rows that
@@ -27,6 +28,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.common import skewed_join, stored
+
 MAX_BROADCAST_SOURCES = 10_000
 # The inverse is summed to this many copies; what lies beyond has a probability below 1e-12 for
 # rates of one draw up to MAX_RATE, which a hash of 52 bits hardly tells from 0.
@@ -67,7 +70,7 @@ def inverse_in_parts(seed: int, rate: Column) -> Column:
 
 def rates(docs: DataFrame, weights: dict[str | None, float] | None, size: float) -> DataFrame:
     """(source, n, rate) for each source. Without weights all sources get the same share."""
-    counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(docs.groupBy("source").agg(F.count(F.lit(1)).alias("n")), "sources")
     if weights is None:
         weighted = counts.withColumn("weight", F.lit(1.0))
     else:
@@ -75,7 +78,8 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None, size: float)
             raise ValueError("weights must be finite and not negative")
         rows = [(name, float(w)) for name, w in weights.items()] or [(None, 0.0)]
         table = docs.sparkSession.createDataFrame(rows, "_name string, weight double")
-        weighted = counts.join(F.broadcast(table), counts.source.eqNullSafe(table._name), "left").drop("_name")
+        table = F.broadcast(table) if len(rows) <= MAX_BROADCAST_SOURCES else table
+        weighted = counts.join(table, counts.source.eqNullSafe(table._name), "left").drop("_name")
         weighted = weighted.withColumn("weight", F.coalesce("weight", F.lit(0.0)))
     totals = weighted.agg(F.sum("n").alias("rows"), F.sum("weight").alias("weights")).first()
     share = F.col("weight") * float(size * (totals["rows"] or 0)) / float(totals["weights"] or 1)
@@ -89,11 +93,15 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, *, si
     `size` is the expected number of rows of the result over that of docs.
     """
     table = rates(docs, weights, size)
-    sources = table.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
     seen = table.agg(F.count(F.lit(1)).alias("n"), F.max("rate").alias("most")).first()
+    # A null source is a key like any other.
+    key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("_source")
+    sources = table.select(key, F.col("n").alias("_n"), F.col("rate").alias("_rate"))
+    keyed = docs.select("*", key)
     if seen["n"] <= MAX_BROADCAST_SOURCES:
-        sources = F.broadcast(sources)
-    rated = docs.join(sources, docs.source.eqNullSafe(sources._source)).drop("_source")
+        rated = keyed.join(F.broadcast(sources), "_source").drop("_source", "_n")
+    else:
+        rated = skewed_join(keyed, stored(sources, "rates"), "_source", "_n").drop("_source", "_n")
     few = rated if (seen["most"] or 0) <= MAX_RATE else rated.where(F.col("_rate") <= MAX_RATE)
     drawn = few.withColumn("_copies", inverse_poisson(uniform(seed, "doc_id"), F.col("_rate")))
     # A filter on the number of copies, or that of a plain explode, would have it worked out again.

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from salesmart.llm import poisson_mix
+from salesmart.llm import common, poisson_mix
 from salesmart.llm.poisson_mix import inverse_poisson, mixed, uniform
 from tests.llm.helpers import docs
 
@@ -79,3 +79,12 @@ def test_rates_of_several_hundred(spark, monkeypatch, broadcast):
     numbers = Counter((r.doc_id, r.copy) for r in rows)
     assert set(numbers.values()) == {1} and all((i, k) in numbers for i, n in copies.items() for k in range(n))
     assert sorted(map(str, rows)) == sorted(map(str, mixed(frame, {"rare": 2.0, "b": 1.0, "c": 1.0}).collect()))
+
+
+def test_hot_source_among_many(spark, monkeypatch):
+    frame = spark.range(6000).selectExpr("id as doc_id", "'t' as text", "case when id % 3 = 0 then 'hot' when id % 3 = 1 then null else concat('s', id % 500) end as source")
+    expected = sorted(map(str, mixed(frame).collect()))
+    monkeypatch.setattr(poisson_mix, "MAX_BROADCAST_SOURCES", 10)
+    for heavy in (2, 2000):
+        monkeypatch.setattr(common, "HEAVY_KEYS", heavy)
+        assert sorted(map(str, mixed(frame).collect())) == expected

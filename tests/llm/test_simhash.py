@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 import xxhash
 
-from salesmart.llm import simhash
+from salesmart.llm import common, simhash
 from salesmart.llm.components import components
 from salesmart.llm.queries import QUERIES
 from salesmart.llm.simhash import fingerprint, links, near_duplicates, one_of_each, shingle_hashes
@@ -62,7 +62,43 @@ def test_crowded_cells_lose_no_link(spark, monkeypatch, cell_rows):
     assert {v: found.get(v, v) for v in values} == groups(values, close)
 
 
-def test_components_of_graphs(spark):
+@pytest.mark.parametrize("bands", [(4, 8, 16), (8, 16)])
+def test_a_crowd_is_linked_through_finer_cells(spark, monkeypatch, bands):
+    monkeypatch.setattr(simhash, "BANDS", bands)
+    monkeypatch.setattr(simhash, "through_centres", None)  # not called
+    rng = random.Random(8)
+    values = set()
+    for _ in range(200):  # all have their upper half in common
+        value = 0xDEADBEEF << 32 | rng.getrandbits(32)
+        values |= {value, value ^ 1 << rng.randrange(64), value ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64)}
+    values = sorted(map(signed, values))
+    found = dict(map(tuple, components(links(spark.createDataFrame([(v,) for v in values], "fp long"))).collect()))
+    assert {v: found.get(v, v) for v in values} == groups(values, close) and len(found) > 500
+
+
+def test_bands_grow_with_the_fingerprints():
+    starts = [simhash.first_bands(10**n) for n in range(15)]
+    assert starts == sorted(starts) and starts[0] == starts[7] == 0 and starts[9] == 1 and starts[14] == 2
+
+
+@pytest.mark.parametrize("heavy", [3, 2000])
+def test_hot_fingerprint_and_hot_id(spark, monkeypatch, heavy):
+    monkeypatch.setattr(common, "HEAVY_KEYS", heavy)
+    texts = ["same words in all of these"] * 100 + [f"text {i} of its own {i * 7} here" for i in range(100)]
+    frame = docs(spark, texts)
+    frame = frame.union(frame.where("doc_id = 50 or doc_id = 150").crossJoin(spark.range(60)).drop("id"))
+    frame = frame.union(frame.where("doc_id < 60").selectExpr("cast(null as long)", "text", "lang", "source", "n_chars"))
+    got = Counter(tuple(r) for r in near_duplicates(frame).select("doc_id", "component_id").collect())
+    assert got[(50, 0)] == 61 and got[(None, 0)] == 120 and got[(150, 150)] == 61
+    kept = Counter(r.doc_id for r in one_of_each(frame).collect())
+    gone = {d for d, c in got if d is not None and d != c}
+    assert kept == Counter(r.doc_id for r in frame.collect() if r.doc_id not in gone)
+    assert 50 in gone and kept[150] == 61 and kept[None] == 120
+
+
+@pytest.mark.parametrize("heavy", [3, 2000])
+def test_components_of_graphs(spark, monkeypatch, heavy):
+    monkeypatch.setattr(common, "HEAVY_KEYS", heavy)
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 80)]
     edges += [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(70)] + [(7, 7), (3, 4), (None, 1), (2, None)]
