@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.llm.common import add_columns, chunks, shipped, text_column
+from salesmart.llm.common import add_columns, chunks, shipped, skewed_join, stored, text_column
 
 TRAIN_DOCS = 4000
 TRAIN_BYTES = 256 << 10
+MAX_BROADCAST_LANGS = 10_000
 BUCKETS = 1 << 15
 DIM = 16
 SUBWORDS = (2, 3, 4)
@@ -164,13 +165,19 @@ def sample(docs: DataFrame) -> DataFrame:
     """(text, lang) of TRAIN_DOCS documents at most, with a fair share for each language.
 
     A document's turn is a uniform number from its id times the documents of its language, so
-    the first turns of all languages come at the same pace.
+    the first turns of all languages come at the same pace. Their counts are broadcast up to
+    MAX_BROADCAST_LANGS languages; beyond that documents are shuffled to them but for those of
+    frequent ones.
     """
     short = docs.where(F.octet_length(F.col("text").cast("string")) <= TRAIN_BYTES)
     known = short.where("doc_id is not null and lang is not null").groupBy("doc_id").agg(F.min("lang").alias("lang"))
-    langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    langs = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     uniform = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
-    turns = known.join(F.broadcast(langs), "lang").withColumn("turn", uniform * F.col("n"))
+    if langs.count() <= MAX_BROADCAST_LANGS:
+        counted = known.join(F.broadcast(langs), "lang")
+    else:
+        counted = skewed_join(stored(known, "known"), langs, "lang", "n")
+    turns = counted.withColumn("turn", uniform * F.col("n"))
     picked = turns.orderBy("turn", "doc_id").limit(TRAIN_DOCS).select("doc_id", "lang")
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.octet_length("text") <= TRAIN_BYTES)
     chosen = texts.join(F.broadcast(picked), "doc_id")  # TRAIN_DOCS rows at most

@@ -66,6 +66,15 @@ def test_all_languages_are_learned(spark):
     assert len({r.lang for r in lang_subword.sample(frame).collect()}) == 300
 
 
+def test_many_languages_are_not_broadcast(spark, monkeypatch):
+    rows = [(i, f"text {i}", "often" if i % 3 == 0 else f"l{i % 200}") for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(lang_subword, "TRAIN_DOCS", 250)
+    plain = sorted(map(tuple, lang_subword.sample(frame).collect()))
+    monkeypatch.setattr(lang_subword, "MAX_BROADCAST_LANGS", 5)
+    assert sorted(map(tuple, lang_subword.sample(frame).collect())) == plain and len(plain) == 250
+
+
 def test_calibration_reads_whole_texts(monkeypatch):
     seen = []
     monkeypatch.setattr(lang_subword, "_calibrated", lambda model, texts, y, codes: seen.extend(texts) or model)
