@@ -5,7 +5,9 @@ from __future__ import annotations
 import pickle
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Any
 
 import pyarrow as pa
@@ -17,6 +19,8 @@ from pyspark.sql import types as T
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 CHUNK_CHARS = 1_000_000
 
+_written: ContextVar[list[str] | None] = ContextVar("_written", default=None)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,9 +42,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if (written := _written.get()) is not None:
+        written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths that `stored` writes inside the block, in order."""
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield paths
+    finally:
+        _written.reset(token)
+
+
+def empty(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Replace stored tables that nothing will read again by tables without rows."""
+    for path in paths:
+        spark.range(0).write.mode("overwrite").parquet(path)
+
+
 def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """A function that gives `value` on an executor, to which it is broadcast.
 
