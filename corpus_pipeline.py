@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm import bpe_ranks, line_templates, poisson_mix, simhash, toxic_crf
-from salesmart.llm.common import stored, table
+from salesmart.llm.common import empty, noted, stored, table
 from salesmart.llm.queries import tokenizer_path, toxic_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -61,8 +61,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over `documents`; what a stage returns is written and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages over `documents`; what a stage returns is written and read again by the next.
+
+    Once it is written, what the stage stored on the way and the table that it read are emptied, so
+    that one copy of the corpus is left at the end. A stage that fails leaves both.
+    """
+    docs, read = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        with noted() as paths:
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        *own, result = paths
+        empty(spark, [*own, *read])
+        read = [result]
     return STAGES[-1][1](spark, docs, sf_dir)
