@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from salesmart.llm.common import stored
+import pytest
+from salesmart.llm import common
+from salesmart.llm.common import noted, stored
 from tests.llm.helpers import SF_DIR, docs
 
 LABELLED = "/root/testdata/sf0.01"  # the smallest tables with enough toxic labels
@@ -34,6 +36,36 @@ def test_run_is_the_stages(spark):
     assert rows and sorted(map(str, rows)) == sorted(map(str, again))
 
 
+def test_run_leaves_one_stored_table(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "shared_folder", lambda _: str(tmp_path))
+    rows = corpus_pipeline.run(spark, SF_DIR)
+    kept = {p.name: spark.read.parquet(str(p)).count() for p in tmp_path.iterdir()}
+    assert len(kept) > 4 and [name.rsplit("-", 1)[0] for name, n in kept.items() if n] == ["stage-mix"]
+    assert rows.count() == sum(kept.values())
+
+
+def test_a_stage_that_fails_leaves_what_it_read(spark, monkeypatch, tmp_path):
+    def fails(spark, docs, sf_dir):
+        return docs.selectExpr("raise_error('no') as doc_id")
+
+    first = ("first", lambda spark, docs, sf_dir: docs)
+    monkeypatch.setattr(common, "shared_folder", lambda _: str(tmp_path))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [first, ("second", fails), first])
+    with pytest.raises(Exception, match="no"):
+        corpus_pipeline.run(spark, SF_DIR)
+    (path,) = tmp_path.glob("stage-first-*")
+    assert spark.read.parquet(str(path)).count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+
+
+def test_noted_blocks_are_apart(spark):
+    with noted() as outer:
+        stored(spark.range(1), "one")
+        with noted() as inner:
+            stored(spark.range(1), "two")
+    stored(spark.range(1), "three")
+    assert ["/one-" in p for p in outer] == [True] and ["/two-" in p for p in inner] == [True]
+
+
 def test_odd_tables(spark):
     odd = docs(spark, [None, "", " \n\t", "x", "x", "one two three"] + ["word " * 30000]).union(docs(spark, ["again"]))
     frames = [docs(spark, ["a"]).where("false"), odd]
