@@ -87,10 +87,10 @@ def known_heavy(how: Ways, key: str) -> tuple[Heavy | None, Heavy | None]:
 
 def heavy_by_load(load: Load, key: str, partitions: int) -> Heavy | None:
     """What `heavy_keys` finds in a load's rows, from its entry; None if that lists too few keys."""
-    frequent, even = load.frequent.get(key), load.rows / partitions
+    frequent, even = load.frequent.get(key), max(load.rows / partitions, 1)
     if frequent is None or (len(frequent) >= FREQUENT and frequent[-1][1] > even):
         return None
-    return [(value, math.ceil(rows / even)) for value, rows in frequent if rows > max(even, 1)]
+    return [(value, math.ceil(rows / even)) for value, rows in frequent if rows > even]
 
 
 def sales_columns(vendas: DataFrame) -> DataFrame:

@@ -99,15 +99,16 @@ def heavy_keys(counts: DataFrame, key: str, partitions: int) -> Heavy:
     """Keys with more rows than an even partition has, and how many salts each one needs.
 
     At most `partitions` keys can pass the bar, whatever the data holds, and the salts of
-    all of them add up to at most twice that. NULL counts as a key. They are collected by one
+    all of them add up to at most twice that. No key has more salts than rows, as the other
+    side's rows are repeated for each. NULL counts as a key. They are collected by one
     job over the counts, so that the joins know them without counting again, and so that
     nothing is salted where nothing is heavy.
     """
     total = Observation()
     counted = counts.select(F.col(key).alias("key"), ROWS).observe(total, F.sum(ROWS).alias("rows"))
     most = counted.orderBy(F.desc(ROWS)).limit(partitions).collect()
-    even = (total.get["rows"] or 0) / partitions
-    return [(row["key"], math.ceil(row[ROWS] / even)) for row in most if row[ROWS] > max(even, 1)]
+    even = max((total.get["rows"] or 0) / partitions, 1)
+    return [(row["key"], math.ceil(row[ROWS] / even)) for row in most if row[ROWS] > even]
 
 
 def salted_left_join(

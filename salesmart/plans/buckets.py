@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.joins import SPREAD_BY, all_lookups, heavy_by_load, sales_columns
-from salesmart.operators.skew import BROADCAST, Heavy, heavy_keys, key_counts, left_join
+from salesmart.operators.skew import BROADCAST, SALTED, Heavy, broadcast_limit, heavy_keys, key_counts, left_join, measured_bytes
 from salesmart.plans.star import Entities, Tables, ways_to_join
 from salesmart.schemas import SNAPSHOT, STAGE
 
@@ -84,6 +84,10 @@ def stage_join_bucketed(spark: SparkSession, buckets: Bucketed, lookups: Mapping
         return sales.union(apart).join(F.broadcast(customers), KEY, "left").select(*STAGE.names)
     met = sales.join(customers.hint("merge"), KEY, "left")
     few = customers.where(F.col(KEY).isin(buckets.heavy)) if buckets.heavy else customers.where("false")
-    counts = [key_counts(df, KEY) for df in (apart, few)]
-    rest = left_join(apart, few, KEY, left_counts=counts[0], right_counts=counts[1], spread_by=SPREAD_BY)
+    # The planner takes the few for as many as all customers, so they are measured.
+    if measured_bytes(few) <= broadcast_limit(few):
+        rest = left_join(apart, few, KEY, how=BROADCAST)
+    else:
+        counts = [key_counts(df, KEY) for df in (apart, few)]
+        rest = left_join(apart, few, KEY, how=SALTED, left_counts=counts[0], right_counts=counts[1], spread_by=SPREAD_BY)
     return met.select(*STAGE.names).union(rest.select(*STAGE.names))

@@ -143,6 +143,28 @@ def test_bucketed_sales_do_not_move(spark, stage_dir, tmp_path, no_broadcast):
     spark.sql("DROP DATABASE bucket_test CASCADE")
 
 
+def test_a_few_customers_with_heavy_keys_repeat_no_sales(spark, tmp_path, monkeypatch):
+    """A key's rows are dealt to no more salts than there are rows, and the few customers that the
+    sales kept apart have are broadcast, whatever the planner takes them for."""
+    few = spark.createDataFrame([("a",)] * 3 + [("b",)], "key string")
+    assert heavy_keys(key_counts(few, "key"), "key", 200) == [("a", 3)]
+    load = published.Load(1, "f", rows=4, frequent={"key": [("a", 3), ("b", 1)]})
+    assert heavy_by_load(load, "key", 200) == [("a", 3)]
+    tables = Standins(spark, SF_DIR, skewed=True).all
+    kept = buckets.write_buckets(spark, tables, "bucket_few", "d", str(tmp_path), 8)
+    lookups = {e: tables[e] for e in ("endereco", "divisao", "regiao")}
+    before, join, how = spark.conf.get(LIMIT), buckets.left_join, []
+    monkeypatch.setattr(buckets, "left_join", lambda *a, **k: how.append(k["how"]) or join(*a, **k))
+    spark.conf.set(LIMIT, "20000")  # less than all customers, more than those of a few keys
+    try:
+        df = buckets.stage_join_bucketed(spark, kept, lookups, SALTED)
+        assert how == [BROADCAST]
+        same_rows(df, joins.stage_join(**tables, how=BROADCAST))
+    finally:
+        spark.conf.set(LIMIT, before)
+        spark.sql("DROP DATABASE bucket_few CASCADE")
+
+
 def test_views(spark):
     tables = Standins(spark, SF_DIR).all
     expected = joins.stage_join(**tables)
