@@ -120,11 +120,16 @@ def conform_counting(
 
 def reject_rows(df: DataFrame, schema: T.StructType, iso_dates: bool = False) -> DataFrame:
     """The rows with a value that is no number or date, as they arrived, and the names of those
-    columns, comma-joined in contract order."""
+    columns, comma-joined in contract order.
+
+    The names are unpacked from an array, as a filter on them would else be pushed below the
+    projection, and all values parsed once for the filter and once more for the names.
+    """
     bad = [F.when(_is_bad(name, schema, iso_dates), name) for name in parsed_columns(schema)]
     if not bad:
         return df.withColumn(BAD_COLUMNS, F.lit("")).where("false")
-    return df.withColumn(BAD_COLUMNS, F.concat_ws(",", *bad)).where(F.col(BAD_COLUMNS) != "")
+    named = df.withColumn(BAD_COLUMNS, F.array(F.concat_ws(",", *bad)))
+    return named.withColumn(BAD_COLUMNS, F.explode_outer(BAD_COLUMNS)).where(F.col(BAD_COLUMNS) != "")
 
 
 def _reject_counts(df: DataFrame, names: list[str], parse) -> DataFrame:

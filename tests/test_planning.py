@@ -165,6 +165,18 @@ def test_a_few_customers_with_heavy_keys_repeat_no_sales(spark, tmp_path, monkey
         spark.sql("DROP DATABASE bucket_few CASCADE")
 
 
+def test_rejects_are_parsed_once(spark):
+    """The filter on the names of the columns is not pushed below the projection that makes them."""
+    df = spark.createDataFrame([("x", "31/02/2020"), ("1,5", "01/02/2020"), (None, None), ("", "")], "list_price string, invoice_date string")
+    df = df.withColumns({n: F.lit(None).cast("string") for n in ENTITIES["vendas"].names if n not in df.columns})
+    bad = conform.reject_rows(df, ENTITIES["vendas"])
+    filters = re.findall(r"Filter .*", bad._jdf.queryExecution().optimizedPlan().toString())
+    assert filters and not any("concat_ws" in condition for condition in filters)
+    assert [(r.list_price, r.bad_columns) for r in bad.orderBy("list_price").collect()] == [
+        ("", "invoice_date"), ("x", "invoice_date,list_price")
+    ]
+
+
 def test_views(spark):
     tables = Standins(spark, SF_DIR).all
     expected = joins.stage_join(**tables)
