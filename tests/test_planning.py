@@ -165,6 +165,18 @@ def test_a_few_customers_with_heavy_keys_repeat_no_sales(spark, tmp_path, monkey
         spark.sql("DROP DATABASE bucket_few CASCADE")
 
 
+def test_small_views_do_not_move_the_sales(spark):
+    """Distinct lookups of a few rows are broadcast, though the planner takes them for large."""
+    before, tables = spark.conf.get(LIMIT), Standins(spark, SF_DIR).all
+    spark.conf.set(LIMIT, "1500")
+    try:
+        with views.session_views(spark, tables, prefix="small_") as names:
+            plan = physical_plan(spark.sql(views.stage_sql(names)))
+    finally:
+        spark.conf.set(LIMIT, before)
+    assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", plan, re.M)) == 2
+
+
 def test_rejects_are_parsed_once(spark):
     """The filter on the names of the columns is not pushed below the projection that makes them."""
     df = spark.createDataFrame([("x", "31/02/2020"), ("1,5", "01/02/2020"), (None, None), ("", "")], "list_price string, invoice_date string")
