@@ -227,3 +227,27 @@ def test_an_export_without_rejects(spark, stage_dir, tmp_path):
     assert done.rejects == {} and done.load.rows > 0
     names = ", ".join(f"{n} string" for n in ["division", "division_name", "dt_foto", "bad_columns"])
     assert read_gold(spark, str(tmp_path / "b"), spark.createDataFrame([], names).schema).collect() == []
+
+
+def optimized(df):
+    """The optimized plan with all its columns."""
+    name, spark = "spark.sql.debug.maxToStringFields", df.sparkSession
+    kept = spark.conf.get(name)
+    spark.conf.set(name, "1000")
+    try:
+        return df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(name, kept)
+
+
+def test_no_run_of_blanks_is_passed_over_by_the_quick_search(spark):
+    from salesmart.functions.text import BLANKS, MAYBE_RUN, clean_string
+
+    assert not [c for c in BLANKS if "!" <= c <= "~"]
+    texts = [f"x{a}{b}y" for a in BLANKS for b in BLANKS] + ["xéçy", "x y", "xy"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = rows.select("text", F.col("text").rlike(MAYBE_RUN).alias("maybe"), clean_string(F.col("text")).alias("clean"))
+    for row in rows.collect():
+        run = len(row.text) == 4 and row.text[1] in BLANKS
+        assert row.maybe or not run
+        assert row.clean == ("x y" if run else row.text)
