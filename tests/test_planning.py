@@ -251,3 +251,8 @@ def test_no_run_of_blanks_is_passed_over_by_the_quick_search(spark):
         run = len(row.text) == 4 and row.text[1] in BLANKS
         assert row.maybe or not run
         assert row.clean == ("x y" if run else row.text)
+
+
+def test_shared_parts_of_the_sales_are_worked_out_once(spark):
+    plan = optimized(Standins(spark, SF_DIR).vendas)
+    assert len(re.findall(r"round\(\(l_extendedprice", plan)) == 1
