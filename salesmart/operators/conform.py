@@ -87,9 +87,9 @@ def number_reject_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
     return _reject_counts(df, columns_of_type(schema, T.DoubleType), parse_number_br)
 
 
-# The columns that a row of rejects names, and the mark of a column's failure while it is counted.
+# The columns that a row of rejects names, and the mark of a column's given value while failures are counted.
 BAD_COLUMNS = "bad_columns"
-BAD = "_bad_"
+GIVEN = "_given_"
 
 
 def _is_bad(name: str, schema: T.StructType, iso_dates: bool) -> Column:
@@ -108,13 +108,13 @@ def conform_counting(
     df: DataFrame, schema: T.StructType, run_date: dt.date, iso_dates: bool = False
 ) -> tuple[DataFrame, Observation]:
     """`conform_entity`, and an observation that has, once the rows were written, how many values
-    of each column are given but are no number or date. Nothing is scanned or parsed for it again."""
+    of each column are given but are no number or date. Nothing is scanned or parsed for it again:
+    what was given and is NULL once it is cleaned has failed."""
     names = parsed_columns(schema)
-    flags = {f"{BAD}{name}": _is_bad(name, schema, iso_dates) for name in names}
-    flagged = df.withColumns(flags)
-    cleaned = conform_entity(flagged, schema, run_date, iso_dates, keep=list(flags))
+    given = {f"{GIVEN}{name}": F.col(name).isNotNull() for name in names}
+    cleaned = conform_entity(df.withColumns(given), schema, run_date, iso_dates, keep=list(given))
     seen = Observation()
-    counts = [F.count_if(flag).alias(name) for name, flag in zip(names, flags, strict=True)]
+    counts = [F.count_if(F.col(f"{GIVEN}{name}") & F.col(name).isNull()).alias(name) for name in names]
     return (cleaned.observe(seen, *counts) if counts else cleaned).select(*schema.names), seen
 
 

@@ -256,3 +256,17 @@ def test_no_run_of_blanks_is_passed_over_by_the_quick_search(spark):
 def test_shared_parts_of_the_sales_are_worked_out_once(spark):
     plan = optimized(Standins(spark, SF_DIR).vendas)
     assert len(re.findall(r"round\(\(l_extendedprice", plan)) == 1
+
+
+@pytest.mark.parametrize("iso_dates", [False, True])
+def test_values_are_parsed_once_to_be_cleaned_and_counted(spark, iso_dates):
+    names = snapshots.staged_schema(ENTITIES["vendas"]).names
+    one = dict.fromkeys(names, "1") | {"dt_foto": "20240101", "list_price": "n/d", "datekey": "", "sales_rep": None}
+    rows = spark.createDataFrame([tuple(one[n] for n in names)], ", ".join(f"{n} string" for n in names))
+    cleaned, seen = conform.conform_counting(rows.repartition(1), ENTITIES["vendas"], RUN, iso_dates)
+    plan = optimized(cleaned)
+    assert plan.count(" as double)") == 9
+    cleaned.collect()
+    dates = ["actual_delivery_date", "datekey", "invoice_date", "promised_delivery_date"]
+    bad = dict.fromkeys(["list_price", *dates], 1)
+    assert seen.get == dict.fromkeys(conform.parsed_columns(ENTITIES["vendas"]), 0) | bad
