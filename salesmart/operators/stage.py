@@ -106,7 +106,7 @@ def wide_stage(
 
 
 def narrow_customers(
-    customers: DataFrame, sep: str = "", token: str = NOT_INFORMED_TITLE
+    customers: DataFrame, sep: str = "", token: str = NOT_INFORMED_TITLE, hashed: bool = True
 ) -> DataFrame:
     """Customer columns of the narrow stage cleaned, with keys made of the raw values.
 
@@ -114,7 +114,7 @@ def narrow_customers(
     """
     has_address = "address_number" in customers.columns
     names = CUSTOMER_KEYS if has_address else ["DW_CLIENTES"]
-    keys = {name: narrow_keys(sep)[name] for name in names}
+    keys = {name: narrow_keys(sep, hashed)[name] for name in names}
     cleaned = {
         c: conform_narrow_text(F.col(c), token) for c in NARROW_TEXT if c in customers.columns
     }
@@ -130,18 +130,21 @@ def narrow_stage(
     sep: str = "",
     token: str = NOT_INFORMED_TITLE,
     how: Ways = AUTO,
+    hashed: bool = True,
 ) -> DataFrame:
-    """The narrow stage with typed invoice date, calendar columns, keys, and clean text."""
+    """The narrow stage with typed invoice date, calendar columns, keys, and clean text.
+
+    Keys that are not `hashed` are the texts that a hash is made of."""
     lookups = narrow_lookups(clientes, endereco, divisao, regiao)
     ways = lookups.ways(how)
-    customers = narrow_customers(lookups.rows(ways).drop("division", "region_code"), sep, token)
+    customers = narrow_customers(lookups.rows(ways).drop("division", "region_code"), sep, token, hashed)
     sales = sales_columns(vendas)
     sales = sales.select(*[c for c in NARROW if _is_sales_column(c)]).withColumn(
         "invoice_date", parse_date_br(F.col("invoice_date"))
     )
     joined = join_customer(sales, customers, lookups, ways)
     filled = {c: null_to_token(F.col(c), token) for c in NARROW_TEXT}
-    filled |= {c: F.coalesce(F.col(c), key_of("customerkey", sep=sep)) for c in CUSTOMER_KEYS}
-    sales_keys = {k: v for k, v in narrow_keys(sep).items() if k not in CUSTOMER_KEYS}
+    filled |= {c: F.coalesce(F.col(c), key_of("customerkey", sep=sep, hashed=hashed)) for c in CUSTOMER_KEYS}
+    sales_keys = {k: v for k, v in narrow_keys(sep, hashed).items() if k not in CUSTOMER_KEYS}
     stage = with_calendar(joined.withColumns(filled)).withColumns(sales_keys)
     return stage.select(*NARROW, *CALENDAR, *narrow_keys(sep))

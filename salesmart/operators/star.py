@@ -219,11 +219,18 @@ def ft_vendas_with_keys(
     measures=parse_number_br,
     how: Ways = AUTO,
 ) -> DataFrame:
-    """The sales fact with the keys of its dimensions, so that it can be joined to them."""
-    stage = narrow_stage(vendas, clientes, endereco, divisao, regiao, sep, how=how)
-    keys = ["DW_VENDAS", "DW_CLIENTES", "DW_TEMPO", "DW_LOCALIDADE"]
+    """The sales fact with the keys of its dimensions, so that it can be joined to them.
+
+    Rows are told apart by the texts of the keys, and by the date itself where that is all of a key:
+    four hashes would be most of what is shuffled.
+    """
+    stage = narrow_stage(vendas, clientes, endereco, divisao, regiao, sep, how=how, hashed=False)
     typed = [(measures(F.col(c)) if measures else F.col(c)).alias(c) for c in MEASURES]
-    return stage.select(*keys, *typed).distinct()
+    rows = stage.select("DW_VENDAS", "DW_CLIENTES", "invoice_date", "DW_LOCALIDADE", *typed).distinct()
+    hashed = {c: F.sha2(c, 256) for c in ("DW_VENDAS", "DW_CLIENTES", "DW_LOCALIDADE")}
+    hashed["DW_TEMPO"] = key_of("invoice_date", sep=sep)
+    keys = ["DW_VENDAS", "DW_CLIENTES", "DW_TEMPO", "DW_LOCALIDADE"]
+    return rows.select(*[hashed[c].alias(c) for c in keys], *MEASURES)
 
 
 def preview(df: DataFrame, *order_by: str, n: int = 5) -> DataFrame:

@@ -270,3 +270,13 @@ def test_values_are_parsed_once_to_be_cleaned_and_counted(spark, iso_dates):
     dates = ["actual_delivery_date", "datekey", "invoice_date", "promised_delivery_date"]
     bad = dict.fromkeys(["list_price", *dates], 1)
     assert seen.get == dict.fromkeys(conform.parsed_columns(ENTITIES["vendas"]), 0) | bad
+
+
+def test_the_fact_is_told_apart_before_its_keys_are_hashed(spark):
+    from salesmart.operators.star import ft_vendas_with_keys
+
+    df = ft_vendas_with_keys(**Standins(spark, SF_DIR).all)
+    hashing = [line for line in optimized(df).splitlines() if "sha2(" in line]
+    assert len(hashing) == 1 and hashing[0].count("sha2(") == 4
+    grouped, _, made = hashing[0].partition("], [")
+    assert grouped.lstrip(" +-:").startswith("Aggregate") and "sha2(" not in grouped and "sha2(" in made
