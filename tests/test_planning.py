@@ -280,3 +280,11 @@ def test_the_fact_is_told_apart_before_its_keys_are_hashed(spark):
     assert len(hashing) == 1 and hashing[0].count("sha2(") == 4
     grouped, _, made = hashing[0].partition("], [")
     assert grouped.lstrip(" +-:").startswith("Aggregate") and "sha2(" not in grouped and "sha2(" in made
+
+
+def test_raw_stand_ins_are_compressed(spark, tmp_path):
+    from verification.queries import write_raw
+
+    write_raw(spark.createDataFrame([("a", None), ("", "b")], "x string, y string").coalesce(1), str(tmp_path / "raw"))
+    files = [f.name for f in (tmp_path / "raw").iterdir() if f.name.startswith("part-")]
+    assert files and all(name.endswith(".lz4") for name in files)

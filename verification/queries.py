@@ -33,7 +33,7 @@ SALE = ["invoice_number", "line_number", "item_number"]
 
 
 def write_raw(df: DataFrame, path: str, odd_lines: bool = False) -> None:
-    r"""Text as the raw files have it: `;`, a header per file, \N for NULL, no quotes.
+    r"""Text as the raw files have it: `;`, a header per file, \N for NULL, no quotes; compressed.
 
     With `odd_lines` some lines of the sales have more fields than the header, some lack a
     last field that is NULL, and some are followed by a blank line.
@@ -52,6 +52,7 @@ def write_raw(df: DataFrame, path: str, odd_lines: bool = False) -> None:
         writer.option("header", True)
         .option("sep", "\u0002")
         .option("quote", "\u0000")
+        .option("compression", "lz4")
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
