@@ -202,3 +202,36 @@ def test_planted_bare_secrets_are_found_in_a_table(spark):
     assert len(planted) > 600
     assert sum(map(sum, hits.values())) >= 0.9 * len(planted)
     assert false <= 0.002 * runs
+
+
+def test_findings_beyond_the_sample_are_learnt(spark, monkeypatch):
+    """Part numbers that no sampled document has look like keys until they are learnt."""
+    monkeypatch.setattr(secret_cnn, "TRAIN_DOCS", 40)
+    rng = random.Random(13)
+    sign = lambda: rng.choice(string.ascii_letters) + rng.choice(string.digits)
+    number = lambda: "-".join(sign() for _ in range(4))
+    texts = corpus(1600, 13)
+    sampled = {r.doc_id for r in secret_cnn.sample(docs(spark, texts)).collect()}
+    texts = [t if i in sampled else " ".join([t, *(number() for _ in range(4))]) for i, t in enumerate(texts)]
+    net = fit(docs(spark, texts).coalesce(2))
+    shown = scanned(docs(spark, [f"an onti {number()} reon heer" for _ in range(200)]), net)
+    assert np.isfinite(net.threshold) and sum(r.n_cnn for r in shown.collect()) <= 40
+
+
+def test_every_finding_is_seen_or_held_back(spark):
+    texts = [*corpus(60, 14), "q" * 95 + " end", "nothing"]
+    every = [f for t in texts for f in findings(t) if f[1] or not f[2]]
+    x, y = np.array([f[0] for f in every], np.uint8), np.array([f[1] for f in every])
+    codes, at, size, labels, held = secret_cnn.findings_of(texts, lambda value, label: secret_cnn.is_back(secret_cnn.digest_of(value)))
+    found = secret_cnn.windows_at(codes, at, size)
+    assert sorted(zip(labels.tolist(), map(bytes, found))) == sorted(zip(y.tolist(), map(bytes, x)))
+    values = np.array([("0" if back else "1") * 8 + str(i) for i, back in enumerate(held.tolist())])
+    net = train(found, labels, values)
+    moved, rest = secret_cnn.learnt(docs(spark, texts).select("text").repartition(3), net, found, labels, values)
+    rows = rest.collect()
+    assert sum(r.seen for r in rows if r.kind == secret_cnn.PLAIN_SCORE) == (held & (labels == 0)).sum()
+    assert sorted(bytes(r.codes) for r in rows if r.kind == secret_cnn.SECRET_SCORE) == sorted(map(bytes, found[held & (labels == 1)]))
+    assert not np.allclose(moved.output, net.output)
+    judged = secret_cnn.judged(moved, rest)
+    bare = np.array([list(r.codes) for r in rows if r.kind == secret_cnn.BARE_SCORE])
+    assert 0.94 <= (judged.scores(bare) >= judged.threshold).mean() <= 0.97
