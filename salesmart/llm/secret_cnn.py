@@ -39,6 +39,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Collection, Iterator
 from dataclasses import dataclass
@@ -83,6 +84,7 @@ assign_re = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 access_re = re.compile(ACCESS)
 hex_re = re.compile(r"[0-9a-f]{24,}")  # a run is matched whole, so this drops the short ones
 keyword_re = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
+any_keyword_re = re.compile(rf"(?=({keyword_re.pattern}))", re.IGNORECASE | re.ASCII)  # overlapping ones too
 # Full stops and colons belong to a run, but not to its ends.
 candidate_re = re.compile(r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_.:=-]{%d,}[A-Za-z0-9+/_=-]" % (CANDIDATE_LENGTH - 2))
 
@@ -98,10 +100,14 @@ FIELDS = [
 Span = tuple[int, int, int]  # start, kind by place in KINDS, end
 
 
+def may_have_keyword(text: str) -> bool:
+    low = text.lower()
+    return "passw" in low or "secret" in low or "token" in low or "api" in low
+
+
 def base_spans(text: str) -> list[Span]:
     found: list[Span] = []
-    low = text.lower()
-    if "passw" in low or "secret" in low or "token" in low or "api" in low:
+    if may_have_keyword(text):
         found += [(m.start(), 0, m.end()) for m in assign_re.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LENGTH]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in access_re.finditer(text) if m.end() - m.start() >= ACCESS_LENGTH]
@@ -128,6 +134,45 @@ def _outside(start: int, end: int, base: list[Span]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in [*pieces, (start, end)] if b - a >= CANDIDATE_LENGTH]
 
 
+# The parts of candidate_re by class of character: a run's, those not at its ends, letters and digits.
+RUN, INNER, SIGN = (
+    np.array([1 <= i <= 95 and bool(of(chr(i + 31))) for i in range(99)])
+    for of in (re.compile(r"[A-Za-z0-9+/_.:=-]").match, re.compile(r"[.:]").match, str.isalnum)
+)
+
+
+def runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What candidate_re finds, from the classes of texts with zeros around each: starts and ends."""
+    inside = RUN[codes]
+    change = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, end = change[::2], change[1::2]
+    long = end - start >= CANDIDATE_LENGTH
+    start, end = start[long], end[long]
+    loose = np.flatnonzero(INNER[codes[start]] | INNER[codes[end - 1]])
+    if len(loose):
+        solid = np.flatnonzero(inside & ~INNER[codes])
+        after, before = np.append(solid, len(codes)), np.append(-1, solid)
+        start[loose] = after[np.searchsorted(solid, start[loose])]
+        end[loose] = before[np.searchsorted(solid, end[loose])] + 1
+        long = end - start >= CANDIDATE_LENGTH
+        start, end = start[long], end[long]
+    return start, end
+
+
+def not_marks(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether letters and digits are more than half of each piece."""
+    if not len(start):
+        return np.zeros(0, bool)
+    signs = np.add.reduceat(SIGN[codes], np.stack([start, end], 1).ravel(), dtype=np.int64)[::2]
+    return 2 * signs > end - start
+
+
+def touched(start: np.ndarray, end: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
+    """Whether each piece has a place in common with any span."""
+    first, last = (np.sort(np.array(side, np.int64)) for side in zip(*spans, strict=True)) if spans else (np.zeros(0), np.zeros(0))
+    return np.searchsorted(first, end) > np.searchsorted(last, start, side="right")
+
+
 def written(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
@@ -152,13 +197,21 @@ def char_class(char: str) -> int:
 CLASSES = 99
 LENGTH = 2 * CONTEXT + VALUE
 GAP = CONTEXT + 2
-BLOCK = 1 << 14  # characters convolved at a time
+BLOCK = 1 << 13  # characters convolved at a time
 
 
 def window_starts(start: int, end: int) -> range:
     return range(start, max(start + 1, end - VALUE // 4), VALUE * 3 // 4)
 
 
+def windows_of(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for many: which one a window belongs to, its place and the length of its own part."""
+    count = np.maximum(1, -((VALUE // 4 - end + start) // (VALUE * 3 // 4)))
+    of = np.repeat(np.arange(len(start)), count)
+    at = start[of] + VALUE * 3 // 4 * (np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count))
+    return of, at, np.minimum(end[of] - at, VALUE)
+
+
 def windows(text: str, start: int, end: int) -> list[list[int]]:
     """Classes of the characters of a candidate and its context, VALUE of its own in each."""
     out = []
@@ -184,6 +237,20 @@ def classes_of(text: str) -> np.ndarray:
     return out
 
 
+def joined(texts: list[str]) -> tuple[str, np.ndarray, list[int]]:
+    """The texts as one, its classes with GAP zeros before each and more after the last, and each text's place."""
+    gap, places, place = "\0" * GAP, [], GAP
+    for text in texts:
+        places.append(place)
+        place += len(text) + GAP
+    whole = gap + gap.join([*texts, "\0" * VALUE])
+    codes = classes_of(whole)
+    for text, at in zip(texts, places, strict=True):
+        codes[at - GAP : at] = 0
+    codes[place - GAP :] = 0
+    return whole, codes, places
+
+
 def windows_at(codes: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The windows by place and length of their own part, in the classes of texts with GAP zeros
     before and after each."""
@@ -233,6 +300,7 @@ class Network:
         taps = self.taps()
         pairs = codes[:-1].astype(np.int32) * CLASSES + codes[1:]
         empty = np.maximum(sum(t[0] for t in taps), 0)
+        ends = self.ends(taps)
         z = np.empty(len(at))
         starts = np.arange(0, len(codes), BLOCK)
         bounds = np.searchsorted(at, np.append(starts, len(codes)))
@@ -240,7 +308,7 @@ class Network:
             if lo < hi:
                 start = first - min(first, GAP)
                 part = slice(start, first + BLOCK + VALUE + GAP)
-                z[lo:hi] = self._block(codes[part], pairs[part], at[lo:hi] - start, size[lo:hi], taps, empty)
+                z[lo:hi] = self._block(codes[part], pairs[part], at[lo:hi] - start, size[lo:hi], taps, empty, ends)
         return self.slope * z + self.shift
 
     def taps(self, kind: type = np.float32) -> list[np.ndarray]:
@@ -251,7 +319,18 @@ class Network:
         pair = lambda a, b: (a[:, None] + b[None]).reshape(CLASSES * CLASSES, FILTERS)
         return [pair(each[0], each[1]), pair(each[2], each[3]), each[4]]
 
-    def _block(self, codes: np.ndarray, pairs: np.ndarray, at: np.ndarray, size: np.ndarray, taps: list, empty: np.ndarray) -> np.ndarray:
+    def ends(self, taps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """What the filters make of the last two characters of a value with room after it, by pair of
+        classes, at the two places where they are left alone; and of the first two after that room."""
+        first, second, third = taps
+        two, one = np.arange(CLASSES * CLASSES), np.arange(CLASSES * CLASSES) % CLASSES
+        last = np.maximum(first + second[0] + third[0], first[one * CLASSES] + second[0] + third[0])
+        next_ = np.maximum(first[0] + second[0] + third[two // CLASSES], first[0] + second[two // CLASSES] + third[one])
+        return last, next_
+
+    def _block(
+        self, codes: np.ndarray, pairs: np.ndarray, at: np.ndarray, size: np.ndarray, taps: list, empty: np.ndarray, ends: tuple
+    ) -> np.ndarray:
         n = len(codes) - WIDTH + 1
         most_first = np.zeros((n + 2, FILTERS), np.float32)
         hidden = most_first[2:]
@@ -271,10 +350,47 @@ class Network:
         for k in range(6):
             if len(own := np.flatnonzero(level == k)):
                 inside[own] = most_of(k, at[own], length[own])
-        # Places whose characters are not neighbours in the text, from the windows themselves.
+        roomy = size <= VALUE - 4
+        if roomy.all():
+            self._roomy_edges(codes, pairs, at, size, taps, ends, inside, around)
+        else:
+            for which, edges in ((np.flatnonzero(roomy), self._roomy_edges), (np.flatnonzero(~roomy), self._edges)):
+                own, out = inside[which], around[which]
+                edges(codes, pairs, at[which], size[which], taps, ends, own, out)
+                inside[which], around[which] = own, out
+        short = size + 2 <= VALUE - 3
+        np.maximum(inside, np.where(short[:, None], empty, 0), out=inside)
+        return inside @ self.output[:FILTERS] + around @ self.output[FILTERS:] + self.bias
+
+    # Places whose characters are not neighbours in the text: the end of a value and what follows it.
+
+    def _roomy_edges(self, codes, pairs, at, size, taps, ends, inside, around) -> None:
+        """Raise the maxima by those places of windows that leave room for no filter to see both sides."""
+        first, second, third = taps
+        end = at + size
+        take = lambda table, rows: np.take(table, rows, axis=0, mode="clip")
+        total = take(first, pairs[end - 4])
+        total += take(second, pairs[end - 2])
+        total += third[0]
+        np.maximum(inside, total, out=inside)
+        total = take(first, pairs[end - 3])
+        total += take(second[::CLASSES] + third[0], codes[end - 1])
+        np.maximum(inside, total, out=inside)
+        np.maximum(inside, take(ends[0], pairs[end - 2]), out=inside)
+        np.maximum(inside, take(ends[1], pairs[end]), out=inside)
+        total = take(first[0] + second, pairs[end])
+        total += take(third, codes[end + 2])
+        np.maximum(around, total, out=around)
+        total = take(first[:CLASSES], codes[end])
+        total += take(second, pairs[end + 1])
+        total += take(third, codes[end + 3])
+        np.maximum(around, total, out=around)
+
+    def _edges(self, codes, pairs, at, size, taps, ends, inside, around) -> None:
+        """The same from the windows themselves."""
         seen = windows_at(codes, at, size)
         edges = np.minimum(CONTEXT + size[:, None] + np.arange(-2, 2), CONTEXT + VALUE - 1)
-        ends = CONTEXT + VALUE + np.arange(-2, 2)
+        after = CONTEXT + VALUE + np.arange(-2, 2)
         line = np.arange(len(at))[:, None]
 
         def edge(centers: np.ndarray) -> np.ndarray:
@@ -284,11 +400,8 @@ class Network:
             total += taps[2][under[4]]
             return np.maximum(total.max(1), 0)
 
-        inside = np.maximum(np.maximum(inside, edge(edges)), edge(ends[None, :2]))
-        short = size + 2 <= VALUE - 3
-        inside[short] = np.maximum(inside[short], empty)
-        around = np.maximum(around, edge(ends[None, 2:]))
-        return inside @ self.output[:FILTERS] + around @ self.output[FILTERS:] + self.bias
+        np.maximum(inside, np.maximum(edge(edges), edge(after[None, :2])), out=inside)
+        np.maximum(around, edge(after[None, 2:]), out=around)
 
 
 LETTERS, DIGITS = (np.flatnonzero([1 <= i <= 95 and of(chr(i + 31)) for i in range(96)]) for of in (str.isalpha, str.isdigit))
@@ -346,6 +459,13 @@ def is_back(value: str, listed: Collection[str] | None = None) -> bool:
     return int(value[:8], 16) % HELD_BACK == 0 if listed is None else value in listed
 
 
+def value_is_back(value: str, listed: Collection[str] | None = None) -> bool:
+    """`is_back` of the value's digest, which is not written out where its first bytes decide."""
+    if listed is None:
+        return int.from_bytes(hashlib.md5(value.encode("utf-8", "surrogatepass")).digest()[:4], "big") % HELD_BACK == 0
+    return is_back(digest_of(value), listed)
+
+
 def digest_of(value: str) -> str:
     return hashlib.md5(value.encode("utf-8", "surrogatepass")).hexdigest()
 
@@ -541,26 +661,31 @@ def fit(docs: DataFrame) -> Network | None:
 def findings_of(texts: list[str], is_held: Callable[[str, int], bool]) -> tuple[np.ndarray, ...]:
     """Classes of the texts, with GAP zeros before and after each, and the windows of their labelled
     findings without a keyword near, by rising place: place, length, label, and whether they are held back."""
-    at, size, y, back, codes, place = [], [], [], [], [np.zeros(GAP, np.uint8)], GAP
-    for text in texts:
-        spans = [(a, b, 0) for a, b, near in plain(text) if not near]
-        spans += [(a, b, 1) for a, b in secrets(text)]
-        at += [place + a for a, _, _ in spans]
-        size += [b - a for a, b, _ in spans]
-        y += [label for _, _, label in spans]
-        back += [is_held(text[a:b], label) for a, b, label in spans]
-        codes += [classes_of(text), np.zeros(GAP, np.uint8)]
-        place += len(text) + GAP
-    codes.append(np.zeros(VALUE, np.uint8))
-    every = [np.array(at, np.int64), np.array(size, np.int64), np.array(y, np.int64), np.array(back, bool)]
-    for i in np.flatnonzero(every[1] > VALUE).tolist():  # in windows
-        starts = window_starts(at[i], at[i] + size[i])
-        every[1][i] = VALUE
-        more = np.array(starts[1:], np.int64)
-        rows = more, np.minimum(at[i] + size[i] - more, VALUE), np.full(len(more), y[i]), np.full(len(more), back[i])
-        every = [np.append(column, row) for column, row in zip(every, rows, strict=True)] if len(more) else every
-    order = np.argsort(every[0], kind="stable")
-    return np.concatenate(codes), *(column[order] for column in every)
+    whole, codes, places = joined(texts)
+    spans, found, keywords = [], [], []
+    for text, place in zip(texts, places, strict=True):
+        for span in base_spans(text):
+            spans.append((place + span[0], place + span[2]))
+            a, b = value_of(text, span)
+            found.append((place + a, place + b))
+        if may_have_keyword(text):
+            keywords += [(place + m.start(), place + m.end(1)) for m in any_keyword_re.finditer(text)]
+    start, end = runs(codes)
+    keep = not_marks(codes, start, end) & ~touched(start, end, spans)
+    if keywords:  # a keyword near: the last that ends before, as none is within another
+        begin, stop = np.array(keywords, np.int64).T
+        last = np.searchsorted(stop, start, side="right") - 1
+        keep &= (last < 0) | (begin[last] < start - CONTEXT)
+    start, end = start[keep], end[keep]
+    values = [whole[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+    known = {value: is_held(value, 0) for value in set(values)}
+    held = [known[value] for value in values] + [is_held(whole[a:b], 1) for a, b in found]
+    y = np.repeat([0, 1], [len(start), len(found)])
+    hidden = np.array(found, np.int64).reshape(-1, 2)
+    of, at, size = windows_of(np.append(start, hidden[:, 0]), np.append(end, hidden[:, 1]))
+    order = np.argsort(at, kind="stable")
+    of = of[order]
+    return codes, at[order], size[order], y[of], np.array(held, bool)[of]
 
 
 def _batches(new: tuple[np.ndarray, np.ndarray], kept: list[np.ndarray], rng: np.random.Generator) -> Iterator[tuple]:
@@ -607,7 +732,7 @@ def learnt(texts: DataFrame, net: Network, x: np.ndarray, y: np.ndarray, values:
         net.slope, net.shift = 1.0, 0.0
         rng, adam, seen, scored = np.random.default_rng(7), Adam(net, PASS_RATE), 0, Counter()
         kept = [np.concatenate([old_plain, shouted(old_plain)]), np.concatenate([old_secrets, twins(old_secrets, old_plain, rng)])]
-        is_held = lru_cache(1 << 16)(lambda value, label: is_back(digest_of(value), listed[label]))
+        is_held = lru_cache(1 << 17)(lambda value, label: value_is_back(value, listed[label]))
         for batch in batches:
             for chunk in chunks(batch.column(0).to_pylist()):
                 codes, *every = findings_of(chunk, is_held)
@@ -673,6 +798,18 @@ def judged(net: Network, held: DataFrame) -> Network:
     return net
 
 
+def _left_of(start: np.ndarray, end: np.ndarray, cut: np.ndarray, places: list[int], base: list[list[Span]]) -> tuple:
+    """The runs with what base spans leave of those that are `cut`, by rising place."""
+    pieces = []
+    for a, b in zip(start[cut].tolist(), end[cut].tolist(), strict=True):
+        i = bisect_right(places, a) - 1
+        pieces += [(places[i] + x, places[i] + y) for x, y in _outside(a - places[i], b - places[i], base[i])]
+    left = np.array(pieces, np.int64).reshape(-1, 2)
+    start, end = np.append(start[~cut], left[:, 0]), np.append(end[~cut], left[:, 1])
+    order = np.argsort(start, kind="stable")
+    return start[order], end[order]
+
+
 def scanned(docs: DataFrame, net: Network | None, *, text: str = "text", without: list[str] | None = None) -> DataFrame:
     """docs with the numbers of spans by kind, base_sha256 and spans (kind:start:end by start,
     then kind, in code points)."""
@@ -684,20 +821,19 @@ def scanned(docs: DataFrame, net: Network | None, *, text: str = "text", without
         base = [base_spans(t) for t in texts]
         every = [list(spans) for spans in base]
         if net is not None:
-            at, size, of, codes, place = [], [], [], [np.zeros(GAP, np.uint8)], GAP
-            for i, t in enumerate(texts):
-                for start, end in candidates(t, base[i]):
-                    for x in window_starts(start, end):
-                        at.append(place + x)
-                        size.append(min(end - x, VALUE))
-                        of.append((i, start, end))
-                codes += [classes_of(t), np.zeros(GAP, np.uint8)]
-                place += len(t) + GAP
-            if at:
-                codes.append(np.zeros(VALUE, np.uint8))
-                sure = net.scores_at(np.concatenate(codes), np.array(at), np.array(size)) >= net.threshold
-                for i, start, end in {of[j] for j in np.flatnonzero(sure)}:
-                    every[i].append((start, 3, end))
+            _, codes, places = joined(texts)
+            start, end = runs(codes)
+            spans = [(p + a, p + b) for p, found in zip(places, base, strict=True) for a, _, b in found]
+            if spans:
+                start, end = _left_of(start, end, touched(start, end, spans), places, base)
+            keep = not_marks(codes, start, end)
+            start, end = start[keep], end[keep]
+            of, at, size = windows_of(start, end)
+            if len(at):
+                sure = np.unique(of[net.scores_at(codes, at, size) >= net.threshold])
+                texts_of = np.searchsorted(places, start[sure], side="right") - 1
+                for i, a, b in zip(texts_of.tolist(), start[sure].tolist(), end[sure].tolist(), strict=True):
+                    every[i].append((a - places[i], 3, b - places[i]))
         count = lambda kind: [sum(s[1] == kind for s in spans) for spans in every]
         return {
             "n_assign": count(0), "n_access": count(1), "n_hex": count(2), "n_cnn": count(3),
