@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from salesmart.operators import conform, joins, keys, stage, star
+from salesmart.operators import conform, dense, joins, keys, stage, star
 from salesmart.operators.skew import (
     BROADCAST,
     SALTED,
@@ -283,3 +285,35 @@ def test_fact_keys_lead_to_the_dimensions(tables):
     same_rows(
         fact.select("DW_VENDAS", *star.MEASURES).distinct(), star.ft_vendas(t["vendas"])
     )
+
+
+def test_packed_texts_come_out_as_they_were(spark):
+    texts = ["", "x", None, "a\x1fb", "\x1e", "\x1en", "\x1ex", "\x1exn\x1f", "é ", "\x00", "  "]
+    rows = [(i, a, b, None if i % 2 else 1.5) for i, (a, b) in enumerate((a, b) for a in texts for b in texts)]
+    df = spark.createDataFrame(rows, "i int, a string, b string, n double")
+    # Bytes that are no UTF-8, alone and next to others that would complete them.
+    odd = df.limit(1).select("i", F.unhex(F.lit("C3")).cast("string").alias("a"), F.unhex(F.lit("A9FF")).cast("string").alias("b"), "n")
+    df = df.union(odd)
+    names = dense.texts_of(df)
+    back = dense.unpacked(dense.packed(df, names), names)
+    assert names == ["a", "b"] and dense.packed(df, names).columns == ["i", "n", dense.PACKED]
+    hexed = [F.hex("a").alias("a"), F.hex("b").alias("b"), "i", "n"]
+    same_rows(back.select(*hexed), df.select(*hexed))
+
+
+def test_sales_of_the_stage_are_shuffled_as_one_text(spark, no_broadcast):
+    """Where customers are no broadcast, no text of the sales but the key is a column of the shuffle;
+    views, of which a query may want few columns, move those alone."""
+    t = Standins(spark, SF_DIR, skewed=True).all
+    sales = {"item", "invoice_number", "u_m"}
+
+    def shuffled(df):
+        plan = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        inputs = re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]", plan, re.M)
+        return [{re.sub(r"#.*", "", c.strip()) for c in columns.split(",")} for columns in inputs]
+
+    for df in (joins.stage_join(**t), stage.wide_stage(**t)):
+        assert not any(columns & sales for columns in shuffled(df))
+        assert [columns for columns in shuffled(df) if dense.PACKED in columns]
+    few = shuffled(joins.stage_join(**t, dense=False).select("item", "city"))
+    assert [columns & sales for columns in few if columns & sales] == [{"item"}]
