@@ -21,10 +21,10 @@ from salesmart.functions import (
     surrogate_key,
 )
 from salesmart.functions.keys import concat_key
-from salesmart.operators.joins import Lookups, Ways, all_lookups, join_customer, sold_keys
-from salesmart.operators.keys import key_of
-from salesmart.operators.skew import AUTO, key_counts
-from salesmart.operators.stage import conformed_customers, narrow_customers, narrow_stage
+from salesmart.operators.joins import Lookups, Ways, all_lookups, join_customer, narrow_lookups, sold_keys
+from salesmart.operators.keys import key_of, narrow_keys
+from salesmart.operators.skew import AUTO, SALTED, key_counts
+from salesmart.operators.stage import conformed_customers, narrow_customers
 from salesmart.schemas import MEASURES
 
 # The columns of the wide customer dimension.
@@ -222,15 +222,27 @@ def ft_vendas_with_keys(
     """The sales fact with the keys of its dimensions, so that it can be joined to them.
 
     Rows are told apart by the texts of the keys, and by the date itself where that is all of a key:
-    four hashes would be most of what is shuffled.
+    four hashes would be most of what is shuffled. Customers whose keys are the same are taken once, so
+    repeated addresses make no rows. Beyond a broadcast of the customers rows are dealt out in the
+    order of the customers, not by a hash of the row: as neighbours the keys of a customer take next to
+    nothing in a shuffle and in columnar files, and a customer with many sales is cut into ranges.
     """
-    stage = narrow_stage(vendas, clientes, endereco, divisao, regiao, sep, how=how, hashed=False)
+    lookups = narrow_lookups(clientes, endereco, divisao, regiao)
+    ways = lookups.ways(how)
+    alone = ["DW_CLIENTES", "DW_LOCALIDADE"]
+    customers = narrow_customers(lookups.rows(ways), sep, hashed=False).select("customerkey", *alone).distinct()
+    sales = vendas.select("customerkey", parse_date_br(F.col("invoice_date")).alias("invoice_date"), *MEASURES)
+    joined = join_customer(sales, customers, lookups, ways, dense=True)
+    texts = {name: F.coalesce(F.col(name), key_of("customerkey", sep=sep, hashed=False)) for name in alone}
+    texts["DW_VENDAS"] = narrow_keys(sep, hashed=False)["DW_VENDAS"]
     typed = [(measures(F.col(c)) if measures else F.col(c)).alias(c) for c in MEASURES]
-    rows = stage.select("DW_VENDAS", "DW_CLIENTES", "invoice_date", "DW_LOCALIDADE", *typed).distinct()
+    rows = joined.withColumns(texts).select("DW_VENDAS", "DW_CLIENTES", "invoice_date", "DW_LOCALIDADE", *typed)
+    if ways["customerkey"] == SALTED:
+        rows = rows.repartitionByRange("DW_CLIENTES", "DW_VENDAS")
     hashed = {c: F.sha2(c, 256) for c in ("DW_VENDAS", "DW_CLIENTES", "DW_LOCALIDADE")}
     hashed["DW_TEMPO"] = key_of("invoice_date", sep=sep)
     keys = ["DW_VENDAS", "DW_CLIENTES", "DW_TEMPO", "DW_LOCALIDADE"]
-    return rows.select(*[hashed[c].alias(c) for c in keys], *MEASURES)
+    return rows.distinct().select(*[hashed[c].alias(c) for c in keys], *MEASURES)
 
 
 def preview(df: DataFrame, *order_by: str, n: int = 5) -> DataFrame:

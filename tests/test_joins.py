@@ -317,3 +317,29 @@ def test_sales_of_the_stage_are_shuffled_as_one_text(spark, no_broadcast):
         assert [columns for columns in shuffled(df) if dense.PACKED in columns]
     few = shuffled(joins.stage_join(**t, dense=False).select("item", "city"))
     assert [columns & sales for columns in few if columns & sales] == [{"item"}]
+
+
+def test_rows_of_the_fact_with_keys_lie_by_customer(spark, skewed_tables, no_broadcast):
+    """Beyond a broadcast they are dealt out in the order of customers, and are those of the plain way.
+    Keys that are missing in two ways, and keys that run into each other, give one row where all is equal."""
+    by_size = star.ft_vendas_with_keys(**skewed_tables, how=BROADCAST)
+    dealt = star.ft_vendas_with_keys(**skewed_tables, how=SALTED)
+    assert "rangepartitioning(DW_CLIENTES" in dealt._jdf.queryExecution().toString()
+    same_rows(dealt, by_size)
+
+    def table(columns, rows):
+        return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+
+    sale = dict.fromkeys(star.MEASURES, "1") | {"invoice_date": None, "dt_foto": "20240101"}
+    sales = [(None, "1"), ("", "1"), ("1", "0005"), ("10", "005"), ("a", "2"), ("a", "2")]
+    vendas = table([*sale, "customerkey"], [(*(sale | {"sales_price": p}).values(), k) for k, p in sales])
+    clientes = table(
+        ["customerkey", "address_number", "customer", "division", "region_code", "dt_foto"],
+        [("1", "02", "0x", "d", "r", "t"), ("10", "2", "x", "d", "r", "t"), ("a", "9", "y", None, None, "t"), (None, "9", "z", "d", "r", "t")],
+    )
+    endereco = table(["address_number", "city", "country", "state", "dt_foto"], [("9", str(i), "c", "s", "t") for i in range(40)])
+    divisao, regiao = table(["division", "dt_foto"], [("d", "t")] * 2), table(["region_code", "dt_foto"], [("r", "t")])
+    entities = {"vendas": vendas, "clientes": clientes, "endereco": endereco, "divisao": divisao, "regiao": regiao}
+    few = [star.ft_vendas_with_keys(**entities, how=how) for how in (SALTED, BROADCAST)]
+    same_rows(*few)
+    assert few[0].count() == 3 and few[0].distinct().count() == 3
