@@ -33,22 +33,24 @@ def export_entity(
     dt_foto: str = LATEST,
     iso_dates: bool = False,
     rejects_path: str | None = None,
+    compression: str | None = None,
 ) -> Export:
     """Clean one entity and write it as gold.
 
     Values that are no number or date come out as NULL. They are counted while the rows are
     written, in the same scan. With `rejects_path` the rows that have any are written there as
     they arrived, with the names of the columns; that takes a second scan, of which there is none
-    where the first has found nothing.
+    where the first has found nothing. Files are plain text, or compressed as asked.
     """
     schema = ENTITIES[entity]
     staged = scan_staged(prepare(spark), stage_path, schema, dt_foto)
     cleaned, seen = conform_counting(staged, schema, run_date, iso_dates)
-    load = write_gold(cleaned, gold_path)
+    load = write_gold(cleaned, gold_path, compression=compression)
     rejects = dict(seen.get) if parsed_columns(schema) else {}
     if rejects_path is not None:
         bad = reject_rows(staged, schema, iso_dates)
-        write_gold(bad if any(rejects.values()) else bad.limit(0), rejects_path, keep_blanks=True)
+        some = bad if any(rejects.values()) else bad.limit(0)
+        write_gold(some, rejects_path, keep_blanks=True, compression=compression)
     return Export(load, rejects)
 
 
@@ -61,6 +63,7 @@ def export_entities(
     dt_foto: str = LATEST,
     iso_dates: bool = False,
     rejects_dir: str | None = None,
+    compression: str | None = None,
 ) -> dict[str, Export]:
     return {
         entity: export_entity(
@@ -72,6 +75,7 @@ def export_entities(
             dt_foto,
             iso_dates,
             f"{rejects_dir}/{entity}" if rejects_dir else None,
+            compression,
         )
         for entity in entities
     }

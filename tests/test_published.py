@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,3 +175,22 @@ def test_a_failed_star_keeps_the_star(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception, match="no more"):
         star.star_job(spark, stage, out)
     assert rows(gold.read_gold(spark, f"{out}/dim_clientes", schema)) == before and len(before) == 2
+
+
+def test_gold_is_compressed_if_asked(spark, tmp_path):
+    path, df = str(tmp_path / "gold"), region(spark, ["x", " y", "", "S\u00e3o"])
+    gold.write_gold(df, path, keep_blanks=True, compression="gzip")
+    files = [n for n in os.listdir(gold.gold_folder(spark, path)) if n.startswith("part-")]
+    assert files and all(n.endswith(".csv.gz") for n in files)
+    assert rows(gold.read_gold(spark, path, df.schema)) == rows(df)
+
+
+def test_raw_stand_ins_are_emptied_once_they_are_loaded(spark, tmp_path, monkeypatch):
+    from verification import queries
+
+    made, write = [], queries._raw_files
+    monkeypatch.setattr(queries, "_raw_files", lambda *a: made.append(write(*a)) or made[-1])
+    queries._load(spark, "/root/testdata/sf0.001", "regiao", str(tmp_path / "regiao"))
+    files = [f for f in pathlib.Path(made[0]).rglob("part-*")]
+    assert sum(f.stat().st_size for f in files) == 0
+    assert snapshots.scan_staged(spark, str(tmp_path / "regiao"), REGIAO).count() == 5
